@@ -83,16 +83,22 @@ def flatten(lines: DataFrame, line: str = "line", loaded_at=None, ignore_case: b
         columns = _columns_of(part("_p"), part("_p.properties"), part("_p.metadata"), part("_p._meta"), at)
         return parsed.select(*kept, *columns)
 
-    top = lines.withColumn("_p", json_text.members(F.col(line)))
-    nested = top.withColumns(
-        {
-            f"_{name}": json_text.members(json_text.member_ignoring_case(F.col("_p"), source))
-            for name, source in (("properties", "properties"), ("metadata", "metadata"), ("m", "_meta"))
-        }
+    def lookup(level):
+        return lambda name: json_text.member_value(F.col(f"_{level}_names"), F.col(f"_{level}_values"), name)
+
+    top = _by_lower_name(lines.withColumn("_top", json_text.members(F.col(line))), ["top"])
+    inner = {"properties": "properties", "metadata": "metadata", "meta": "_meta"}
+    nested = top.withColumns({f"_{n}": json_text.members(lookup("top")(source)) for n, source in inner.items()})
+    nested = _by_lower_name(nested, inner)
+    return nested.select(
+        *kept, *_columns_of(lookup("top"), lookup("properties"), lookup("metadata"), lookup("meta"), at)
     )
 
-    def lookup(mapping):
-        return lambda name: json_text.member_ignoring_case(F.col(mapping), name)
 
-    columns = _columns_of(lookup("_p"), lookup("_properties"), lookup("_metadata"), lookup("_m"), at)
-    return nested.select(*kept, *columns)
+def _by_lower_name(df: DataFrame, levels) -> DataFrame:
+    """Replace each member map by its lower-case names and its values."""
+    found = {}
+    for level in levels:
+        found[f"_{level}_names"] = json_text.lower_names(F.col(f"_{level}"))
+        found[f"_{level}_values"] = json_text.values_backwards(F.col(f"_{level}"))
+    return df.withColumns(found).drop(*[f"_{level}" for level in levels])

@@ -117,12 +117,10 @@ def check(records: DataFrame, strictness: str = "required", event_types=VALID_EV
             )
         ),
     )
-    return judged.select(
-        *records.columns,
-        "raw",
-        F.col("_verdict.error_type").alias("error_type"),
-        F.col("_verdict.error").alias("error"),
-    )
+    # A filter on the verdict would be pushed below the projection and repeat
+    # the parse there; one row generated per record keeps it where it is.
+    outcome = F.struct("raw", "_verdict.error_type", "_verdict.error")
+    return judged.select(*records.columns, F.inline(F.array(outcome)))
 
 
 def _verdict(kind: str, message: Column) -> Column:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import timing
+from tidemark.functions import measures, timing
 from tidemark.operators import alarms
 from tidemark.schema import BAND_RED_PCT, BAND_YELLOW_PCT, SHARD_RECORDS_PER_SECOND
 
@@ -30,7 +30,11 @@ def batch_durations(batch_log: DataFrame) -> DataFrame:
     return (
         batch_log.groupBy(F.date_trunc("minute", "started_at").alias("minute"))
         .agg(points.alias("_p"))
-        .select("minute", F.get("_p", F.lit(0)).alias("p50_ms"), F.get("_p", F.lit(1)).alias("p99_ms"))
+        .select(
+            "minute",
+            measures.settled(F.get("_p", F.lit(0)), 1).alias("p50_ms"),
+            measures.settled(F.get("_p", F.lit(1)), 1).alias("p99_ms"),
+        )
     )
 
 
