@@ -37,7 +37,7 @@ def probe_is_object(probed) -> Column:
 
 def is_json_value(raw) -> Column:
     """True when the text is one JSON value of any kind."""
-    wrapped = F.concat(F.lit("["), raw, F.lit("]"))
+    wrapped = F.concat(F.lit("["), raw, F.lit(",0]"))
     return F.try_parse_json(wrapped).isNotNull()
 
 
