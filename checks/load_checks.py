@@ -22,11 +22,15 @@ def _good(spark, sf_dir, **repeats):
     return validate.good(validate.check(fx.records(spark, sf_dir, **repeats)))
 
 
-def _land(spark, sf_dir, **repeats):
-    """Land every good record two seconds after its arrival; returns the root."""
+def _land(spark, sf_dir, hourly=False, **repeats):
+    """Land every good record two seconds after its arrival, or in one flush a
+    day at noon; returns the root."""
     root = work_folder(spark, "landing")
     lines = enrich.enrich(_good(spark, sf_dir, **repeats))
-    landing.land(lines.withColumn("delivered_at", F.col("arrival_ts") + F.expr("interval 2 seconds")), root)
+    at = F.col("arrival_ts") + F.expr("interval 2 seconds")
+    if not hourly:
+        at = F.date_trunc("day", "arrival_ts") + F.expr("interval 12 hours")
+    landing.land(lines.withColumn("delivered_at", at), root)
     return root
 
 
@@ -43,7 +47,7 @@ SELECT strftime(arrival_ts + INTERVAL 2 SECOND, '%Y') AS year, strftime(arrival_
 FROM first_records WHERE error_type IS NULL"""
 )
 def landing_roundtrip(spark, sf_dir):
-    lines = landing.read_lines(spark, _land(spark, sf_dir))
+    lines = landing.read_lines(spark, _land(spark, sf_dir, hourly=True))
     return enrich.flatten(lines).select("year", "month", "day", "hour", "kinesis_seq", "user_id", "page", "value")
 
 
@@ -54,7 +58,7 @@ WHERE CAST(delivered_at AS DATE) = DATE '2024-01-15' AND sequence_number NOT LIK
 )
 def landing_hour_scan(spark, sf_dir):
     """All records are landed with repeats, one day's hours are read back."""
-    lines = landing.read_lines(spark, _land(spark, sf_dir, redelivered=True), 2024, 1, 15)
+    lines = landing.read_lines(spark, _land(spark, sf_dir, hourly=True, redelivered=True), 2024, 1, 15)
     return lines.groupBy("hour").agg(F.count(F.lit(1)).alias("lines"))
 
 

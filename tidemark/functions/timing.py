@@ -25,13 +25,11 @@ def as_of_column(as_of) -> Column:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
-    if isinstance(as_of, dt.datetime):
-        if as_of.tzinfo is None:
-            as_of = as_of.replace(tzinfo=dt.timezone.utc)
-        return F.lit(as_of.astimezone(dt.timezone.utc).isoformat()).cast("timestamp")
-    text = str(as_of)
-    has_zone = text.endswith("Z") or "+" in text[10:] or "-" in text[10:]
-    return F.lit(text if has_zone else text + "Z").cast("timestamp")
+    if not isinstance(as_of, dt.datetime):
+        as_of = dt.datetime.fromisoformat(str(as_of))
+    if as_of.tzinfo is None:
+        as_of = as_of.replace(tzinfo=dt.timezone.utc)
+    return F.lit(as_of.astimezone(dt.timezone.utc).isoformat()).cast("timestamp")
 
 
 def days(n) -> Column:

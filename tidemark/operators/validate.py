@@ -11,8 +11,10 @@ from tidemark.schema import (
     INVALID_FIELDS,
     MISSING_FIELDS,
     NOT_OBJECT,
+    REJECT_KINDS,
     REQUIRED_FIELDS,
     TIMESTAMP_PATTERN,
+    VALID,
     VALID_EVENT_TYPES,
 )
 
@@ -136,12 +138,15 @@ def bad(checked: DataFrame) -> DataFrame:
 
 
 def summary(checked: DataFrame) -> DataFrame:
-    """Rejects per kind with their share of all records."""
-    kinds = checked.groupBy(F.coalesce("error_type", F.lit("valid")).alias("outcome")).agg(
-        F.count(F.lit(1)).alias("records")
+    """Records per outcome with their share of all records, from one aggregate."""
+    outcome = F.coalesce("error_type", F.lit(VALID))
+    kinds = (VALID, *REJECT_KINDS)
+    counts = checked.agg(
+        F.count(F.lit(1)).alias("_all"), *[F.count_if(outcome == kind).alias(kind) for kind in kinds]
     )
-    # Totals come from the few outcome rows, not from a second pass over the data.
-    whole = kinds.agg(F.sum("records").alias("_all"))
-    return kinds.crossJoin(F.broadcast(whole)).select(
-        "outcome", "records", measures.percent(F.col("records"), F.col("_all")).alias("share_pct")
+    listed = F.array(*[F.struct(F.lit(k).alias("outcome"), F.col(k).alias("records")) for k in kinds])
+    return (
+        counts.select("_all", F.inline(listed))
+        .where("records > 0")
+        .select("outcome", "records", measures.percent(F.col("records"), F.col("_all")).alias("share_pct"))
     )

@@ -61,15 +61,16 @@ def reject_backlog(rejected: DataFrame, replayed: DataFrame, period_seconds: int
     active = running.groupBy(timing.floor_period(F.col("minute"), period_seconds).alias("period")).agg(
         F.max("waiting").alias("peak"), F.max_by("waiting", "minute").alias("closing")
     )
-    every = active.agg(F.min("period").alias("lo"), F.max("period").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", timing.seconds(period_seconds))).alias("period")
+    in_order = Window.orderBy("period")
+    step = timing.seconds(period_seconds)
+    last = F.coalesce(F.lead("period").over(in_order) - step, F.col("period"))
+    opening = F.coalesce(F.lag("closing").over(in_order), F.lit(0))
+    # Quiet periods up to the next change hold what the changed one ended with.
+    spread = active.select(
+        "closing", F.greatest(opening, "peak").alias("highest"), F.sequence("period", last, step).alias("each")
     )
-    before = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
-    opening = F.coalesce(F.last("closing", ignorenulls=True).over(before), F.lit(0))
-    return (
-        every.join(active, "period", "left")
-        .withColumn("opening", opening)
-        .select("period", F.greatest("opening", F.coalesce("peak", "opening")).cast("long").alias("backlog"))
+    return spread.select("closing", "highest", F.posexplode("each").alias("n", "period")).select(
+        "period", F.when(F.col("n") == 0, F.col("highest")).otherwise(F.col("closing")).alias("backlog")
     )
 
 

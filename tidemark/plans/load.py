@@ -14,8 +14,10 @@ from tidemark.session import broadcast_if_small, work_folder, written
 from tidemark.sources import rejects
 from tidemark.sources.fact import FactTable
 
-# Bytes one event id may take in a broadcast table, with its overhead.
+# Bytes one event id may take in a broadcast table, with its overhead, and how
+# large such a table may be: about 1.3 million staged ids.
 ID_BYTES = 100
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def stage(lines: DataFrame, loaded_at=None, ignore_case: bool = True) -> DataFrame:
@@ -57,14 +59,17 @@ def load(
     match_dates: str = "all",
     ignore_case: bool = True,
     loaded_at: dt.datetime | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> dict:
     """Upsert lines into the table; returns source, rows loaded and seconds taken.
 
     1. Parse once into a staging folder, counting on the way.
-    2. Find the dates that already hold a staged id. This reads the id column
-       only and shuffles nothing while the ids are few enough to broadcast.
-    3. Rewrite those dates without the ids; add the staged rows. Dates without
-       a match only get new files.
+    2. Find the folders that already hold a staged id. This reads the id
+       column only and shuffles nothing while the ids are few enough to
+       broadcast; beyond that both sides are shuffled by id, and AQE splits an
+       id with very many rows.
+    3. Rewrite those folders without the ids; add the staged rows. Everything
+       else stays as it is, so a load of new events only adds files.
     4. Switch readers over, then write audit rows and rejects.
 
     `match_dates='staged'` searches only the dates of the staged rows, which is
@@ -90,18 +95,19 @@ def load(
     if loaded:
         # Written out so that the joins below see plain scans with known sizes.
         ids = written(good.select("event_id").distinct(), f"{folder}/ids")
-        ids = broadcast_if_small(ids, loaded, ID_BYTES)
+        ids = broadcast_if_small(ids, loaded, ID_BYTES, broadcast_bytes)
         searched = table.read()
         if match_dates == "staged":
             dates = good.select(F.to_date("event_ts").alias("d")).distinct().collect()
             searched = table.read(dates=[r["d"] for r in dates])
         elif match_dates != "all":
             raise ValueError(f"match_dates must be 'all' or 'staged', not {match_dates!r}")
-        # At most one row per event date comes back.
-        matches = searched.select("event_id", "event_date").join(ids, "event_id", "left_semi")
-        hit = [r["event_date"] for r in matches.select("event_date").distinct().collect()]
-        # With no hit there is nothing to rewrite and the load only adds files.
-        rows = upsert(table.read(dates=hit).drop("event_date"), good, staged_ids=ids) if hit else good
+        # At most one row per folder comes back.
+        matches = searched.select("event_id", "event_date", "version").join(ids, "event_id", "left_semi")
+        hit = [tuple(r) for r in matches.select("event_date", "version").distinct().collect()]
+        rows = good
+        if hit:
+            rows = upsert(table.open(hit).select(*FACT_COLUMNS), good, staged_ids=ids)
         version = table.commit(rows, replaces=hit)
     if rejects_root and counts.get["scanned"] > loaded:
         rejects.store(_load_rejects(staged, at), rejects_root, batch_id=version or int(time.time() * 1000))

@@ -130,7 +130,9 @@ def compact(table: FactTable, dates=None, min_rows: int = COMPACT_AFTER_ROWS) ->
     """Rewrite dates as one sorted version; by default those that need it."""
     dates = dates_to_compact(table, min_rows) if dates is None else list(dates)
     if dates:
-        table.commit(table.read(dates=dates).drop("event_date"), replaces=dates)
+        live = table.live().where(F.col("event_date").isin([str(d) for d in dates]))
+        parts = [(r["event_date"], r["version"]) for r in live.collect()]
+        table.commit(table.open(parts), replaces=parts)
     return dates
 
 

@@ -75,16 +75,10 @@ def replay(
     again; the transform and the load drop what arrives twice.
     """
     messages = written(to_messages(unwrap(drained)), work_folder(drained.sparkSession, "replay"))
-    writer = messages.select("key", "value").repartition("key").write.format(fmt).mode("append")
-    writer = writer.options(**(options or {}))
-    total = messages.count()
-    try:
-        writer.save(path) if path else writer.save()
-    except Exception as problem:
-        raise records.PublishError(total) from problem
+    result = records.send(messages, path, fmt, options)
     sent_ids = messages.select("reject_id").distinct().withColumn("replayed_at", timing.as_of_column(replayed_at))
     sent_ids.write.mode("append").parquet(replayed_root)
-    return {"sent": total, "failed": 0}
+    return result
 
 
 def remaining(rejects: DataFrame, replayed: DataFrame) -> DataFrame:

@@ -66,12 +66,15 @@ ALARM_RULES = (
     ("delivery_freshness_seconds", 120.0, 60, 1),
 )
 
-# Reject kinds, in the order in which they are tested.
+# Outcome of a good record, and the reject kinds in the order they are tested.
+VALID = "valid"
 BAD_ENCODING = "bad_encoding"
 BAD_JSON = "bad_json"
 NOT_OBJECT = "not_object"
 MISSING_FIELDS = "missing_fields"
 INVALID_FIELDS = "invalid_fields"
+REJECT_KINDS = (BAD_ENCODING, BAD_JSON, NOT_OBJECT, MISSING_FIELDS, INVALID_FIELDS)
+# Lines that landed but do not fit the fact table.
 LOAD_ERROR = "load_error"
 
 # --- schemas ----------------------------------------------------------------

@@ -64,23 +64,10 @@ def written(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    """Mark a frame for broadcast only when its counted size is under the limit.
+def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, limit_bytes: int) -> DataFrame:
+    """Mark a frame for broadcast only when its counted size is within the limit.
 
-    The limit is spark.sql.autoBroadcastJoinThreshold. Above it the frame is
-    returned as it is and the join shuffles both sides.
+    Above the limit the frame is returned as it is, and the join shuffles both
+    sides instead.
     """
-    spark = df.sparkSession
-    # Spark returns this setting as text with a byte suffix, or -1 when off.
-    limit = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    limit = _to_bytes(limit)
-    return F.broadcast(df) if 0 <= rows * row_bytes <= limit else df
-
-
-def _to_bytes(text: str) -> int:
-    text = text.strip().lower()
-    for suffix, factor in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30),
-                           ("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
-        if text.endswith(suffix):
-            return int(text[: -len(suffix)]) * factor
-    return int(text)
+    return F.broadcast(df) if rows * row_bytes <= limit_bytes else df

@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from tidemark.schema import FACT_SCHEMA
 from tidemark.sources import folders
 
-TABLE_SCHEMA = T.StructType([*FACT_SCHEMA.fields, T.StructField("event_date", T.DateType())])
+TABLE_SCHEMA = T.StructType(
+    [*FACT_SCHEMA.fields, T.StructField("event_date", T.DateType()), T.StructField("version", T.LongType())]
+)
 
 _LIVE_SCHEMA = (
     "event_date string, version long, rows long, min_ts timestamp, max_ts timestamp, "
@@ -32,27 +34,33 @@ class FactTable:
 
     # --- what is in use -----------------------------------------------------
 
-    def _listed(self) -> list[int]:
-        """Versions whose list was written to the end."""
+    def _versions(self) -> list[int]:
+        """Versions that have a list, newest first; the list may be unfinished."""
         found = [n for n in folders.names(self.spark, self.lists) if n.startswith("version=")]
-        done = [n for n in found if "_SUCCESS" in folders.names(self.spark, f"{self.lists}/{n}")]
-        return sorted(int(n.split("=")[1]) for n in done)
+        return sorted((int(n.split("=")[1]) for n in found), reverse=True)
+
+    def _newest(self) -> int | None:
+        """The newest version whose list was written to the end."""
+        for version in self._versions():
+            if "_SUCCESS" in folders.names(self.spark, f"{self.lists}/version={version}"):
+                return version
+        return None
 
     def live(self) -> DataFrame:
         """Folders in use with their row counts and time ranges."""
-        listed = self._listed()
-        if not listed:
+        newest = self._newest()
+        if newest is None:
             return self.spark.createDataFrame([], _LIVE_SCHEMA)
-        return self.spark.read.schema(_LIVE_SCHEMA).parquet(f"{self.lists}/version={listed[-1]}")
+        return self.spark.read.schema(_LIVE_SCHEMA).parquet(f"{self.lists}/version={newest}")
 
     def _next_version(self) -> int:
         # Never reused, so leftovers of a load that died cannot be picked up.
-        return max([int(time.time() * 1000), *[v + 1 for v in self._listed()[-1:]]])
+        return max([int(time.time() * 1000), *[v + 1 for v in self._versions()[:1]]])
 
     # --- reading ------------------------------------------------------------
 
     def read(self, since=None, until=None, dates=None, loaded_since=None) -> DataFrame:
-        """Fact rows with `event_date`.
+        """Fact rows with `event_date` and `version`.
 
         `since`/`until` (dates), `dates` and `loaded_since` (a timestamp
         column) only choose which folders are opened; they filter no rows.
@@ -67,9 +75,10 @@ class FactTable:
         if loaded_since is not None:
             live = live.where(F.col("max_loaded_at") >= loaded_since)
         # One row per folder: dates times loads since the last compaction.
-        return self._open([(r["event_date"], r["version"]) for r in live.collect()])
+        return self.open([(r["event_date"], r["version"]) for r in live.collect()])
 
-    def _open(self, parts) -> DataFrame:
+    def open(self, parts) -> DataFrame:
+        """Rows of the given (date, version) folders."""
         if not parts:
             return self.spark.createDataFrame([], TABLE_SCHEMA)
         paths = [f"{self.data}/version={v}/event_date={d}" for d, v in sorted(parts)]
@@ -83,8 +92,8 @@ class FactTable:
     # --- writing ------------------------------------------------------------
 
     def commit(self, rows: DataFrame, replaces=()) -> int:
-        """Add rows as a new version; `replaces` are dates whose older folders
-        go out of use.
+        """Add rows as a new version; the (date, version) folders in `replaces`
+        go out of use with it.
 
         Rows are rebalanced by event hour and sorted by time: files hold narrow
         time ranges for row-group skipping, an hour with most of the rows is
@@ -92,7 +101,8 @@ class FactTable:
         """
         version = self._next_version()
         (
-            rows.withColumns({"event_date": F.to_date("event_ts"), "_hour": F.date_trunc("hour", "event_ts")})
+            rows.select(*FACT_SCHEMA.fieldNames())
+            .withColumns({"event_date": F.to_date("event_ts"), "_hour": F.date_trunc("hour", "event_ts")})
             .hint("rebalance", "event_date", "_hour")
             .sortWithinPartitions("event_date", "event_ts")
             .drop("_hour")
@@ -101,7 +111,8 @@ class FactTable:
         )
         kept = self.live()
         if replaces:
-            kept = kept.where(~F.col("event_date").isin([str(d) for d in replaces]))
+            folder = F.concat_ws("/", "event_date", F.col("version").cast("string"))
+            kept = kept.where(~folder.isin([f"{d}/{v}" for d, v in replaces]))
         self._publish(version, kept.unionByName(self._described(version)))
         return version
 
@@ -110,7 +121,7 @@ class FactTable:
         names = folders.names(self.spark, f"{self.data}/version={version}")
         parts = [(n.split("=", 1)[1], version) for n in names if n.startswith("event_date=")]
         return (
-            self._open(parts)
+            self.open(parts)
             .groupBy(F.col("event_date").cast("string").alias("event_date"))
             .agg(
                 F.lit(version).cast("long").alias("version"),
@@ -135,7 +146,7 @@ class FactTable:
 
         Run it when no report still reads an older list.
         """
-        listed = self._listed()
+        newest = self._newest()
         used = {(r["event_date"], r["version"]) for r in self.live().collect()}
         removed = 0
         for name in folders.names(self.spark, self.data):
@@ -145,6 +156,7 @@ class FactTable:
             for day in unused:
                 folders.remove(self.spark, f"{self.data}/{name}/{day}")
             removed += len(unused)
-        for version in listed[:-1]:
-            folders.remove(self.spark, f"{self.lists}/version={version}")
+        for version in self._versions():
+            if newest is not None and version < newest:
+                folders.remove(self.spark, f"{self.lists}/version={version}")
         return removed

@@ -16,8 +16,10 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
-def has_data(spark: SparkSession, path: str) -> bool:
-    return any(not n.startswith(("_", ".")) for n in names(spark, path))
+def parts(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column below a folder."""
+    prefix = f"{column}="
+    return [n[len(prefix):] for n in names(spark, path) if n.startswith(prefix)]
 
 
 def remove(spark: SparkSession, path: str) -> None:

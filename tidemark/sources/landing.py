@@ -1,9 +1,13 @@
 """The landing zone: gzip JSON lines under year/month/day/hour of delivery."""
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import flatten
+from tidemark.schema import EVENT_RETENTION_DAYS
+from tidemark.sources import folders
 
 HOUR_PARTS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
 
@@ -71,17 +75,39 @@ def read_prefix(spark: SparkSession, prefix: str) -> DataFrame:
     return lines.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
 
 
-def stream_lines(spark: SparkSession, root: str, max_files: int = 1_000) -> DataFrame:
-    """Landed lines as a stream of newly arrived files."""
+def stream_lines(spark: SparkSession, root: str, max_files: int = 1_000, below: str = "", options=None) -> DataFrame:
+    """Landed lines as a stream of newly arrived files.
+
+    Every trigger lists the folder, so on a zone that keeps a year of hours
+    name the part that still fills, as in `below='year=2024/month=05/*'`.
+    """
     lines = (
         spark.readStream.format("text")
         .option("maxFilesPerTrigger", max_files)
         .option("recursiveFileLookup", "true")
-        .load(f"{root}/events")
+        .options(**(options or {}))
+        .load(f"{root}/events/{below}".rstrip("/"))
     )
     return lines.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
 
 
+def expire(spark: SparkSession, root: str, today: dt.date, days: int = EVENT_RETENTION_DAYS, zone: str = "events") -> list:
+    """Remove whole days older than the retention; returns the removed folders.
+
+    Rejects go the same way with `zone='errors'` and their own retention.
+    """
+    first_kept = today - dt.timedelta(days=days)
+    removed = []
+    for year in folders.parts(spark, f"{root}/{zone}", "year"):
+        for month in folders.parts(spark, f"{root}/{zone}/year={year}", "month"):
+            base = f"{root}/{zone}/year={year}/month={month}"
+            for day in folders.parts(spark, base, "day"):
+                if dt.date(int(year), int(month), int(day)) < first_kept:
+                    folders.remove(spark, f"{base}/day={day}")
+                    removed.append(f"{base}/day={day}")
+    return removed
+
+
 def create_view(spark: SparkSession, root: str, name: str, ignore_case: bool = True) -> None:
     """A view with the fact columns straight over the landed files, without a load."""
     flat = flatten(read_lines(spark, root), loaded_at=F.lit(None).cast("timestamp"), ignore_case=ignore_case)

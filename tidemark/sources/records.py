@@ -67,21 +67,31 @@ def publish(
 ) -> dict:
     """Write events as keyed messages, in order within each key.
 
+    A message service takes a key's messages in order only from one writer, so
+    each key goes to one task, sorted. Files are ordered by their names, so
+    there a key with very many events is split over several tasks by time.
+
     Returns `{sent, failed}`. A Spark write is all or nothing: a failed task is
     retried, and when the write fails as a whole every event counts as failed.
     """
-    counted = Observation("published")
-    ordered = (
-        events.observe(counted, F.count(F.lit(1)).alias("sent"))
-        .repartition(key)
-        .sortWithinPartitions(key, order_by)
-    )
-    messages = keyed_messages(ordered, key)
-    writer = messages.write.format(fmt).mode("append").options(**(options or {}))
+    if fmt in FILE_FORMATS:
+        placed = events.repartitionByRange(key, order_by)
+    else:
+        placed = events.repartition(key)
+    messages = keyed_messages(placed.sortWithinPartitions(key, order_by), key)
+    return send(messages, path, fmt, options)
+
+
+def send(messages: DataFrame, path=None, fmt: str = "json", options=None) -> dict:
+    """Write `key`, `value` messages to a sink; returns `{sent, failed}`."""
+    counted = Observation()
+    # Counted in the writing stage itself: stages before a shuffle may run twice.
+    observed = messages.select("key", "value").observe(counted, F.count(F.lit(1)).alias("sent"))
+    writer = observed.write.format(fmt).mode("append").options(**(options or {}))
     try:
         writer.save(path) if path else writer.save()
     except Exception as problem:
-        raise PublishError(events.count()) from problem
+        raise PublishError(messages.count()) from problem
     return {"sent": counted.get["sent"], "failed": 0}
 
 

@@ -16,6 +16,7 @@ def start(
     audit_root: str | None = None,
     rejects_root: str | None = None,
     max_files: int = 1_000,
+    below: str = "",
     **options,
 ) -> StreamingQuery:
     """Start the load job; `trigger=None` loads what is there and ends.
@@ -27,7 +28,7 @@ def start(
         load(table, batch, f"{landing_root} batch {batch_id}", audit_root, rejects_root, **options)
 
     writer = (
-        stream_lines(table.spark, landing_root, max_files)
+        stream_lines(table.spark, landing_root, max_files, below)
         .writeStream.queryName("load")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)

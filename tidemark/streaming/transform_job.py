@@ -11,6 +11,9 @@ from tidemark.operators import enrich, validate
 from tidemark.schema import BATCH_LOG_SCHEMA, KEY_MEMORY_SECONDS, VALID_EVENT_TYPES
 from tidemark.sources import landing, rejects
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 INTAKE = "intake"
 OUTCOME = "outcome"
 
@@ -108,7 +111,8 @@ def start(
     """Start the job. `trigger=None` works off what is there and ends.
 
     The trigger is the landing zone's flush time. A restart with the same
-    checkpoint goes on where the last finished batch ended.
+    checkpoint goes on where the last finished batch ended. Keys are kept in
+    RocksDB on the executors' disks, not on the JVM heap.
     """
     spark = records.sparkSession
     if batch_log:
@@ -120,7 +124,12 @@ def start(
         .foreachBatch(batch_writer(root, form))
     )
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
-    return writer.start()
+    usual = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(STATE_STORE, usual)
 
 
 def counters(progress) -> dict:
