@@ -14,7 +14,7 @@ os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark import fixtures as fx  # noqa: E402
+from checks import fixtures as fx  # noqa: E402
 from tidemark.operators import enrich, validate  # noqa: E402
 from tidemark.plans import health, load, maintain, reports  # noqa: E402
 from tidemark.session import build_session, work_folder  # noqa: E402

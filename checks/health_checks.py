@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import FACT, RECORDS, half_up, percent
-from tidemark import fixtures as fx
+from checks import fixtures as fx
 from tidemark.operators import alarms, validate
 from tidemark.plans import health, maintain
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import FACT, FACT_COLUMNS, PAYLOAD, RECORDS, percent
-from tidemark import fixtures as fx
+from checks import fixtures as fx
 from tidemark.operators import enrich, upsert, validate
-from tidemark.plans import load, maintain, replay
+from tidemark.plans import load, maintain, replay, reports
 from tidemark.schema import FACT_COLUMNS as FACT_NAMES
 from tidemark.session import work_folder
 from tidemark.sources import landing, records, rejects
@@ -161,8 +161,6 @@ def load_twice(spark, sf_dir):
   max(event_ts) AS last_seen FROM usable GROUP BY 1 HAVING count(*) > 1"""
 )
 def duplicates_after_load(spark, sf_dir):
-    from tidemark.plans import reports
-
     table, _ = _loaded_table(spark, sf_dir)
     found = reports.duplicate_events(table.read(), "2024-02-01 00:30:00", 1, top=None)
     return found.select("event_id", "occurrences", "first_seen", "last_seen")
@@ -227,10 +225,8 @@ def drain_rejects(spark, sf_dir):
 
 
 def _dead_letters(spark, sf_dir):
-    """Dead-letter bodies of four kinds, by event type.
-
-    Wrappers carry the record and, for clicks, the same record's user part again.
-    """
+    """Dead-letter bodies by event type: wrappers with one record, with the same
+    record twice and with none, a bare payload, and text that is not JSON."""
     made = fx.clean_records(spark, sf_dir).withColumn("raw", F.unbase64("data").cast("string"))
     kind = F.get_json_object("raw", "$.event_type")
     record = F.format_string('{"kinesis":{"sequenceNumber":"%s","data":"%s"}}', "sequence_number", "data")
@@ -248,14 +244,17 @@ def _dead_letters(spark, sf_dir):
     return made.select(F.col("sequence_number").alias("reject_id"), body.alias("body"))
 
 
+_COPIES = f"""WITH {RECORDS}, copies AS (
+  SELECT *, unnest(CASE WHEN event_type = 'click' THEN [1, 2] ELSE [1] END) AS copy FROM first_records)"""
+
+_PAYLOADS = f"""CASE WHEN event_type IN ('view', 'click', 'purchase') THEN {PAYLOAD}
+  WHEN event_type = 'error' THEN '{{"requestContext":{{"condition":"retries"}},"requestPayload":{{"Records":[]}}}}' END"""
+
+
 @query(
-    f"""WITH {RECORDS}, copies AS (
-  SELECT *, unnest(CASE WHEN event_type = 'click' THEN [1, 2] ELSE [1] END) AS copy FROM first_records)
+    f"""{_COPIES}
 SELECT sequence_number AS reject_id,
-       CASE WHEN event_type IN ('view', 'click') THEN sequence_number END AS original_sequence,
-       CASE WHEN event_type IN ('view', 'click', 'purchase') THEN {PAYLOAD}
-            WHEN event_type = 'error' THEN '{{"requestContext":{{"condition":"retries"}},"requestPayload":{{"Records":[]}}}}'
-       END AS payload
+       CASE WHEN event_type IN ('view', 'click') THEN sequence_number END AS original_sequence, {_PAYLOADS} AS payload
 FROM copies"""
 )
 def replay_unwrap(spark, sf_dir):
@@ -263,8 +262,7 @@ def replay_unwrap(spark, sf_dir):
 
 
 @query(
-    f"""WITH {RECORDS}, copies AS (
-  SELECT *, unnest(CASE WHEN event_type = 'click' THEN [1, 2] ELSE [1] END) AS copy FROM first_records)
+    f"""{_COPIES}
 SELECT CASE WHEN event_type = 'error' THEN 'replay-' || sequence_number ELSE user_id END AS key, count(*) AS messages
 FROM copies WHERE event_type <> 'signup' GROUP BY 1"""
 )
@@ -274,13 +272,14 @@ def replay_messages(spark, sf_dir):
 
 
 @query(
-    f"""WITH {RECORDS}
-SELECT sequence_number AS reject_id, left({PAYLOAD}, 200) AS sample FROM first_records
-WHERE event_type = 'purchase' ORDER BY 1 LIMIT 5"""
+    f"""{_COPIES}, unwrapped AS (
+  SELECT sequence_number AS reject_id, {_PAYLOADS} AS payload FROM copies), sendable AS (
+  SELECT *, count(*) OVER () AS would_send FROM unwrapped WHERE payload IS NOT NULL)
+SELECT reject_id, left(payload, 200) AS sample, would_send FROM sendable ORDER BY reject_id, payload LIMIT 5"""
 )
 def replay_dry_run(spark, sf_dir):
-    bare = _dead_letters(spark, sf_dir).where(F.get_json_object("body", "$.event_type") == "purchase")
-    return replay.dry_run(replay.unwrap(bare))["samples"]
+    plan = replay.dry_run(replay.unwrap(_dead_letters(spark, sf_dir)))
+    return plan["samples"].withColumn("would_send", F.lit(plan["dry_run"]).cast("long"))
 
 
 @query(
@@ -355,8 +354,19 @@ def compact_sort(spark, sf_dir):
     return per_date.join(versions, "event_date")
 
 
-@query()
+@query(
+    f"""WITH {FACT} SELECT CAST(event_ts AS DATE) AS event_date, count(*) AS rows, min(event_ts) AS min_ts,
+  max(event_ts) AS max_ts, true AS sized FROM fact GROUP BY 1"""
+)
 def file_stats(spark, sf_dir):
+    """Per date; how many files a date has is up to the cluster."""
     table = FactTable(spark, work_folder(spark, "table"))
     table.commit(fx.fact(spark, sf_dir))
-    return maintain.file_stats(table.read())
+    files = maintain.file_stats(table.read())
+    date = F.to_date(F.regexp_extract("file", r"event_date=([0-9-]+)", 1))
+    return files.groupBy(date.alias("event_date")).agg(
+        F.sum("rows").alias("rows"),
+        F.min("min_ts").alias("min_ts"),
+        F.max("max_ts").alias("max_ts"),
+        (F.min("size_bytes") > 0).alias("sized"),
+    )

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import ALLOWED, FACT_COLUMNS, PAYLOAD, RECORDS
-from tidemark import fixtures as fx
+from checks import fixtures as fx
 from tidemark.functions import json_text, text, timing
 from tidemark.operators import dedupe, enrich, envelope, validate
 from tidemark.schema import FACT_COLUMNS as FACT_NAMES

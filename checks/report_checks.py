@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import AS_OF, FACT, RECENT, cents, half_up, mean_amount, percent
-from tidemark import fixtures as fx
+from checks import fixtures as fx
 from tidemark.plans import reports
 
 HOURS = fx.LOOK_BACK_HOURS

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import FACT, FACT_COLUMNS, RECORDS, cents
-from tidemark import fixtures as fx
+from checks import fixtures as fx
 from tidemark.operators import enrich
 from tidemark.schema import FACT_COLUMNS as FACT_NAMES
 from tidemark.session import work_folder

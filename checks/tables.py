@@ -1,4 +1,4 @@
-"""The fixtures of `tidemark.fixtures` once more, in SQL."""
+"""The fixtures of `checks.fixtures` once more, in SQL."""
 
 from tidemark.schema import VALID_EVENT_TYPES
 

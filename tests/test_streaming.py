@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import START, facts, payload, records, rows
-from tidemark import fixtures as fx
+from checks import fixtures as fx
 from tidemark.operators import dedupe, enrich, validate
 from tidemark.schema import RECORD_SCHEMA
 from tidemark.sources import landing, records as record_source, rejects
