@@ -233,9 +233,9 @@ def seen_keys(spark, sf_dir):
 @query(
     f"""WITH {RECORDS}, keys AS (
   SELECT sequence_number, {_SEEN} + 86400 AS ttl FROM first_records WHERE error_type IS NULL GROUP BY 1)
-SELECT sequence_number, arrival_ts FROM all_records
+SELECT sequence_number, min(arrival_ts) AS arrival_ts FROM all_records
 WHERE error_type IS NULL AND sequence_number NOT IN (
-  SELECT sequence_number FROM keys WHERE ttl > epoch(TIMESTAMP '2024-01-16 00:00:00'))"""
+  SELECT sequence_number FROM keys WHERE ttl > epoch(TIMESTAMP '2024-01-16 00:00:00')) GROUP BY 1"""
 )
 def seen_key_lookup(spark, sf_dir):
     """Keys of the first deliveries, half of them expired, against all deliveries."""

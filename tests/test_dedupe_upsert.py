@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import START, facts, payload, plan, records, rows
-from tidemark.operators import dedupe, upsert, validate
+from tidemark.operators import dedupe, matching, upsert, validate
 from tidemark.schema import SEEN_KEY_SCHEMA
 
 
@@ -28,6 +28,8 @@ def test_seen_keys_expire_after_a_day(spark):
     keys = spark.createDataFrame([("old", 0, 86_400)], SEEN_KEY_SCHEMA)
     assert rows(dedupe.drop_seen(made, keys, "1970-01-01 12:00:00"), "sequence_number") == [("new",)]
     assert rows(dedupe.drop_seen(made, keys, "1970-01-02 00:00:00"), "sequence_number") == [("new",), ("old",)]
+    twice = made.unionByName(made)
+    assert rows(dedupe.drop_seen(twice, keys, "1970-01-01 12:00:00"), "sequence_number") == [("new",)]
 
 
 def test_first_writer_of_a_key_wins(spark, utc):
@@ -62,6 +64,17 @@ def brute_upsert(live, staged, latest):
     )
 
 
+@pytest.mark.parametrize("spread", [0, 5])
+def test_matching_with_a_frequent_key(spark, spread):
+    draw = random.Random(23)
+    made = [("hot" if draw.random() < 0.33 else f"k{draw.randrange(40)}", i) for i in range(500)]
+    chosen = {f"k{n}" for n in range(0, 40, 3)} | {"hot"}
+    left = spark.createDataFrame(made, "k string, i int").repartition(7)
+    keys = spark.createDataFrame([(k,) for k in chosen], "k string")
+    assert rows(matching.matched(left, keys, "k", spread)) == sorted((r for r in made if r[0] in chosen), key=repr)
+    assert rows(matching.unmatched(left, keys, "k", spread)) == sorted((r for r in made if r[0] not in chosen), key=repr)
+
+
 @pytest.mark.parametrize("latest", [False, True])
 def test_upsert_against_brute_force(spark, latest):
     draw = random.Random(3)

@@ -275,12 +275,8 @@ def test_message_sources_map_to_records(spark):
     assert tuple(row) == ("t-1-00000000000000000005", "k", "e30=", START, "1")
 
 
-def test_broadcast_only_under_the_limit(spark):
-    df = spark.range(10)
-    small = session.broadcast_if_small(df, 10, 8, 80)
-    large = session.broadcast_if_small(df, 11, 8, 80)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+def test_broadcast_only_under_the_limit():
+    assert session.fits_broadcast(10, 8, 80) and not session.fits_broadcast(11, 8, 80)
 
 
 def test_shared_folder_comes_from_the_session(spark):

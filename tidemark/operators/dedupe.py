@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import timing
+from tidemark.operators.matching import unmatched
 from tidemark.schema import KEY_MEMORY_SECONDS
 
 
@@ -45,9 +46,12 @@ def live_keys(keys: DataFrame, as_of=None) -> DataFrame:
 
 
 def drop_seen(records: DataFrame, keys: DataFrame, as_of=None) -> DataFrame:
-    """Records whose sequence number is not among the live keys."""
-    known = live_keys(keys, as_of).select("sequence_number")
-    return records.join(known, "sequence_number", "left_anti")
+    """First deliveries whose sequence number is not among the live keys.
+
+    A second copy in the same set is a repeat of the first, so copies are
+    reduced before the lookup and no key is frequent in the join.
+    """
+    return unmatched(first_delivery(records), live_keys(keys, as_of), "sequence_number")
 
 
 def remember(keys: DataFrame, new: DataFrame, as_of=None) -> DataFrame:

@@ -3,19 +3,26 @@
 from pyspark.sql import DataFrame
 
 from tidemark.operators.dedupe import newest_per_event
+from tidemark.operators.matching import SPREAD, unmatched
 
 
-def upsert(live: DataFrame, staged: DataFrame, intra_batch: str = "all", staged_ids: DataFrame | None = None) -> DataFrame:
+def upsert(
+    live: DataFrame,
+    staged: DataFrame,
+    intra_batch: str = "all",
+    staged_ids: DataFrame | None = None,
+    spread: int = SPREAD,
+) -> DataFrame:
     """Live rows without the staged ids, followed by the staged rows.
 
     The last load wins. With `intra_batch='all'` duplicates inside the staged
     set all stay; `'latest'` keeps the newest row per id. `staged_ids` may pass
-    the distinct ids already written out, which lets AQE split a skewed live
-    key: it does so only when nothing stands between shuffle and join.
+    the distinct ids already at hand. `spread` keeps an id with very many live
+    rows from ending up in one task; a broadcast of the ids needs none.
     """
     staged = settle(staged, intra_batch)
     ids = staged.select("event_id").distinct() if staged_ids is None else staged_ids
-    return live.join(ids, "event_id", "left_anti").select(*live.columns).unionByName(staged)
+    return unmatched(live, ids, "event_id", spread).unionByName(staged)
 
 
 def settle(staged: DataFrame, intra_batch: str) -> DataFrame:

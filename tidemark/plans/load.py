@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import measures, timing
 from tidemark.operators.enrich import flatten
+from tidemark.operators.matching import SPREAD, matched
 from tidemark.operators.upsert import settle, upsert
 from tidemark.schema import FACT_COLUMNS, FACT_NOT_NULL, LOAD_ERROR
-from tidemark.session import broadcast_if_small, work_folder, written
+from tidemark.session import fits_broadcast, work_folder, written
 from tidemark.sources import rejects
 from tidemark.sources.fact import FactTable
 
@@ -66,8 +67,8 @@ def load(
     1. Parse once into a staging folder, counting on the way.
     2. Find the folders that already hold a staged id. This reads the id
        column only and shuffles nothing while the ids are few enough to
-       broadcast; beyond that both sides are shuffled by id, and AQE splits an
-       id with very many rows.
+       broadcast; beyond that both sides are shuffled by id, an id with very
+       many rows over several tasks.
     3. Rewrite those folders without the ids; add the staged rows. Everything
        else stays as it is, so a load of new events only adds files.
     4. Switch readers over, then write audit rows and rejects.
@@ -93,9 +94,12 @@ def load(
     loaded = counts.get["good"]
     version = None
     if loaded:
-        # Written out so that the joins below see plain scans with known sizes.
-        ids = written(good.select("event_id").distinct(), f"{folder}/ids")
-        ids = broadcast_if_small(ids, loaded, ID_BYTES, broadcast_bytes)
+        # Written out, so that the two joins below do not each repeat the distinct.
+        distinct = Observation("ids")
+        ids = good.select("event_id").distinct().observe(distinct, F.count(F.lit(1)).alias("n"))
+        ids = written(ids, f"{folder}/ids")
+        small = fits_broadcast(distinct.get["n"], ID_BYTES, broadcast_bytes)
+        ids, spread = (F.broadcast(ids), 0) if small else (ids, SPREAD)
         searched = table.read()
         if match_dates == "staged":
             dates = good.select(F.to_date("event_ts").alias("d")).distinct().collect()
@@ -103,11 +107,11 @@ def load(
         elif match_dates != "all":
             raise ValueError(f"match_dates must be 'all' or 'staged', not {match_dates!r}")
         # At most one row per folder comes back.
-        matches = searched.select("event_id", "event_date", "version").join(ids, "event_id", "left_semi")
+        matches = matched(searched.select("event_id", "event_date", "version"), ids, "event_id", spread)
         hit = [tuple(r) for r in matches.select("event_date", "version").distinct().collect()]
         rows = good
         if hit:
-            rows = upsert(table.open(hit).select(*FACT_COLUMNS), good, staged_ids=ids)
+            rows = upsert(table.open(hit).select(*FACT_COLUMNS), good, staged_ids=ids, spread=spread)
         version = table.commit(rows, replaces=hit)
     if rejects_root and counts.get["scanned"] > loaded:
         rejects.store(_load_rejects(staged, at), rejects_root, batch_id=version or int(time.time() * 1000))

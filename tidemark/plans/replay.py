@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import json_text, timing
+from tidemark.operators.matching import SPREAD, unmatched
 from tidemark.schema import PREVIEW_CHARS, PREVIEW_ROWS, REJECT_RETENTION_DAYS
 from tidemark.session import work_folder, written
 from tidemark.sources import records
@@ -83,7 +84,7 @@ def replay(
 
 def remaining(rejects: DataFrame, replayed: DataFrame) -> DataFrame:
     """Rejects not yet replayed, by id."""
-    return rejects.join(replayed.select("reject_id").distinct(), "reject_id", "left_anti")
+    return unmatched(rejects, replayed.select("reject_id").distinct(), "reject_id", SPREAD)
 
 
 def expire(rejects: DataFrame, as_of=None, days: int = REJECT_RETENTION_DAYS) -> DataFrame:

@@ -4,7 +4,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -64,10 +63,6 @@ def written(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, limit_bytes: int) -> DataFrame:
-    """Mark a frame for broadcast only when its counted size is within the limit.
-
-    Above the limit the frame is returned as it is, and the join shuffles both
-    sides instead.
-    """
-    return F.broadcast(df) if rows * row_bytes <= limit_bytes else df
+def fits_broadcast(rows: int, row_bytes: int, limit_bytes: int) -> bool:
+    """Whether a frame of a counted size may be broadcast."""
+    return rows * row_bytes <= limit_bytes
