@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.operators import enrich, validate
+from tidemark.operators.matching import SPREAD
 from tidemark.schema import BATCH_LOG_SCHEMA, KEY_MEMORY_SECONDS, VALID_EVENT_TYPES
 from tidemark.sources import landing, rejects
 
@@ -18,15 +19,19 @@ INTAKE = "intake"
 OUTCOME = "outcome"
 
 
-def drop_redelivered(
-    checked: DataFrame, keys=("sequence_number",), memory_seconds: int = KEY_MEMORY_SECONDS, spread: int = 16
-) -> DataFrame:
-    """Drop good records whose key was seen before; rejected ones all pass.
+def remembering(checked: DataFrame, memory_seconds: int = KEY_MEMORY_SECONDS) -> DataFrame:
+    """Set how long keys are remembered, by the time they were first seen.
 
-    Keys are remembered by the time they were first seen (`seen_at`, the batch
-    time), not by the record's own time: a late or replayed record is never
-    behind the watermark and so never lost. Spark keeps a key until the
-    watermark passes its time plus the delay, hence half the memory as delay.
+    That is `seen_at`, the batch time, and not the record's own time: a late
+    or replayed record is never behind the watermark and so never lost. Spark
+    keeps a key until the watermark passes its time plus the delay, hence half
+    the memory as delay.
+    """
+    return checked.withWatermark("seen_at", f"{memory_seconds / 2} seconds")
+
+
+def drop_repeats(checked: DataFrame, key: str, spread: int = SPREAD) -> DataFrame:
+    """Drop good records whose key was seen before; rejected ones all pass.
 
     Rejected records get an id of their own, so none counts as a repeat.
 
@@ -36,15 +41,14 @@ def drop_redelivered(
     `spread=0` turns it off.
     """
     own_id = F.when(F.col("error_type").isNotNull(), F.uuid())
-    keyed = checked.withColumn("_own", own_id).withWatermark("seen_at", f"{memory_seconds / 2} seconds")
-    names = [*keys, "_own"]
+    keyed = checked.withColumn("_own", own_id)
     if spread:
         keyed = (
             keyed.withColumn("_spread", F.spark_partition_id() % F.lit(spread))
-            .dropDuplicatesWithinWatermark([*names, "_spread"])
+            .dropDuplicatesWithinWatermark([key, "_own", "_spread"])
             .drop("_spread")
         )
-    return keyed.dropDuplicatesWithinWatermark(names).drop("_own")
+    return keyed.dropDuplicatesWithinWatermark([key, "_own"]).drop("_own")
 
 
 def transformed(
@@ -52,7 +56,7 @@ def transformed(
     strictness: str = "required",
     event_types=VALID_EVENT_TYPES,
     memory_seconds: int = KEY_MEMORY_SECONDS,
-    spread: int = 16,
+    spread: int = SPREAD,
     by_event_id: bool = False,
 ) -> DataFrame:
     """Checked and deduplicated records of a stream.
@@ -66,18 +70,13 @@ def transformed(
         F.count(F.lit(1)).alias("received"),
         F.count_if(F.col("error_type").isNotNull()).alias("errors"),
     )
-    unique = drop_redelivered(checked, memory_seconds=memory_seconds, spread=spread)
+    unique = drop_repeats(remembering(checked, memory_seconds), "sequence_number", spread)
     if by_event_id:
         unique = unique.withColumn("_event_id", F.get_json_object("raw", "$.event_id"))
-        unique = _drop_repeats_of(unique, "_event_id").drop("_event_id")
+        unique = drop_repeats(unique, "_event_id", spread).drop("_event_id")
     return unique.observe(OUTCOME, F.count_if(F.col("error_type").isNull()).alias("processed"))
 
 
-def _drop_repeats_of(unique: DataFrame, key: str) -> DataFrame:
-    own_id = F.when(F.col("error_type").isNotNull(), F.uuid())
-    return unique.withColumn("_own", own_id).dropDuplicatesWithinWatermark([key, "_own"]).drop("_own")
-
-
 def batch_writer(root: str, form: str = "short", max_lines: int = 250_000):
     """A foreachBatch function: good rows to the landing zone, the rest to rejects.
 
