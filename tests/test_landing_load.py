@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import START, facts, payload, plan, records, rows
+from helpers import START, encoded, facts, payload, plan, records, rows
 from tidemark import session
 from tidemark.operators import enrich, validate
 from tidemark.plans import load, maintain
@@ -272,7 +272,26 @@ def test_message_sources_map_to_records(spark):
         "topic string, partition int, offset long, key binary, value binary, timestamp timestamp",
     )
     row = record_source._as_records(messages, record_source.MESSAGE_COLUMNS).first()
-    assert tuple(row) == ("t-1-00000000000000000005", "k", "e30=", START, "1")
+    assert tuple(row) == ("t-1-00000000000000000005", "k", bytearray(b"{}"), START, "1")
+    made = record_source._as_records(messages, record_source.MESSAGE_COLUMNS)
+    checked = validate.check(made.unionByName(made.withColumn("data", F.lit(bytearray(b"\xff")))))
+    assert rows(checked, "error_type") == [("bad_encoding",), ("missing_fields",)]
+    bad = rejects.as_rejects(checked, F.col("arrival_ts"))
+    assert rows(bad, "body") == [("/w==",), ("{}",)]
+
+
+def test_delivered_batches(spark, folder):
+    def record(seq):
+        return {"kinesis": {"sequenceNumber": seq, "data": encoded(payload()), "partitionKey": "user_001",
+                            "approximateArrivalTimestamp": 1716818400.25}, "eventSource": "s"}
+
+    Path(f"{folder}/a.json").write_text(json.dumps({"Records": [record("1"), record("2")]}, indent=1))
+    Path(f"{folder}/b.json").write_text(json.dumps({"Records": []}))
+    made = record_source.read_deliveries(spark, folder)
+    assert rows(made, "sequence_number", "partition_key", F.col("arrival_ts").cast("string")) == [
+        ("1", "user_001", "2024-05-27 14:00:00.25"), ("2", "user_001", "2024-05-27 14:00:00.25")
+    ]
+    assert validate.good(validate.check(made)).count() == 2
 
 
 def test_broadcast_only_under_the_limit():

@@ -119,6 +119,18 @@ def test_a_batch_that_fails_between_its_outputs_is_repeated_cleanly(spark, folde
     assert wait_for(spark, f"{folder}/log", 1)[0]["failed"] == 1
 
 
+def test_a_new_checkpoint_does_not_replace_what_was_landed(spark, folder):
+    """A backfill starts its batch numbers over, under another query id."""
+    deliver(records(spark, [("a", payload("1")), ("x", "not-json")]), f"{folder}/first")
+    deliver(records(spark, [("b", payload("2")), ("y", "not-json")]), f"{folder}/second")
+    for inbox in ("first", "second"):
+        source = record_source.stream_records(spark, f"{folder}/{inbox}")
+        transform_job.start(source, f"{folder}/out", f"{folder}/checkpoint-{inbox}", trigger=None).awaitTermination()
+    assert [r[0] for r in landed(spark, f"{folder}/out")] == ["a", "b"]
+    assert rejects.read(spark, f"{folder}/out").count() == 2
+    assert "None" not in {r[0] for r in rejects.read(spark, f"{folder}/out").select("batch_id").collect()}.pop()
+
+
 def wait_for(spark, path, count):
     for _ in range(40):
         try:

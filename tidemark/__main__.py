@@ -125,7 +125,7 @@ def run(spark, args):
     elif args.command == "report":
         REPORTS[args.name](FactTable(spark, args.table).read(), as_of=args.as_of).show(1000, False)
     elif args.command == "replay":
-        drained = rejects.drain(_open_rejects(spark, args.rejects), args.max_messages)
+        drained = rejects.drain(replay.sendable(_open_rejects(spark, args.rejects)), args.max_messages)
         if args.dry_run:
             plan = replay.dry_run(replay.unwrap(drained))
             plan.pop("samples").show(truncate=False)

@@ -14,7 +14,12 @@ _PROBE_SCHEMA = (
 
 def decode_data(data) -> Column:
     """base64 → UTF-8 text; NULL when either step fails."""
-    return F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string"))
+    return decode_bytes(F.try_to_binary(data, F.lit("base64")))
+
+
+def decode_bytes(data) -> Column:
+    """Bytes → UTF-8 text; NULL when they are not UTF-8."""
+    return F.try_validate_utf8(data.cast("string"))
 
 
 def probe(raw) -> Column:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tidemark.functions import json_text
 from tidemark.schema import PAYLOAD_SCHEMA
@@ -28,9 +29,26 @@ def as_records(messages: DataFrame, sequence, arrival_ts, shard_id=None, extra=(
     )
 
 
+def unpack(deliveries: DataFrame) -> DataFrame:
+    """Stream records from delivered batches: rows with an array `Records`."""
+    one = deliveries.select(F.explode("Records").alias("record")).select("record.kinesis")
+    return one.select(
+        F.col("kinesis.sequenceNumber").alias("sequence_number"),
+        F.col("kinesis.partitionKey").alias("partition_key"),
+        F.col("kinesis.data").alias("data"),
+        F.timestamp_micros((F.col("kinesis.approximateArrivalTimestamp") * 1_000_000).cast("long")).alias("arrival_ts"),
+        F.lit(None).cast("string").alias("shard_id"),
+    )
+
+
 def decode(records: DataFrame) -> DataFrame:
-    """Add `raw`: the record's JSON text, NULL for bad base64 or UTF-8."""
-    return records.withColumn("raw", json_text.decode_data(F.col("data")))
+    """Add `raw`: the record's JSON text, NULL for bad base64 or UTF-8.
+
+    `data` is base64 text, or the bytes themselves where a connector gives them.
+    """
+    as_bytes = isinstance(records.schema["data"].dataType, BinaryType)
+    decoder = json_text.decode_bytes if as_bytes else json_text.decode_data
+    return records.withColumn("raw", decoder(F.col("data")))
 
 
 def with_payload(decoded: DataFrame) -> DataFrame:

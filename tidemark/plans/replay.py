@@ -40,6 +40,11 @@ def unwrap(messages: DataFrame) -> DataFrame:
     )
 
 
+def sendable(rejects: DataFrame) -> DataFrame:
+    """Rejects whose body is JSON. The others would only fill every drain."""
+    return rejects.where(json_text.is_json_value(F.col("body")))
+
+
 def to_messages(unwrapped: DataFrame, id_column: str = "reject_id") -> DataFrame:
     """Keyed messages to publish again: by user, else by the reject's own id."""
     user = F.get_json_object("payload", "$.user_id")

@@ -89,6 +89,12 @@ RECORD_SCHEMA = T.StructType(
     ]
 )
 
+# A delivered batch of records, as JSON.
+DELIVERY_SCHEMA = (
+    "Records array<struct<kinesis: struct<sequenceNumber: string, partitionKey: string, data: string, "
+    "approximateArrivalTimestamp: double>, eventSource: string, awsRegion: string>>"
+)
+
 PROPERTIES_SCHEMA = T.StructType(
     [
         T.StructField("page", T.StringType()),

@@ -11,14 +11,14 @@ from tidemark.sources import folders
 
 HOUR_PARTS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
 
-_TEXT_SCHEMA = "value string, year string, month string, day string, hour string, batch_id long"
+_TEXT_SCHEMA = "value string, year string, month string, day string, hour string, batch_id string"
 
 
 def _parts(ts, names) -> dict:
     return {name: F.date_format(ts, HOUR_PARTS[name]) for name in names}
 
 
-def land(lines: DataFrame, root: str, batch_id: int = 0, delivered: str = "delivered_at", max_lines: int = 250_000) -> None:
+def land(lines: DataFrame, root: str, batch_id="0", delivered: str = "delivered_at", max_lines: int = 250_000) -> None:
     """Write `line` under `<root>/events/year=/month=/day=/hour=/batch_id=`.
 
     Rows are rebalanced by hour, so each hour gets few files and a hour that
@@ -29,7 +29,7 @@ def land(lines: DataFrame, root: str, batch_id: int = 0, delivered: str = "deliv
     parts = _parts(F.col(delivered), HOUR_PARTS)
     out = lines.select(F.col("line").alias("value"), *[v.alias(k) for k, v in parts.items()])
     (
-        out.withColumn("batch_id", F.lit(batch_id))
+        out.withColumn("batch_id", F.lit(str(batch_id)))
         .hint("rebalance", *HOUR_PARTS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -40,13 +40,13 @@ def land(lines: DataFrame, root: str, batch_id: int = 0, delivered: str = "deliv
     )
 
 
-def land_parquet(lines: DataFrame, root: str, batch_id: int = 0, delivered: str = "delivered_at") -> None:
+def land_parquet(lines: DataFrame, root: str, batch_id="0", delivered: str = "delivered_at") -> None:
     """The same layout with the fact columns as parquet."""
     parts = _parts(F.col(delivered), HOUR_PARTS)
     flat = flatten(lines.select("line", delivered), loaded_at=F.col(delivered)).drop("line")
     (
         flat.withColumns(parts)
-        .withColumn("batch_id", F.lit(batch_id))
+        .withColumn("batch_id", F.lit(str(batch_id)))
         .drop(delivered)
         .hint("rebalance", *HOUR_PARTS)
         .write.mode("overwrite")

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import timing
-from tidemark.operators.envelope import keyed_messages
-from tidemark.schema import RECORD_SCHEMA
+from tidemark.operators.envelope import keyed_messages, unpack
+from tidemark.schema import DELIVERY_SCHEMA, RECORD_SCHEMA
 
 FILE_FORMATS = ("parquet", "json", "orc", "csv")
 
@@ -18,15 +18,16 @@ FILE_FORMATS = ("parquet", "json", "orc", "csv")
 MESSAGE_COLUMNS = {
     "sequence_number": "concat_ws('-', topic, cast(partition as string), lpad(cast(offset as string), 20, '0'))",
     "partition_key": "cast(key as string)",
-    "data": "base64(value)",
+    "data": "value",
     "arrival_ts": "timestamp",
     "shard_id": "cast(partition as string)",
 }
 
 
 def _as_records(df: DataFrame, columns) -> DataFrame:
+    """The record columns; `data` keeps its type, since messages come as bytes."""
     if columns:
-        return df.select(*[F.expr(columns[f.name]).cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA])
+        return df.select(*[F.expr(columns[name]).alias(name) for name in RECORD_SCHEMA.fieldNames()])
     return df.select(*RECORD_SCHEMA.fieldNames())
 
 
@@ -62,6 +63,11 @@ def read_records(spark: SparkSession, path=None, fmt: str = "parquet", options=N
     return _as_records(reader.load(path) if path else reader.load(), _columns_for(fmt, columns))
 
 
+def read_deliveries(spark: SparkSession, path: str) -> DataFrame:
+    """Records from JSON files of delivered batches (`{"Records": [...]}`)."""
+    return unpack(spark.read.schema(DELIVERY_SCHEMA).json(path, multiLine=True))
+
+
 def publish(
     events: DataFrame, path=None, fmt: str = "json", options=None, key: str = "user_id", order_by: str = "timestamp"
 ) -> dict:

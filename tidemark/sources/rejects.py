@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tidemark.schema import REJECT_SCHEMA, REPLAY_LIMIT
 from tidemark.sources.landing import HOUR_PARTS
@@ -10,17 +11,18 @@ DAY_PARTS = ("year", "month", "day")
 PARTITIONS = (*DAY_PARTS, "error_type", "batch_id")
 
 _STORED = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in REJECT_SCHEMA)
-_PARTS = "year string, month string, day string, error_type string, batch_id long"
+_PARTS = "year string, month string, day string, error_type string, batch_id string"
 
 
 def as_rejects(bad: DataFrame, rejected_at) -> DataFrame:
     """Reject rows from checked records.
 
-    `body` is the decoded text, or the data itself when it could not be
+    `body` is the decoded text, or the data as base64 when it could not be
     decoded. The id is drawn from the row's content and time, so a retried
     batch gives the same ids.
     """
-    body = F.coalesce("raw", "data")
+    as_bytes = isinstance(bad.schema["data"].dataType, BinaryType)
+    body = F.coalesce("raw", F.base64("data") if as_bytes else F.col("data"))
     at = rejected_at
     return bad.select(
         F.sha2(F.concat_ws("|", "sequence_number", body, at.cast("string")), 256).alias("reject_id"),
@@ -32,12 +34,12 @@ def as_rejects(bad: DataFrame, rejected_at) -> DataFrame:
     )
 
 
-def store(rejects: DataFrame, root: str, batch_id: int = 0) -> None:
+def store(rejects: DataFrame, root: str, batch_id="0") -> None:
     """Write rejects under `<root>/errors/year=/month=/day=/error_type=/batch_id=`."""
     parts = {name: F.date_format("rejected_at", HOUR_PARTS[name]) for name in DAY_PARTS}
     (
         rejects.withColumns(parts)
-        .withColumn("batch_id", F.lit(batch_id))
+        .withColumn("batch_id", F.lit(str(batch_id)))
         .hint("rebalance", *DAY_PARTS, "error_type")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

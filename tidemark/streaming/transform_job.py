@@ -15,6 +15,9 @@ from tidemark.sources import landing, rejects
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Set by Spark in the thread of a streaming query; stays the same over restarts.
+QUERY_ID = "sql.streaming.queryId"
+
 INTAKE = "intake"
 OUTCOME = "outcome"
 
@@ -86,6 +89,10 @@ def batch_writer(root: str, form: str = "short", max_lines: int = 250_000):
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Batches are numbered per checkpoint, so the folder names the query too:
+        # a run with a new checkpoint must not replace what another one landed.
+        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        batch_id = f"{query}-{batch_id}"
         batch.persist()
         try:
             good = enrich.enrich(validate.good(batch), form, processed_at=F.col("seen_at"))
