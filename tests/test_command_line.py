@@ -32,6 +32,9 @@ def test_transform_load_report_replay(spark, folder, capsys):
     assert "|5" in call(spark, capsys, "report", "events-per-minute", "--table", f"{folder}/fact",
                         "--as-of", "2024-05-27T14:30:00")
 
+    for name in ("duplicates", "duplicate-check", "skew", "funnel"):
+        assert "|" in call(spark, capsys, "report", name, "--table", f"{folder}/fact")
+
     seen = call(spark, capsys, "replay", "--rejects", f"{folder}/zone", "--dry-run")
     assert '"dry_run": 1' in seen
     sent = call(spark, capsys, "replay", "--rejects", f"{folder}/zone", "--target", f"{folder}/again")

@@ -1,6 +1,8 @@
 """Decode, check, enrich and flatten, on edge rows."""
 
 import json
+import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from helpers import encoded, payload, plan, records, rows
 from tidemark.functions import text, timing
 from tidemark.operators import enrich, envelope, validate
-from tidemark.schema import VALID_EVENT_TYPES
+from tidemark.schema import TIMESTAMP_PATTERN, VALID_EVENT_TYPES
 
 
 def verdicts(spark, bodies, strictness="required", already_encoded=False):
@@ -127,6 +129,61 @@ def test_full_check_collects_every_problem(spark):
     assert found["6"][1].startswith("unknown event_type 'True'")
 
 
+def model_verdict(body, strictness):
+    """The two checks once more, in plain Python."""
+    try:
+        value = json.loads(body)
+    except json.JSONDecodeError:
+        return "bad_json", None
+    if not isinstance(value, dict):
+        return "not_object", None
+    required = ("event_id", "event_type", "timestamp", "user_id")
+    missing = sorted(n for n in required if n not in value)
+    found = [f"missing required fields: {missing}"] if missing else []
+    if strictness == "full":
+        def text(name):
+            return isinstance(value[name], str) and value[name] != ""
+
+        if "event_id" in value and not text("event_id"):
+            found.append("event_id must be a non-empty string")
+        if "event_type" in value and value["event_type"] not in VALID_EVENT_TYPES:
+            found.append(f"unknown event_type '{value['event_type']}'; expected one of {sorted(VALID_EVENT_TYPES)}")
+        if "timestamp" in value:
+            shown = value["timestamp"]
+            if not isinstance(shown, str) or not re.match(TIMESTAMP_PATTERN, shown):
+                found.append(f"timestamp '{shown}' does not match ISO 8601 format")
+        if "user_id" in value and not text("user_id"):
+            found.append("user_id must be a non-empty string")
+    if not found:
+        return None, None
+    return ("missing_fields" if missing else "invalid_fields"), "; ".join(found)
+
+
+@pytest.mark.parametrize("strictness", ["required", "full"])
+def test_random_payloads_against_a_plain_model(spark, strictness):
+    draw = random.Random(29)
+    odd = [None, 0, 7, -3, True, False, "", " ", "x", "click", "2024-05-27T14:00:00Z", "2024-05-27 14:00", "é \"\\"]
+    bodies = []
+    for _ in range(400):
+        made = payload(f"e{draw.randrange(9)}", properties={"page": draw.choice([None, "/a", 5]), "value": 1.5})
+        for name in ("event_id", "event_type", "timestamp", "user_id", "session_id"):
+            if draw.random() < 0.25:
+                made[name] = draw.choice(odd)
+            elif draw.random() < 0.1:
+                made.pop(name, None)
+        text_of = json.dumps(made, ensure_ascii=draw.random() < 0.5, indent=draw.choice([None, 1]))
+        if draw.random() < 0.25:
+            cut = draw.randrange(len(text_of))
+            text_of = draw.choice([text_of[:cut], text_of[:cut] + draw.choice('{}[],:"') + text_of[cut:], text_of + "}"])
+        bodies.append(text_of)
+    found = verdicts(spark, bodies, strictness)
+    for i, body in enumerate(bodies):
+        kind, message = model_verdict(body, strictness)
+        assert found[str(i)][0] == kind, body
+        if message:
+            assert found[str(i)][1] == message
+
+
 def test_strictness_is_checked(spark):
     with pytest.raises(ValueError):
         validate.check(records(spark, [("1", payload())]), "some")
@@ -197,7 +254,9 @@ def test_flatten_bad_values_become_null(spark):
 
 
 def test_sanitize(spark):
-    values = ["\t /home \n", "x" * 300, "  a b  ", "\x1c\x1fa\x0b", ""]
+    values = ["\t /home \n", "x" * 300, "\xa0  a b \u2003", "\x1c\x1fa\x0b", "", "\u200ba\u200b"]
+    # Every character that Python strips, at both ends and inside.
+    values += [f"{c}a{c}b{c}" for c in map(chr, range(1, 0x3100)) if c.isspace()]
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = [r[0] for r in df.select(text.sanitize(F.col("v"))).collect()]
     assert got == [v.strip()[:255] for v in values]

@@ -171,6 +171,13 @@ def test_full_strictness_and_full_meta(spark, folder):
     assert rows(rejects.by_type(rejects.read(spark, root))) == [("invalid_fields", 1)]
 
 
+def test_landing_as_parquet(spark, folder):
+    inbox, root = f"{folder}/inbox", f"{folder}/out"
+    deliver(records(spark, [("a", payload("1")), ("x", "not-json")]), inbox)
+    run(spark, inbox, root, zone_format="parquet")
+    assert rows(spark.read.parquet(f"{root}/events"), "event_id", "kinesis_seq") == [("1", "a")]
+
+
 def test_starting_at_the_newest_record(spark, folder):
     inbox = f"{folder}/inbox"
     deliver(records(spark, [("old", payload()), ("new", payload())]), inbox)

@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import timing
 from tidemark.plans import health, load, maintain, replay, reports
 from tidemark.schema import REPLAY_LIMIT
 from tidemark.session import build_session
@@ -123,7 +124,10 @@ def run(spark, args):
             FactTable(spark, args.table), args.root, args.checkpoint, trigger, below=args.below
         ).awaitTermination()
     elif args.command == "report":
-        REPORTS[args.name](FactTable(spark, args.table).read(), as_of=args.as_of).show(1000, False)
+        table = FactTable(spark, args.table)
+        # Duplicates are cut by load time, which the table's list of folders knows.
+        loaded = timing.as_of_column(args.as_of) - timing.hours(1) if args.name == "duplicates" else None
+        REPORTS[args.name](table.read(loaded_since=loaded), as_of=args.as_of).show(1000, False)
     elif args.command == "replay":
         drained = rejects.drain(replay.sendable(_open_rejects(spark, args.rejects)), args.max_messages)
         if args.dry_run:

@@ -80,14 +80,19 @@ def transformed(
     return unique.observe(OUTCOME, F.count_if(F.col("error_type").isNull()).alias("processed"))
 
 
-def batch_writer(root: str, form: str = "short", max_lines: int = 250_000):
+def batch_writer(root: str, form: str = "short", zone_format: str = "json"):
     """A foreachBatch function: good rows to the landing zone, the rest to rejects.
 
+    `zone_format='parquet'` lands the fact columns instead of JSON lines, for
+    zones that are queried in place.
+
     Both outputs lie in folders of their batch and are replaced when the batch
     runs again. All times come from `seen_at`, which Spark fixes per batch, so
     a second run writes the same folders.
     """
 
+    land = {"json": landing.land, "parquet": landing.land_parquet}[zone_format]
+
     def write(batch: DataFrame, batch_id: int) -> None:
         # Batches are numbered per checkpoint, so the folder names the query too:
         # a run with a new checkpoint must not replace what another one landed.
@@ -96,7 +101,7 @@ def batch_writer(root: str, form: str = "short", max_lines: int = 250_000):
         batch.persist()
         try:
             good = enrich.enrich(validate.good(batch), form, processed_at=F.col("seen_at"))
-            landing.land(good.withColumnRenamed("seen_at", "delivered_at"), root, batch_id, max_lines=max_lines)
+            land(good.withColumnRenamed("seen_at", "delivered_at"), root, batch_id)
             rejects.store(rejects.as_rejects(validate.bad(batch), F.col("seen_at")), root, batch_id)
         finally:
             batch.unpersist()
@@ -112,6 +117,7 @@ def start(
     form: str = "short",
     name: str = "transform",
     batch_log: str | None = None,
+    zone_format: str = "json",
     **options,
 ) -> StreamingQuery:
     """Start the job. `trigger=None` works off what is there and ends.
@@ -127,7 +133,7 @@ def start(
         transformed(records, **options)
         .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(root, form))
+        .foreachBatch(batch_writer(root, form, zone_format))
     )
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     usual = spark.conf.get(STATE_STORE)
