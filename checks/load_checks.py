@@ -8,10 +8,10 @@ from checks.registry import query
 from checks.tables import FACT, FACT_COLUMNS, PAYLOAD, RECORDS, percent
 from checks import fixtures as fx
 from tidemark.operators import enrich, upsert, validate
-from tidemark.plans import load, maintain, replay, reports
+from tidemark.plans import backfill, load, maintain, replay, reports
 from tidemark.schema import FACT_COLUMNS as FACT_NAMES
 from tidemark.session import work_folder
-from tidemark.sources import landing, records, rejects
+from tidemark.sources import keys, landing, records, rejects
 from tidemark.sources.fact import FactTable
 
 LOADED = [c for c in FACT_NAMES if c != "loaded_at"]
@@ -88,6 +88,41 @@ def landing_parquet(spark, sf_dir):
     )
 
 
+def _backfilled(spark, sf_dir):
+    """First deliveries in one run, then all records in a second one."""
+    root = work_folder(spark, "backfill")
+    keys_root = f"{root}/keys"
+    backfill.run(fx.records(spark, sf_dir), root, keys_root, "run-1", "2024-02-01 00:00:00")
+    again = fx.records(spark, sf_dir, redelivered=True, resent=True)
+    backfill.run(again, root, keys_root, "run-2", "2024-02-01 06:00:00")
+    return root
+
+
+@query(
+    f"""WITH {RECORDS}, sent AS (SELECT DISTINCT sequence_number FROM all_records WHERE error_type IS NULL)
+SELECT CASE WHEN sequence_number LIKE 'r%' THEN 'run-2' ELSE 'run-1' END AS run_id, sequence_number AS kinesis_seq FROM sent"""
+)
+def backfill_twice(spark, sf_dir):
+    """The second run lands only what the first has not seen."""
+    root = _backfilled(spark, sf_dir)
+    runs = [
+        enrich.flatten(landing.read_lines(spark, root, batch_id=run)).select(F.lit(run).alias("run_id"), "kinesis_seq")
+        for run in ("run-1", "run-2")
+    ]
+    return runs[0].unionByName(runs[1])
+
+
+@query(
+    f"""WITH {RECORDS}
+SELECT DISTINCT sequence_number,
+  CAST(epoch(TIMESTAMP '2024-02-01') AS BIGINT) + CASE WHEN sequence_number LIKE 'r%' THEN 21600 ELSE 0 END AS processed_at
+FROM all_records WHERE error_type IS NULL"""
+)
+def backfill_keys(spark, sf_dir):
+    root = _backfilled(spark, sf_dir)
+    return keys.read(spark, f"{root}/keys", "2024-02-01 12:00:00").select("sequence_number", "processed_at")
+
+
 def _raised(rows, amount):
     """Purchases again with a higher value."""
     return rows.where("event_type = 'purchase'").withColumn(

@@ -235,14 +235,17 @@ def test_flatten(spark):
             "_META": {"kinesis_sequence": "9", "processed_by": "p"},
         }
     )
-    lines = spark.createDataFrame([(line,), ('{"event_id":"a","EVENT_ID":"b"}',)], "line string")
-    first, second = enrich.flatten(lines).collect()
+    more = ['{"EVENT_ID":"a","Event_Id":"b"}', '{"event_id":"a","EVENT_ID":"b"}', '{"event_id":null,"EVENT_ID":"b"}']
+    lines = spark.createDataFrame([(x,) for x in [line, *more]], "line string")
+    first, second, *others = enrich.flatten(lines).collect()
     assert first["event_id"] == "x" * 36
     assert str(first["event_ts"]) == "2024-05-27 14:00:00"
     assert (first["user_id"], first["page"], first["duration_ms"]) == ("7", "/cart", 300)
     assert first["value"] == Decimal("12.35")
     assert (first["producer_ver"], first["aws_region"], first["kinesis_seq"]) == ("1.0.0", "eu", "9")
     assert second["event_id"] == "b" and second["event_ts"] is None
+    # A name in its own spelling comes before other spellings, unless it is null.
+    assert [r["event_id"] for r in others] == ["a", "b"]
 
 
 def test_flatten_bad_values_become_null(spark):

@@ -11,6 +11,7 @@ from helpers import START, facts, payload, records, rows
 from checks import fixtures as fx
 from tidemark.operators import dedupe, enrich, validate
 from tidemark.schema import RECORD_SCHEMA
+from tidemark.plans import backfill
 from tidemark.sources import landing, records as record_source, rejects
 from tidemark.sources.fact import FactTable
 from tidemark.streaming import live_windows, loader, transform_job
@@ -189,6 +190,26 @@ def test_starting_at_the_newest_record(spark, folder):
     assert record_source.read_records(spark, inbox).schema == RECORD_SCHEMA
 
 
+def test_backfill_repeats_and_expires(spark, folder):
+    made = records(spark, [("a", payload("1")), ("a", payload("1")), ("b", payload("2")), ("x", "not-json")])
+    more = made.unionByName(records(spark, [("c", payload("3"))]))
+    root, keys_root = f"{folder}/zone", f"{folder}/keys"
+
+    def landed_by(run):
+        return sorted(r[0] for r in enrich.flatten(landing.read_lines(spark, root, batch_id=run)).select("kinesis_seq").collect())
+
+    for _ in range(2):
+        # The same run again changes nothing.
+        backfill.run(made, root, keys_root, "one", "2024-06-01 00:00:00")
+        assert landed_by("one") == ["a", "b"] and rejects.read(spark, root).count() == 1
+    backfill.run(more, root, keys_root, "two", "2024-06-01 23:59:59")
+    assert landed_by("two") == ["c"]
+    # A day after the first run its keys are forgotten, those of the second are not.
+    backfill.run(more, root, keys_root, "three", "2024-06-02 00:00:00")
+    assert landed_by("three") == ["a", "b"]
+    assert rejects.read(spark, root).count() == 3
+
+
 def test_loading_as_files_arrive(spark, folder):
     root, table = f"{folder}/zone", FactTable(spark, f"{folder}/fact")
 

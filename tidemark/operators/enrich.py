@@ -1,5 +1,7 @@
 """Processing metadata, and the flat form the fact table holds."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,27 +38,6 @@ def enrich(good: DataFrame, form: str = "short", processed_at=None, processor: s
     return good.withColumn("line", json_text.add_member(F.col("raw"), "_meta", meta))
 
 
-def _columns_of(payload, properties, metadata, meta, loaded_at) -> list[Column]:
-    fields = {
-        "event_id": payload("event_id"),
-        "event_type": payload("event_type"),
-        "event_ts": timing.parse_timestamp(payload("timestamp")),
-        "user_id": payload("user_id"),
-        "session_id": payload("session_id"),
-        "page": properties("page"),
-        "duration_ms": properties("duration_ms").try_cast("int"),
-        "value": properties("value").try_cast("decimal(12,2)"),
-        "producer_ver": metadata("producer_version"),
-        "aws_region": metadata("region"),
-        "kinesis_seq": meta("kinesis_sequence"),
-        "processed_by": meta("processed_by"),
-        "loaded_at": loaded_at,
-    }
-    for name, width in COLUMN_WIDTHS.items():
-        fields[name] = text.clip(fields[name], width)
-    return [fields[name].alias(name) for name in FACT_COLUMNS]
-
-
 _LINE_SCHEMA = (
     "event_id string, event_type string, timestamp string, user_id string, session_id string, "
     "properties struct<page: string, duration_ms: string, value: string>, "
@@ -64,41 +45,74 @@ _LINE_SCHEMA = (
     "_meta struct<kinesis_sequence: string, processed_by: string>"
 )
 
+# Fact column → where its value stands in a line: level and member name.
+_PLACES = {
+    "event_id": ("top", "event_id"),
+    "event_type": ("top", "event_type"),
+    "event_ts": ("top", "timestamp"),
+    "user_id": ("top", "user_id"),
+    "session_id": ("top", "session_id"),
+    "page": ("properties", "page"),
+    "duration_ms": ("properties", "duration_ms"),
+    "value": ("properties", "value"),
+    "producer_ver": ("metadata", "producer_version"),
+    "aws_region": ("metadata", "region"),
+    "kinesis_seq": ("_meta", "kinesis_sequence"),
+    "processed_by": ("_meta", "processed_by"),
+}
+_INNER = ("properties", "metadata", "_meta")
+
 
 def flatten(lines: DataFrame, line: str = "line", loaded_at=None, ignore_case: bool = True) -> DataFrame:
     """JSON lines to the fact columns; other columns of the frame are kept.
 
-    With `ignore_case` member names match in any case, which needs a map per
-    nesting level. Without it one typed parse does the work: faster, and right
-    for lines written by our own transform job.
+    With `ignore_case` a member name also matches in any other case, where its
+    own spelling is absent or null; the last such member counts. Only lines
+    that lack a value are parsed again for that, into maps of names and text,
+    so complete lines cost one typed parse.
     """
     kept = [c for c in lines.columns if c not in FACT_COLUMNS]
+    parsed = lines.withColumn("_p", F.from_json(line, _LINE_SCHEMA, {"allowSingleQuotes": "false"}))
+    texts = {
+        column: F.col(f"_p.{name}" if level == "top" else f"_p.{level}.{name}")
+        for column, (level, name) in _PLACES.items()
+    }
+    if ignore_case:
+        parsed = _with_any_case(parsed, line, texts)
+        texts = {
+            column: F.coalesce(texts[column], json_text.member_value(*_arrays(level), name))
+            for column, (level, name) in _PLACES.items()
+        }
     at = F.current_timestamp() if loaded_at is None else loaded_at
-    if not ignore_case:
-        parsed = lines.withColumn("_p", F.from_json(line, _LINE_SCHEMA, {"allowSingleQuotes": "false"}))
+    return parsed.select(*kept, *_typed(texts, at))
 
-        def part(prefix):
-            return lambda name: F.col(f"{prefix}.{name}")
 
-        columns = _columns_of(part("_p"), part("_p.properties"), part("_p.metadata"), part("_p._meta"), at)
-        return parsed.select(*kept, *columns)
+def _arrays(level: str):
+    return F.col(f"_{level}_names"), F.col(f"_{level}_values")
 
-    def lookup(level):
-        return lambda name: json_text.member_value(F.col(f"_{level}_names"), F.col(f"_{level}_values"), name)
 
-    top = _by_lower_name(lines.withColumn("_top", json_text.members(F.col(line))), ["top"])
-    inner = {"properties": "properties", "metadata": "metadata", "meta": "_meta"}
-    nested = top.withColumns({f"_{n}": json_text.members(lookup("top")(source)) for n, source in inner.items()})
-    nested = _by_lower_name(nested, inner)
-    return nested.select(
-        *kept, *_columns_of(lookup("top"), lookup("properties"), lookup("metadata"), lookup("meta"), at)
-    )
+def _with_any_case(parsed: DataFrame, line: str, texts: dict) -> DataFrame:
+    """Add the lower-case names and the values of every level for incomplete lines."""
+    lacking = reduce(lambda a, b: a | b, [value.isNull() for value in texts.values()])
+    top = parsed.withColumn("_level_top", F.when(lacking, json_text.members(F.col(line))))
+    top = _by_lower_name(top, ["top"])
+    inner = {f"_level_{n}": json_text.members(json_text.member_value(*_arrays("top"), n)) for n in _INNER}
+    return _by_lower_name(top.withColumns(inner), _INNER)
 
 
 def _by_lower_name(df: DataFrame, levels) -> DataFrame:
-    """Replace each member map by its lower-case names and its values."""
     found = {}
     for level in levels:
-        found[f"_{level}_names"] = json_text.lower_names(F.col(f"_{level}"))
-        found[f"_{level}_values"] = json_text.values_backwards(F.col(f"_{level}"))
-    return df.withColumns(found).drop(*[f"_{level}" for level in levels])
+        found[f"_{level}_names"] = json_text.lower_names(F.col(f"_level_{level}"))
+        found[f"_{level}_values"] = json_text.values_backwards(F.col(f"_level_{level}"))
+    return df.withColumns(found)
+
+
+def _typed(texts: dict, loaded_at) -> list[Column]:
+    fields = dict(texts, loaded_at=loaded_at)
+    fields["event_ts"] = timing.parse_timestamp(texts["event_ts"])
+    fields["duration_ms"] = texts["duration_ms"].try_cast("int")
+    fields["value"] = texts["value"].try_cast("decimal(12,2)")
+    for name, width in COLUMN_WIDTHS.items():
+        fields[name] = text.clip(fields[name], width)
+    return [fields[name].alias(name) for name in FACT_COLUMNS]

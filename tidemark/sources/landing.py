@@ -18,20 +18,29 @@ def _parts(ts, names) -> dict:
     return {name: F.date_format(ts, HOUR_PARTS[name]) for name in names}
 
 
-def land(lines: DataFrame, root: str, batch_id="0", delivered: str = "delivered_at", max_lines: int = 250_000) -> None:
+def land(
+    lines: DataFrame,
+    root: str,
+    batch_id="0",
+    delivered: str = "delivered_at",
+    max_lines: int = 250_000,
+    rebalance: bool = True,
+) -> None:
     """Write `line` under `<root>/events/year=/month=/day=/hour=/batch_id=`.
 
-    Rows are rebalanced by hour, so each hour gets few files and a hour that
-    holds most rows is split into several. Writing the same batch again
+    Rows are rebalanced by hour, so each hour gets few files and an hour that
+    holds most rows is split into several; leave that out where partitions
+    already have a good size and one hour each. Writing the same batch again
     replaces its own folders only, which makes a retried batch harmless.
     `max_lines` bounds a file: 250,000 lines of ~500 bytes are ~128 MB.
     """
     parts = _parts(F.col(delivered), HOUR_PARTS)
     out = lines.select(F.col("line").alias("value"), *[v.alias(k) for k, v in parts.items()])
+    out = out.withColumn("batch_id", F.lit(str(batch_id)))
+    if rebalance:
+        out = out.hint("rebalance", *HOUR_PARTS)
     (
-        out.withColumn("batch_id", F.lit(str(batch_id)))
-        .hint("rebalance", *HOUR_PARTS)
-        .write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_lines)
@@ -56,7 +65,7 @@ def land_parquet(lines: DataFrame, root: str, batch_id="0", delivered: str = "de
     )
 
 
-def read_lines(spark: SparkSession, root: str, year=None, month=None, day=None, hour=None) -> DataFrame:
+def read_lines(spark: SparkSession, root: str, year=None, month=None, day=None, hour=None, batch_id=None) -> DataFrame:
     """Landed lines as `line`, `file` and the partition columns.
 
     Given parts become partition filters: other folders are not read.
@@ -66,6 +75,8 @@ def read_lines(spark: SparkSession, root: str, year=None, month=None, day=None,
         if value is not None:
             width = 4 if name == "year" else 2
             lines = lines.where(F.col(name) == str(value).zfill(width))
+    if batch_id is not None:
+        lines = lines.where(F.col("batch_id") == str(batch_id))
     return lines.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), *HOUR_PARTS)
 
 

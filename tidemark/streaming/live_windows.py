@@ -33,7 +33,9 @@ def revenue_by_hour(events: DataFrame, lateness: str = "10 minutes", event_type:
     )
 
 
-def active_users_sliding(events: DataFrame, lateness: str = "10 minutes", width: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
+def active_users_sliding(
+    events: DataFrame, lateness: str = "10 minutes", width: str = "5 minutes", slide: str = "1 minute"
+) -> DataFrame:
     return (
         _windowed(events, lateness, width, slide)
         .agg(F.approx_count_distinct("user_id").alias("active_users"), F.count(F.lit(1)).alias("events"))
