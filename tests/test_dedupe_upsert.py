@@ -24,7 +24,7 @@ def test_counters_of_a_batch(spark):
 
 
 def test_seen_keys_expire_after_a_day(spark):
-    made = records(spark, [("old", payload()), ("new", payload())])
+    made = validate.good(validate.check(records(spark, [("old", payload()), ("new", payload())])))
     keys = spark.createDataFrame([("old", 0, 86_400)], SEEN_KEY_SCHEMA)
     assert rows(dedupe.drop_seen(made, keys, "1970-01-01 12:00:00"), "sequence_number") == [("new",)]
     assert rows(dedupe.drop_seen(made, keys, "1970-01-02 00:00:00"), "sequence_number") == [("new",), ("old",)]

@@ -27,9 +27,9 @@ def newest_per_event(events: DataFrame) -> DataFrame:
     )
 
 
-def first_delivery(records: DataFrame) -> DataFrame:
-    """The first delivery of every sequence number."""
-    return first_per_key(records, "sequence_number", [F.asc_nulls_last("arrival_ts"), F.asc("data")])
+def first_delivery(good: DataFrame) -> DataFrame:
+    """The first delivery of every sequence number, of checked records."""
+    return first_per_key(good, "sequence_number", [F.asc_nulls_last("arrival_ts"), F.asc("raw")])
 
 
 def seen_keys(records: DataFrame, processed_at, memory_seconds: int = KEY_MEMORY_SECONDS) -> DataFrame:
@@ -45,13 +45,13 @@ def live_keys(keys: DataFrame, as_of=None) -> DataFrame:
     return keys.where(F.col("ttl") > F.unix_timestamp(timing.as_of_column(as_of)))
 
 
-def drop_seen(records: DataFrame, keys: DataFrame, as_of=None) -> DataFrame:
+def drop_seen(good: DataFrame, keys: DataFrame, as_of=None) -> DataFrame:
     """First deliveries whose sequence number is not among the live keys.
 
     A second copy in the same set is a repeat of the first, so copies are
     reduced before the lookup and no key is frequent in the join.
     """
-    return unmatched(first_delivery(records), live_keys(keys, as_of), "sequence_number")
+    return unmatched(first_delivery(good), live_keys(keys, as_of), "sequence_number")
 
 
 def remember(keys: DataFrame, new: DataFrame, as_of=None) -> DataFrame:

@@ -84,6 +84,9 @@ def problems(probed_object, event_types=VALID_EVENT_TYPES) -> Column:
 def check(records: DataFrame, strictness: str = "required", event_types=VALID_EVENT_TYPES) -> DataFrame:
     """Decode records and add `raw`, `error_type` and `error` (NULL when good).
 
+    `data` stays only where it could not be decoded; elsewhere `raw` says the
+    same, and later shuffles need not carry both.
+
     `required` asks only that the required keys are there; `full` applies every
     field check and reports all problems at once.
     """
@@ -121,8 +124,11 @@ def check(records: DataFrame, strictness: str = "required", event_types=VALID_EV
     )
     # A filter on the verdict would be pushed below the projection and repeat
     # the parse there; one row generated per record keeps it where it is.
-    outcome = F.struct("raw", "_verdict.error_type", "_verdict.error")
-    return judged.select(*records.columns, F.inline(F.array(outcome)))
+    outcome = F.struct(
+        F.when(F.col("raw").isNull(), F.col("data")).alias("data"), "raw", "_verdict.error_type", "_verdict.error"
+    )
+    kept = [c for c in records.columns if c != "data"]
+    return judged.select(*kept, F.inline(F.array(outcome)))
 
 
 def _verdict(kind: str, message: Column) -> Column:

@@ -24,12 +24,14 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 def stage(lines: DataFrame, loaded_at=None, ignore_case: bool = True) -> DataFrame:
     """Lines as fact rows with `line`, `file` and `error`.
 
-    A line without one of the NOT NULL values keeps its text and gets an error.
-    `loaded_at` is set here, for all rows of a load alike.
+    A line without one of the NOT NULL values gets an error and keeps its text,
+    which the others do not need any more. `loaded_at` is set here, for all
+    rows of a load alike.
     """
     flat = flatten(lines.select("line", "file"), loaded_at=loaded_at, ignore_case=ignore_case)
     absent = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in FACT_NOT_NULL])
-    return flat.withColumn("error", F.when(absent != "", F.concat(F.lit("no usable value for: "), absent)))
+    staged = flat.withColumn("error", F.when(absent != "", F.concat(F.lit("no usable value for: "), absent)))
+    return staged.withColumn("line", F.when(F.col("error").isNotNull(), F.col("line")))
 
 
 def fact_rows(staged: DataFrame) -> DataFrame:

@@ -67,7 +67,8 @@ def transformed(
     `by_event_id` adds a second pass on the event id, for events sent again
     under a new sequence number.
     """
-    checked = validate.check(records.withColumn("seen_at", F.current_timestamp()), strictness, event_types)
+    stamped = records.withColumn("seen_at", F.current_timestamp())
+    checked = validate.check(stamped, strictness, event_types).drop("partition_key")
     checked = checked.observe(
         INTAKE,
         F.count(F.lit(1)).alias("received"),
