@@ -89,23 +89,23 @@ def reject_backlog(spark, sf_dir):
     return health.reject_backlog(_rejected(spark, sf_dir), _replayed(spark, sf_dir))
 
 
-_ERRORS_PER_HOUR = f"""{FACT}, counted AS (
-  SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS period, count(*) AS value
-  FROM fact WHERE event_type = 'error' AND k < 20 GROUP BY 1),
-hours AS (SELECT unnest(generate_series(min(period), max(period), INTERVAL 1 HOUR)) AS period FROM counted),
-filled AS (SELECT period, CAST(coalesce(value, 0) AS DOUBLE) AS value FROM hours LEFT JOIN counted USING (period))"""
+_ERRORS_PER_MINUTE = f"""{FACT}, counted AS (
+  SELECT date_trunc('minute', event_ts) AS period, count(*) AS value FROM fact WHERE event_type = 'error' GROUP BY 1),
+every_minute AS (SELECT unnest(generate_series(min(period), max(period), INTERVAL 1 MINUTE)) AS period FROM counted),
+filled AS (
+  SELECT period, CAST(coalesce(value, 0) AS DOUBLE) AS value FROM every_minute LEFT JOIN counted USING (period))"""
 
 
 @query(
-    f"""WITH {_ERRORS_PER_HOUR}
+    f"""WITH {_ERRORS_PER_MINUTE}
 SELECT 'errors' AS metric, period, value,
        value > 0 AND coalesce(lag(value) OVER (ORDER BY period), -1) > 0 AS breached FROM filled"""
 )
 def alarm_consecutive(spark, sf_dir):
-    """Hours with some rare errors, two in a row; quiet hours are filled with zero."""
-    rare = fx.fact(spark, sf_dir).where("event_type = 'error' and duration_ms < 600")
-    rows = alarms.series(rare, "errors", "event_ts", F.count(F.lit(1)), period_seconds=3600)
-    return alarms.alarm(rows, 0, 2, period_seconds=3600)
+    """Minutes with errors, two in a row; quiet minutes are filled with zero."""
+    errors = fx.fact(spark, sf_dir).where("event_type = 'error'")
+    rows = alarms.series(errors, "errors", "event_ts", F.count(F.lit(1)))
+    return alarms.alarm(rows, 0, 2)
 
 
 @query(

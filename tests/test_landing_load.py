@@ -226,6 +226,8 @@ def test_read_opens_only_wanted_folders(spark, folder, utc):
     assert rows(table.read(loaded_since=F.lit(utc("2024-06-02T00:00:00"))), "event_id") == [("2",), ("3",)]
     assert rows(table.read(since="2024-05-29", until="2024-05-29"), "event_id") == [("2",)]
     assert rows(table.read(dates=["2024-05-30"]), "event_id") == [("3",)]
+    assert rows(table.recent(START + dt.timedelta(days=3), hours=24), "event_id") == [("2",), ("3",)]
+    assert len(table.recent(START + dt.timedelta(days=3), hours=1).inputFiles()) == 1
     assert FactTable(spark, f"{folder}/none").read().count() == 0
 
 

@@ -27,6 +27,17 @@ REPORTS = {
     "duplicate-check": lambda events, as_of=None: reports.duplicate_check(events),
     "skew": lambda events, as_of=None: maintain.skew_report(events),
 }
+# How far back the event-time reports look.
+REACH_HOURS = {
+    "events-per-minute": 1,
+    "top-event-types": 24,
+    "funnel": 24,
+    "revenue-by-hour": 24 * 7,
+    "load-latency": 24,
+    "active-users": 1,
+    "active-users-sliding": 1,
+    "error-rate-by-page": 1,
+}
 
 
 def parser():
@@ -125,9 +136,15 @@ def run(spark, args):
         ).awaitTermination()
     elif args.command == "report":
         table = FactTable(spark, args.table)
-        # Duplicates are cut by load time, which the table's list of folders knows.
-        loaded = timing.as_of_column(args.as_of) - timing.hours(1) if args.name == "duplicates" else None
-        REPORTS[args.name](table.read(loaded_since=loaded), as_of=args.as_of).show(1000, False)
+        as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else now
+        if args.name in REACH_HOURS:
+            events = table.recent(as_of, REACH_HOURS[args.name])
+        elif args.name == "duplicates":
+            # Cut by load time, which the table's list of folders knows.
+            events = table.read(loaded_since=timing.as_of_column(as_of) - timing.hours(1))
+        else:
+            events = table.read()
+        REPORTS[args.name](events, as_of=as_of).show(1000, False)
     elif args.command == "replay":
         drained = rejects.drain(replay.sendable(_open_rejects(spark, args.rejects)), args.max_messages)
         if args.dry_run:

@@ -77,6 +77,11 @@ class FactTable:
         # One row per folder: dates times loads since the last compaction.
         return self.open([(r["event_date"], r["version"]) for r in live.collect()])
 
+    def recent(self, as_of: dt.datetime | None = None, hours: int = 1) -> DataFrame:
+        """Rows of the dates a look-back reaches; files of other dates are not even listed."""
+        now = as_of or dt.datetime.now(dt.timezone.utc)
+        return self.read(since=(now - dt.timedelta(hours=hours)).date())
+
     def open(self, parts) -> DataFrame:
         """Rows of the given (date, version) folders."""
         if not parts:
