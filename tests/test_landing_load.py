@@ -6,6 +6,7 @@ import json
 import os
 import random
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -302,3 +303,12 @@ def test_broadcast_only_under_the_limit():
 
 def test_shared_folder_comes_from_the_session(spark):
     assert session.work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_only_a_local_master_may_use_a_folder_of_its_machine():
+    def unset(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+
+    assert session.shared_root(unset("local[2]")) == session.shared_root(unset("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(unset("spark://host:7077"))
