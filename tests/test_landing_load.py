@@ -186,6 +186,14 @@ def test_loaded_at_is_one_time_for_a_load(spark, folder):
     assert table.read().select("loaded_at").distinct().count() == 1
 
 
+def test_a_load_cleans_up_its_working_folder(spark, folder):
+    before = set(os.listdir(f"{session.shared_root(spark)}/tidemark")) if os.path.isdir(
+        f"{session.shared_root(spark)}/tidemark") else set()
+    load.load(FactTable(spark, folder), staged_lines(spark, [("a", day(1), 1, "1")]), "x")
+    left = set(os.listdir(f"{session.shared_root(spark)}/tidemark")) - before
+    assert not [n for n in left if n.startswith("load-")]
+
+
 def test_dry_run_writes_nothing(spark, folder):
     lines = staged_lines(spark, [("a", day(1), 1, "1"), ("b", "soon", 1, "2")])
     got = [tuple(r) for r in load.dry_run(lines).collect()]

@@ -11,7 +11,7 @@ from helpers import START, facts, payload, records, rows
 from checks import fixtures as fx
 from tidemark.operators import dedupe, enrich, validate
 from tidemark.schema import RECORD_SCHEMA
-from tidemark.plans import backfill
+from tidemark.plans import backfill, load
 from tidemark.sources import landing, records as record_source, rejects
 from tidemark.sources.fact import FactTable
 from tidemark.streaming import live_windows, loader, transform_job
@@ -229,6 +229,27 @@ def test_loading_as_files_arrive(spark, folder):
     assert spark.read.parquet(f"{folder}/audit").agg(F.sum("lines_loaded")).first()[0] == 4
 
 
+def test_a_repeated_load_batch_replaces_its_rejects(spark, folder, monkeypatch):
+    root, table = f"{folder}/zone", FactTable(spark, f"{folder}/fact")
+    good = validate.good(validate.check(records(spark, [("1", payload("a")), ("2", payload("b", timestamp="soon"))])))
+    landing.land(enrich.enrich(good).withColumn("delivered_at", F.col("arrival_ts")), root)
+
+    def start():
+        loader.start(table, root, f"{folder}/checkpoint", trigger=None, audit_root=f"{folder}/audit",
+                     rejects_root=f"{folder}/rejects").awaitTermination()
+
+    def fail(*_args):
+        raise RuntimeError("audit lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(load, "audit_rows", fail)
+        with pytest.raises(Exception, match="audit lost"):
+            start()
+    start()
+    assert rejects.read(spark, f"{folder}/rejects").count() == 1
+    assert rows(table.read(), "event_id") == [("a",)]
+
+
 def test_live_windows(spark, folder):
     made = [{"event_ts": START + dt.timedelta(minutes=m), "user_id": f"u{m % 3}", "event_type": t}
             for m, t in ((0, "error"), (0, "x"), (1, "x"), (30, "x"), (200, "x"))]

@@ -12,7 +12,7 @@ from tidemark.operators.matching import SPREAD, matched
 from tidemark.operators.upsert import settle, upsert
 from tidemark.schema import FACT_COLUMNS, FACT_NOT_NULL, LOAD_ERROR
 from tidemark.session import fits_broadcast, work_folder, written
-from tidemark.sources import rejects
+from tidemark.sources import folders, rejects
 from tidemark.sources.fact import FactTable
 
 # Bytes one event id may take in a broadcast table, with its overhead, and how
@@ -63,6 +63,7 @@ def load(
     ignore_case: bool = True,
     loaded_at: dt.datetime | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    batch_id: str | None = None,
 ) -> dict:
     """Upsert lines into the table; returns source, rows loaded and seconds taken.
 
@@ -76,57 +77,65 @@ def load(
     4. Switch readers over, then write audit rows and rejects.
 
     `match_dates='staged'` searches only the dates of the staged rows, which is
-    exact as long as an event id never changes its event time.
+    exact as long as an event id never changes its event time. `batch_id` names
+    the reject folders, so that a repeated load replaces its own rejects.
     """
-    spark = table.spark
+    if match_dates not in ("all", "staged"):
+        raise ValueError(f"match_dates must be 'all' or 'staged', not {match_dates!r}")
     started = time.monotonic()
-    folder = work_folder(spark, "load")
     at = timing.as_of_column(loaded_at or dt.datetime.now(dt.timezone.utc))
-
-    counts = Observation("staged")
-    staged = written(
-        stage(lines, at, ignore_case).observe(
-            counts,
-            F.count(F.lit(1)).alias("scanned"),
-            F.count_if(F.col("error").isNull()).alias("good"),
-        ),
-        f"{folder}/staged",
-    )
-    good = settle(fact_rows(staged), intra_batch)
-    loaded = counts.get["good"]
-    version = None
-    if loaded:
-        # Written out, so that the two joins below do not each repeat the distinct.
-        distinct = Observation("ids")
-        ids = good.select("event_id").distinct().observe(distinct, F.count(F.lit(1)).alias("n"))
-        ids = written(ids, f"{folder}/ids")
-        small = fits_broadcast(distinct.get["n"], ID_BYTES, broadcast_bytes)
-        ids, spread = (F.broadcast(ids), 0) if small else (ids, SPREAD)
-        searched = table.read()
-        if match_dates == "staged":
-            dates = good.select(F.to_date("event_ts").alias("d")).distinct().collect()
-            searched = table.read(dates=[r["d"] for r in dates])
-        elif match_dates != "all":
-            raise ValueError(f"match_dates must be 'all' or 'staged', not {match_dates!r}")
-        # At most one row per folder comes back.
-        matches = matched(searched.select("event_id", "event_date", "version"), ids, "event_id", spread)
-        hit = [tuple(r) for r in matches.select("event_date", "version").distinct().collect()]
-        rows = good
-        if hit:
-            rows = upsert(table.open(hit).select(*FACT_COLUMNS), good, staged_ids=ids, spread=spread)
-        version = table.commit(rows, replaces=hit)
-    if rejects_root and counts.get["scanned"] > loaded:
-        rejects.store(_load_rejects(staged, at), rejects_root, batch_id=version or int(time.time() * 1000))
-    if audit_root:
-        audit_rows(staged, version or 0, at).write.mode("append").parquet(audit_root)
+    folder = work_folder(table.spark, "load")
+    try:
+        counts = Observation("staged")
+        staged = written(
+            stage(lines, at, ignore_case).observe(
+                counts,
+                F.count(F.lit(1)).alias("scanned"),
+                F.count_if(F.col("error").isNull()).alias("good"),
+            ),
+            f"{folder}/staged",
+        )
+        scanned, loaded = counts.get["scanned"], counts.get["good"]
+        version = 0
+        if loaded:
+            good = settle(fact_rows(staged), intra_batch)
+            version = _merge(table, good, f"{folder}/ids", match_dates, broadcast_bytes)
+        if rejects_root and scanned > loaded:
+            rejects.store(_load_rejects(staged, at), rejects_root, batch_id=batch_id or folder.rsplit("-", 1)[1])
+        if audit_root:
+            audit_rows(staged, version, at).write.mode("append").parquet(audit_root)
+    finally:
+        folders.remove(table.spark, folder)
     return {
         "source": source,
         "rows_loaded": loaded,
-        "lines_failed": counts.get["scanned"] - loaded,
+        "lines_failed": scanned - loaded,
         "elapsed_secs": round(time.monotonic() - started, 3),
     }
 
 
+def _merge(table: FactTable, good: DataFrame, ids_folder: str, match_dates: str, broadcast_bytes: int) -> int:
+    """Put the staged rows in place of the rows with their ids; returns the new version."""
+    # Written out, so that the two joins below do not each repeat the distinct.
+    distinct = Observation("ids")
+    ids = good.select("event_id").distinct().observe(distinct, F.count(F.lit(1)).alias("n"))
+    ids = written(ids, ids_folder)
+    small = fits_broadcast(distinct.get["n"], ID_BYTES, broadcast_bytes)
+    ids, spread = (F.broadcast(ids), 0) if small else (ids, SPREAD)
+
+    dates = None
+    if match_dates == "staged":
+        dates = [r["d"] for r in good.select(F.to_date("event_ts").alias("d")).distinct().collect()]
+    searched = table.read(dates=dates).select("event_id", "event_date", "version")
+    # At most one row per folder comes back.
+    found = matched(searched, ids, "event_id", spread).select("event_date", "version").distinct()
+    hit = [tuple(r) for r in found.collect()]
+    rows = good
+    if hit:
+        rows = upsert(table.open(hit).select(*FACT_COLUMNS), good, staged_ids=ids, spread=spread)
+    return table.commit(rows, replaces=hit)
+
+
 def _load_rejects(staged: DataFrame, at) -> DataFrame:
     failed = staged.where(F.col("error").isNotNull()).select(
         F.col("kinesis_seq").alias("sequence_number"),

@@ -7,7 +7,7 @@ from tidemark.functions import json_text, timing
 from tidemark.operators.matching import SPREAD, unmatched
 from tidemark.schema import PREVIEW_CHARS, PREVIEW_ROWS, REJECT_RETENTION_DAYS
 from tidemark.session import work_folder, written
-from tidemark.sources import records
+from tidemark.sources import folders, records
 
 _WRAPPED = "array<struct<kinesis: struct<data: string, sequenceNumber: string>>>"
 
@@ -80,10 +80,16 @@ def replay(
     are the same rows. A send that dies halfway is noted nowhere and goes out
     again; the transform and the load drop what arrives twice.
     """
-    messages = written(to_messages(unwrap(drained)), work_folder(drained.sparkSession, "replay"))
-    result = records.send(messages, path, fmt, options)
-    sent_ids = messages.select("reject_id").distinct().withColumn("replayed_at", timing.as_of_column(replayed_at))
-    sent_ids.write.mode("append").parquet(replayed_root)
+    spark = drained.sparkSession
+    folder = work_folder(spark, "replay")
+    try:
+        messages = written(to_messages(unwrap(drained)), folder)
+        result = records.send(messages, path, fmt, options)
+        sent_ids = messages.select("reject_id").distinct()
+        noted = sent_ids.withColumn("replayed_at", timing.as_of_column(replayed_at))
+        noted.write.mode("append").parquet(replayed_root)
+    finally:
+        folders.remove(spark, folder)
     return result
 
 

@@ -6,6 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.plans.load import load
 from tidemark.sources.fact import FactTable
 from tidemark.sources.landing import stream_lines
+from tidemark.streaming.transform_job import batch_name
 
 
 def start(
@@ -21,11 +22,13 @@ def start(
 ) -> StreamingQuery:
     """Start the load job; `trigger=None` loads what is there and ends.
 
-    A batch that runs again upserts the same ids and so changes nothing.
+    A batch that runs again upserts the same ids and replaces its own rejects,
+    and so changes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        load(table, batch, f"{landing_root} batch {batch_id}", audit_root, rejects_root, **options)
+        name = batch_name(batch, batch_id)
+        load(table, batch, f"{landing_root} {name}", audit_root, rejects_root, batch_id=f"load-{name}", **options)
 
     writer = (
         stream_lines(table.spark, landing_root, max_files, below)

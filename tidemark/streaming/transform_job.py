@@ -81,6 +81,15 @@ def transformed(
     return unique.observe(OUTCOME, F.count_if(F.col("error_type").isNull()).alias("processed"))
 
 
+def batch_name(batch: DataFrame, batch_id: int) -> str:
+    """A name for a batch that no other query has and that a repeat has again.
+
+    Batches are numbered per checkpoint; with the number alone, a run with a
+    new checkpoint would replace what another one wrote.
+    """
+    return f"{batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)}-{batch_id}"
+
+
 def batch_writer(root: str, form: str = "short", zone_format: str = "json"):
     """A foreachBatch function: good rows to the landing zone, the rest to rejects.
 
@@ -95,15 +104,12 @@ def batch_writer(root: str, form: str = "short", zone_format: str = "json"):
     land = {"json": landing.land, "parquet": landing.land_parquet}[zone_format]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Batches are numbered per checkpoint, so the folder names the query too:
-        # a run with a new checkpoint must not replace what another one landed.
-        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        batch_id = f"{query}-{batch_id}"
+        name = batch_name(batch, batch_id)
         batch.persist()
         try:
             good = enrich.enrich(validate.good(batch), form, processed_at=F.col("seen_at"))
-            land(good.withColumnRenamed("seen_at", "delivered_at"), root, batch_id)
-            rejects.store(rejects.as_rejects(validate.bad(batch), F.col("seen_at")), root, batch_id)
+            land(good.withColumnRenamed("seen_at", "delivered_at"), root, name)
+            rejects.store(rejects.as_rejects(validate.bad(batch), F.col("seen_at")), root, name)
         finally:
             batch.unpersist()
 
