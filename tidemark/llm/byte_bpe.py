@@ -43,29 +43,29 @@ class PerfectHash:
         self.n = len(keys)
         self.buckets = max(1, self.n // KEYS_PER_BUCKET)
         h = self.digests(keys)
-        bucket, base, step = self._parts(h)
+        bucket = self._buckets(h)
         order = np.argsort(bucket, kind="stable")
         starts = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
         self.shift = np.zeros(self.buckets, np.int64)
         self.key_at = np.full(self.n, -1, np.int64)
-        tries = np.arange(4096, dtype=np.int64)
         sizes = np.diff(starts)
         for b in np.argsort(-sizes, kind="stable"):
             own = order[starts[b] : starts[b + 1]]
             if len(own) < 2:
                 break
-            offset = 0
+            offset, width = 0, 32
             while True:
-                slots = (base[own][:, None] + step[own][:, None] * (tries + offset)) % self.n
+                tries = np.arange(offset, offset + width)
+                slots = self._slots(h[own][:, None], tries[None, :])
                 good = (self.key_at[slots] < 0).all(0)
                 ranked = np.sort(slots, 0)
                 good &= (ranked[1:] != ranked[:-1]).all(0)
                 if good.any():
                     at = int(np.argmax(good))
-                    self.shift[b] = tries[at] + offset
+                    self.shift[b] = tries[at]
                     self.key_at[slots[:, at]] = own
                     break
-                offset += len(tries)
+                offset, width = offset + width, min(4096, 2 * width)
         free = iter(np.flatnonzero(self.key_at < 0))
         for b in np.flatnonzero(sizes == 1):
             slot = next(free)
@@ -76,17 +76,21 @@ class PerfectHash:
     def digests(keys) -> np.ndarray:
         return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
-    def _parts(self, h):
-        bucket = (h % np.uint64(self.buckets)).astype(np.int64)
-        base = ((h >> np.uint64(17)) % np.uint64(self.n)).astype(np.int64)
-        step = 1 + ((h >> np.uint64(31)) % np.uint64(max(1, self.n - 1))).astype(np.int64)
-        return bucket, base, step
+    def _buckets(self, h):
+        return (h % np.uint64(self.buckets)).astype(np.int64)
+
+    def _slots(self, h, shift):
+        """The slot that a displacement gives to a key: a new hash for each displacement."""
+        x = h ^ (shift.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return ((x ^ (x >> np.uint64(31))) % np.uint64(self.n)).astype(np.int64)
 
     def candidates(self, keys) -> np.ndarray:
         """For each key, the number of the only known key that it can be."""
-        bucket, base, step = self._parts(self.digests(keys))
-        shift = self.shift[bucket]
-        slot = np.where(shift < 0, -shift - 1, (base + step * np.maximum(shift, 0)) % self.n)
+        h = self.digests(keys)
+        shift = self.shift[self._buckets(h)]
+        slot = np.where(shift < 0, -shift - 1, self._slots(h, np.maximum(shift, 0)))
         return self.key_at[slot]
 
 

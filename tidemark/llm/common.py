@@ -77,3 +77,50 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     roots = staged(roots, f"{name}-roots")
     least = roots.groupBy("into").agg(F.min("node").alias("component"))
     return roots.join(least, "into").select("node", "component")
+
+
+def spread_join(rows: DataFrame, small: DataFrame, key: str, salts=32, spread_by="doc_id") -> DataFrame:
+    """Left join where one key may hold a third of `rows`: rows of a key go to `salts` tasks, `small` (one row
+    per key) is copied to each of them."""
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [key, "__salt"], "left").drop("__salt")
+
+
+def links_to_forest(a, b) -> list[tuple[int, int]]:
+    """Of links between numbered items, those that a spanning forest needs."""
+    parent, kept = {}, []
+
+    def root(x):
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist()):
+        rx, ry = root(x), root(y)
+        if rx != ry:
+            parent[max(rx, ry)] = min(rx, ry)
+            kept.append((x, y))
+    return kept
+
+
+def tile_pairs(tiles: DataFrame, near=None, number=None) -> DataFrame:
+    """Pairs of tiles (`tile`, `low`, `high`, `data`): each unordered pair once, a tile with itself included.
+
+    `near` is a condition over (a.low, a.high, b.low, b.high). Only numbers are paired here; the tiles' data follow
+    by two joins on the tile number, so that a task holds two tiles at a time. `number` is the number of tile numbers.
+    """
+    heads = staged(tiles.select("tile", "low", "high"), "tile-heads")
+    n = heads.count() if number is None else number
+    a = heads.select(F.col("tile").alias("ta"), F.col("low").alias("la"), F.col("high").alias("ha"))
+    b = heads.select(F.col("tile").alias("tb"), F.col("low").alias("lb"), F.col("high").alias("hb"))
+    numbered = a.withColumn("tb", F.explode(F.sequence(F.col("ta"), F.lit(max(n - 1, 0)).cast("long"))))
+    pairs = numbered.join(b, "tb")
+    if near is not None:
+        pairs = pairs.where(near)
+    left = tiles.select(F.col("tile").alias("ta"), F.col("data").alias("da"))
+    right = tiles.select(F.col("tile").alias("tb"), F.col("data").alias("db"))
+    return (
+        pairs.select("ta", "tb").join(left, "ta").join(right, "tb")
+        .repartition(F.col("ta"), F.col("tb")).select("ta", "tb", "da", "db")
+    )

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe
+from tidemark.llm import best_fit_packing, byte_bpe, language_masks, simhash_tiles
 from tidemark.llm.common import held_out, table
 from tidemark.llm.registered import QUERIES, SQL, query  # noqa: F401
 
@@ -14,3 +14,25 @@ def op8_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.digests(byte_bpe.encode_decode(docs, path, public_tokenizers.PATTERN))
+
+
+@query()
+def op1_best_fit_packing(spark, sf_dir):
+    """Every document in sequences of 1024 tokens."""
+    return best_fit_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op2_language_id(spark, sf_dir):
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_masks.fit(docs.where(~held_out("doc_id", 4, 2)))
+    found = language_masks.predict(docs, model)
+    return found.withColumn("held_out", held_out("doc_id", 4, 2))
+
+
+@query()
+def op5_simhash(spark, sf_dir):
+    """Fingerprints of three-word shingles and their components within two bits."""
+    found = simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"), 3, 2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
