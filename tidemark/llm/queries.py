@@ -3,8 +3,17 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import best_fit_packing, byte_bpe, language_masks, simhash_tiles
-from tidemark.llm.common import held_out, table
+from tidemark.llm import (
+    best_fit_packing,
+    byte_bpe,
+    collision_counting,
+    language_masks,
+    permutation_index,
+    quality_features,
+    simhash_tiles,
+    string_kernel,
+)
+from tidemark.llm.common import held_out, staged, table
 from tidemark.llm.registered import QUERIES, SQL, query  # noqa: F401
 
 
@@ -36,3 +45,35 @@ def op5_simhash(spark, sf_dir):
     """Fingerprints of three-word shingles and their components within two bits."""
     found = simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"), 3, 2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op4_permutation_index(spark, sf_dir):
+    """The 20 nearest of every twentieth vector."""
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query()
+def op6_quality(spark, sf_dir):
+    """Quality of every document, learned from three quarters of the labelled ones."""
+    stats = staged(quality_features.measured(table(spark, sf_dir, "documents")), "statistics")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    known = stats.join(labels, "doc_id").where(~held_out("doc_id", 4, 2))
+    found = quality_features.score(stats, quality_features.fit(known))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op7_collision_counting(spark, sf_dir):
+    """Vectors with cosine 0.95 or more, and their components."""
+    return collision_counting.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@query()
+def op9_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    known = docs.select("doc_id", "text").join(labels, "doc_id").where(~held_out("doc_id", 3, 1))
+    found = string_kernel.score(docs, string_kernel.fit(known))
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
