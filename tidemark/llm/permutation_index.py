@@ -1,9 +1,8 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by its nearest pivots, nearest first. Each pivot's inverted file lists the vectors that name it
-with its place. A query adds up, over the files of its own pivots, how much nearer than the worst the places are (the
-footrule distance, a missing pivot counting as the last place), takes the best share of the index by that, and reranks
-it by the exact inner product.
+A vector is represented by its nearest pivots, nearest first. Each pivot's inverted file holds the place that each vector
+gives it (the last place for one not named). A query adds up the differences of places over the files of its own pivots
+(the footrule distance), takes the nearest share of the index by that, and reranks it by the exact inner product.
 
 Pivots are a bounded sample of the vectors; every vector is indexed. The index is dealt into tiles and the queries into
 blocks; a task holds one of each, and the best of all tiles are merged by rank. Null, zero and non-finite vectors take
@@ -20,7 +19,7 @@ from tidemark.llm.common import staged
 from tidemark.llm.vectors import tiled, unpack, usable
 
 
-def search(rows: DataFrame, is_query, k=20, pivots=128, named=24, share=0.3, tile_rows=8192, key="vec_id", vector="embedding"):
+def search(rows: DataFrame, is_query, k=20, pivots=120, named=120, share=0.25, tile_rows=8192, key="vec_id", vector="embedding"):
     """Rows (query_id, rank, vec_id, score). `is_query` is a condition over the key named `id`."""
     all_rows = staged(usable(rows, key, vector), "vectors")
     chosen = all_rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()  # at most `pivots` rows
@@ -59,18 +58,15 @@ def _search_tile(asked, data, centre, k, named, share, kind):
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
     lists = _nearest_pivots(x, centre, named)
-    files = []
-    for p in range(len(centre)):
-        who, place = np.nonzero(lists == p)
-        files.append((who, place))
+    files = np.full((len(centre), len(ids)), named, np.int16)  # per pivot: the place each vector gives it
+    np.put_along_axis(files.T, lists, np.arange(named, dtype=np.int16)[None, :], 1)
     take = min(len(ids), max(4 * k, int(np.ceil(share * len(ids)))))
     out = [], [], []
     for query, vector, mine in zip(query_ids, q, _nearest_pivots(q, centre, named)):
-        gain = np.zeros(len(ids), np.int32)
+        far = np.zeros(len(ids), np.int32)
         for i, p in enumerate(mine):
-            who, place = files[p]
-            gain[who] += named - np.abs(place - i)
-        near = np.argpartition(-gain, take - 1)[:take] if take < len(ids) else np.arange(len(ids))
+            far += np.abs(files[p] - np.int16(i))
+        near = np.argpartition(far, take - 1)[:take] if take < len(ids) else np.arange(len(ids))
         near = near[ids[near] != query]
         score = np.einsum("ij,j->i", x[near], vector)
         if len(near) > k:

@@ -8,9 +8,11 @@ from tidemark.llm import (
     byte_bpe,
     collision_counting,
     language_masks,
+    line_minhash,
     permutation_index,
     quality_features,
     simhash_tiles,
+    span_crf,
     string_kernel,
 )
 from tidemark.llm.common import held_out, staged, table
@@ -77,3 +79,18 @@ def op9_toxicity(spark, sf_dir):
     known = docs.select("doc_id", "text").join(labels, "doc_id").where(~held_out("doc_id", 3, 1))
     found = string_kernel.score(docs, string_kernel.fit(known))
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op3_line_dedup(spark, sf_dir):
+    """Lines kept per document, and the digest of its text without the others."""
+    found = line_minhash.dedupe(table(spark, sf_dir, "documents"), 0.8)
+    return found.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query()
+def op10_personal_data(spark, sf_dir):
+    """Personal data of every document."""
+    found = span_crf.find(table(spark, sf_dir, "documents"))
+    counts = [span_crf.count_of("base", kind).alias(f"n_{kind}") for kind in span_crf.KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_crf.joined("base"), 256).alias("base_sha256"), span_crf.joined("spans").alias("spans"))
