@@ -80,10 +80,10 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
 
 def spread_join(rows: DataFrame, small: DataFrame, key: str, salts=32, spread_by="doc_id") -> DataFrame:
-    """Left join where one key may hold a third of `rows`: rows of a key go to `salts` tasks, `small` (one row
-    per key) is copied to each of them."""
+    """Left join where one key may hold a third of `rows`: rows of a key go to `salts` tasks, and `small` (one row
+    per key) is copied to those of them that hold the key. `rows` is read twice."""
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = salted.select(key, "__salt").distinct().join(small, key)
     return salted.join(copies, [key, "__salt"], "left").drop("__salt")
 
 

@@ -53,12 +53,16 @@ def bands(minima):
     return F.array(*[F.xxhash64(F.lit(b), *g) for b, g in enumerate(groups)])
 
 
-def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, sizes: DataFrame, similarity: float) -> DataFrame:
     """Of distinct pairs (a, b) of line numbers those whose shingle sets are similar."""
-    one = lines.select(F.col("node").alias("a"), F.col("line").alias("la"), F.col("size").alias("sa"))
-    two = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"), F.col("size").alias("sb"))
-    both = spread_join(spread_join(pairs, one, "a", spread_by="b"), two, "b", spread_by="a")
-    both = both.where(F.least("sa", "sb") >= similarity * F.greatest("sa", "sb"))
+    one = lines.select(F.col("node").alias("a"), F.col("line").alias("la"))
+    two = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"))
+    size_a = sizes.select(F.col("node").alias("a"), F.col("size").alias("sa"))
+    size_b = sizes.select(F.col("node").alias("b"), F.col("size").alias("sb"))
+    close = F.least("sa", "sb") >= similarity * F.greatest("sa", "sb")
+    sized = spread_join(spread_join(pairs, size_a, "a", spread_by="b"), size_b, "b", spread_by="a")
+    near = staged(sized.where(close), "line-near-sizes")
+    both = spread_join(spread_join(near, one, "a", spread_by="b"), two, "b", spread_by="a")
     common = F.size(F.array_intersect(shingle_hashes(F.col("la")), shingle_hashes(F.col("lb"))))
     return both.where(common >= similarity * (F.col("sa") + F.col("sb") - common)).select("a", "b")
 
@@ -75,12 +79,11 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     # A row between the steps keeps the hashes from being worked out again for every band.
     minima = hashed.select("node", F.size("hashes").alias("size"), F.explode(F.array(bin_minima(F.col("hashes")))).alias("minima"))
     signed = staged(minima.select("node", "size", bands(F.col("minima")).alias("bands")), "line-signatures")
-    sized = distinct.join(signed.select("node", "size"), "node").select("node", "line", "size")
     spread = signed.select("node", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
     members = staged(spread_join(spread, shared, "band", spread_by="node").where("hub is not null"), "line-bands")
-    stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = staged(verified(stars, sized, similarity), "line-links")
+    stars = staged(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "line-pairs")
+    links = staged(verified(stars, distinct, signed, similarity), "line-links")
     joined = components(links, "line-stars")
 
     # Lines of a band that its first line did not bring together are compared with the band's other lines.
@@ -92,8 +95,8 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     apart = known.where("own <> hub_own").select("band", F.col("node").alias("a"), F.col("own").alias("oa"))
     others = known.where("node <> hub").select("band", F.col("node").alias("b"), F.col("own").alias("ob"), F.col("hub_own").alias("h"))
     rest = apart.join(others, "band").where("oa <> ob and (ob = h or a < b)")
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = staged(verified(rest, sized, similarity), "line-more-links")
+    rest = staged(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-rest")
+    more = staged(verified(rest, distinct, signed, similarity), "line-more-links")
     roots = joined if more.isEmpty() else components(links.unionByName(more), "line-components")
 
     # Only lines in a component of several need to be compared by place.
