@@ -174,3 +174,14 @@ def test_empty_table(spark):
 def test_default_as_of_is_now(spark):
     now = facts(spark, [{}]).withColumn("event_ts", F.current_timestamp())
     assert reports.events_per_minute(now).count() == 1
+
+
+def test_funnel_takes_any_number_of_steps(spark):
+    rows = [("u1", "view"), ("u1", "cart"), ("u1", "pay"), ("u1", "rate"), ("u2", "view"), ("u2", "cart"), ("u3", "view")]
+    events = spark.createDataFrame(rows, "user_id string, event_type string").selectExpr(
+        "*", "timestamp'2024-01-01 10:00:00' as event_ts", "date'2024-01-01' as event_date"
+    )
+    for steps, counts in ((["view", "cart", "pay", "rate"], [3, 2, 1, 1]), (["view", "cart"], [3, 2])):
+        row = reports.funnel(events, "2024-01-01 12:00:00", steps).first()
+        assert [row[f"step{i}_{s}"] for i, s in enumerate(steps, 1)] == counts
+        assert float(row["step1_to_step2_pct"]) == pytest.approx(66.67, abs=0.01)

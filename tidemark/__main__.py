@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import timing
 from tidemark.plans import health, load, maintain, replay, reports
-from tidemark.schema import REPLAY_LIMIT
 from tidemark.session import build_session
-from tidemark.sources import landing, records, rejects
+from tidemark.sources import folders, landing, records, rejects
 from tidemark.sources.fact import FactTable
 from tidemark.streaming import loader, transform_job
 
@@ -82,7 +81,7 @@ def parser():
     job.add_argument("--target", help="folder, or left out when the sink's options name it")
     job.add_argument("--format", default="json", help="Spark sink format")
     job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    job.add_argument("--max-messages", type=int, default=REPLAY_LIMIT)
+    job.add_argument("--max-messages", type=int)
     job.add_argument("--dry-run", action="store_true")
 
     job = commands.add_parser("shards", help="print rate and utilisation per shard")
@@ -108,11 +107,9 @@ def _replayed_root(root):
 
 def _open_rejects(spark, root):
     stored = rejects.read(spark, root)
-    try:
-        sent = spark.read.parquet(_replayed_root(root))
-    except Exception:  # nothing was replayed yet
+    if all(n.startswith("_") for n in folders.names(spark, _replayed_root(root))):  # nothing was replayed yet
         return stored
-    return replay.remaining(stored, sent)
+    return replay.remaining(stored, spark.read.parquet(_replayed_root(root)))
 
 
 def run(spark, args):

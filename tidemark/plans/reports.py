@@ -52,29 +52,28 @@ def top_event_types(events: DataFrame, as_of=None, hours: int = 24, top: int = 2
 def funnel(events: DataFrame, as_of=None, steps=FUNNEL_STEPS, since=None) -> DataFrame:
     """Users per step and conversion between steps, from the start of the day.
 
-    Steps are not ordered in time: a user counts for every step type seen.
+    Steps are not ordered in time: a user counts for every step type seen. Any number of steps may be
+    given; their columns carry number and type unless there are three.
     """
     now = timing.as_of_column(as_of)
     start = F.date_trunc("day", now) if since is None else timing.as_of_column(since)
-    names = ("viewed", "carted", "purchased")
+    if len(steps) == 3:
+        names = ["step1_page_views", "step2_add_to_cart", "step3_purchase"]
+        rates = ["view_to_cart_pct", "cart_to_purchase_pct"]
+    else:
+        names = [f"step{i}_{step}" for i, step in enumerate(steps, 1)]
+        rates = [f"step{i}_to_step{i + 1}_pct" for i in range(1, len(steps))]
     reached = (
         timing.since(events, "event_ts", start)
         .groupBy("user_id")
         .agg(*[F.max(measures.flag(F.col("event_type") == s)).alias(n) for s, n in zip(steps, names)])
     )
-    sums = reached.agg(
-        F.sum("viewed").alias("step1_page_views"),
-        F.sum("carted").alias("step2_add_to_cart"),
-        F.sum("purchased").alias("step3_purchase"),
-    )
-    one, two, three = F.col("step1_page_views"), F.col("step2_add_to_cart"), F.col("step3_purchase")
+    sums = reached.agg(*[F.sum(f"`{n}`").alias(n) for n in names])
+    counts = [F.col(f"`{n}`") for n in names]
     return sums.select(
-        one,
-        two,
-        three,
-        measures.percent(two, one).alias("view_to_cart_pct"),
-        measures.percent(three, two).alias("cart_to_purchase_pct"),
-        measures.percent(three, one).alias("overall_conversion_pct"),
+        *counts,
+        *[measures.percent(to, of).alias(r) for of, to, r in zip(counts, counts[1:], rates)],
+        measures.percent(counts[-1], counts[0]).alias("overall_conversion_pct"),
     )
 
 

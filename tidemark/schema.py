@@ -37,7 +37,6 @@ REJECT_RETENTION_DAYS = 14
 EVENT_RETENTION_DAYS = 365
 
 SANITIZED_LENGTH = 255
-REPLAY_LIMIT = 500
 PREVIEW_ROWS = 5
 PREVIEW_CHARS = 200
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from tidemark.schema import REJECT_SCHEMA, REPLAY_LIMIT
+from tidemark.schema import REJECT_SCHEMA
 from tidemark.sources.landing import HOUR_PARTS
 
 DAY_PARTS = ("year", "month", "day")
@@ -53,8 +53,8 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(f"{_STORED}, {_PARTS}").json(f"{root}/errors")
 
 
-def drain(rejects: DataFrame, limit: int | None = REPLAY_LIMIT) -> DataFrame:
-    """The oldest rejects, at most `limit` of them; all when None."""
+def drain(rejects: DataFrame, limit: int | None = None) -> DataFrame:
+    """All rejects, or the `limit` oldest."""
     if limit is None:
         return rejects
     return rejects.orderBy("rejected_at", "reject_id").limit(limit)

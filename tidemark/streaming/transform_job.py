@@ -76,7 +76,9 @@ def transformed(
     )
     unique = drop_repeats(remembering(checked, memory_seconds), "sequence_number", spread)
     if by_event_id:
-        unique = unique.withColumn("_event_id", F.get_json_object("raw", "$.event_id"))
+        # Records without an event id share none: each stands for itself by its number.
+        own = F.concat(F.lit("\u0000"), "sequence_number")
+        unique = unique.withColumn("_event_id", F.coalesce(F.get_json_object("raw", "$.event_id"), own))
         unique = drop_repeats(unique, "_event_id", spread).drop("_event_id")
     return unique.observe(OUTCOME, F.count_if(F.col("error_type").isNull()).alias("processed"))
 
