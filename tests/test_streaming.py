@@ -163,6 +163,14 @@ def test_second_pass_by_event_id(spark, folder):
     assert rejects.read(spark, root).count() == 2
 
 
+def test_second_pass_keeps_records_without_event_id(spark, folder):
+    inbox, root = f"{folder}/inbox", f"{folder}/out"
+    bodies = [(n, payload(None)) for n in "cdef"]
+    deliver(records(spark, [("a", payload("1")), ("b", payload("1")), *bodies]), inbox)
+    run(spark, inbox, root, by_event_id=True)
+    assert [r[0] for r in landed(spark, root)].count("c") == 1 and len(landed(spark, root)) == 5
+
+
 def test_full_strictness_and_full_meta(spark, folder):
     inbox, root = f"{folder}/inbox", f"{folder}/out"
     deliver(records(spark, [("a", payload("1")), ("b", payload("2", event_type="zzz"))]), inbox)
