@@ -1,89 +1,138 @@
-"""Fuzzy line deduplication by MinHash, in DataFrame functions only.
+"""Fuzzy line deduplication by MinHash.
 
-Lines are compared trimmed. Equal lines are brought together first. A line's set is the hashes of its character
-shingles; the hashes fall into bins by their top bits, and a bin's signature is the least hash, or that of the nearest
-bin that has one. Lines that share a band of signature rows are candidates: each is compared with the band's first
-line, and those not joined by that with the other lines of the band, by the exact Jaccard similarity of shingles.
+Lines are compared trimmed. Equal lines are brought together first. A line's set is its character shingles. Their
+hashes fall into bins by their top bits, and a bin's signature row is the least hash, or that of the nearest bin that
+has one. Lines that share a band of signature rows are candidates: each is compared with the band's first line, and
+those not joined by that with the other lines of the band, by the exact Jaccard similarity of the shingles themselves.
 Of each connected component the line that comes first (by document, then place) stays, all other places go.
 
+Signatures and verification work on Arrow batches: the form in built-in functions alone was beyond the limits (see the
+README for its figures). Everything else is joins and grouping.
+
 Blank lines stay where they are. A null text stays null. Rows with a null key are passed through unchanged. A line
 shorter than a shingle is one shingle. Rows of a repeated key are expected to hold the same text. Ties can't occur, as
 places are unique. An empty table gives an empty result. Extra columns are left out.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, spread_join, staged
+from tidemark.llm.common import components, copied_join, slices, spread_join, staged
 
 SHINGLE = 5
-BINS_LOG = 5
-BAND_ROWS = 4
-
-
-def shingle_hashes(line):
-    """The set of hashes of a line's shingles, ascending."""
-    whole = F.length(line) < SHINGLE
-    grams = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    grams = F.when(whole, F.array(line)).otherwise(grams)
-    return F.array_distinct(F.sort_array(F.transform(grams, lambda g: F.xxhash64(g))))
-
-
-def bin_minima(hashes):
-    """The least hash of each bin that has any; a bin is the top bits of a hash."""
-    def top(x):
-        return F.shiftright(x, 64 - BINS_LOG)
-
-    return F.filter(hashes, lambda x, i: (i == 0) | (top(x) != top(F.get(hashes, i - 1))))
-
-
-def _flipped(mark):
-    return lambda x: x.bitwiseXOR(F.lit(mark))
-
-
-def bands(minima):
-    """One hash per band. A bin without a hash takes that of the bin nearest in its number's bits."""
-    rows = []
-    for j in range(1 << BINS_LOG):
-        mark = j << (64 - BINS_LOG)
-        mark -= (1 << 64) if mark >= 1 << 63 else 0
-        sign = -(1 << 63)  # signed order must follow the unsigned one
-        rows.append(F.array_min(F.transform(minima, _flipped(mark ^ sign))))
-    groups = [rows[i : i + BAND_ROWS] for i in range(0, len(rows), BAND_ROWS)]
-    return F.array(*[F.xxhash64(F.lit(b), *g) for b, g in enumerate(groups)])
-
-
-def verified(pairs: DataFrame, lines: DataFrame, sizes: DataFrame, similarity: float) -> DataFrame:
+BINS_LOG = 6
+BAND_ROWS = 5
+BANDS = 12
+#: White space that trimming takes away.
+SPACES = " \t\x0b\x0c\r"
+_EMPTY = np.uint64(2**64 - 1)
+_ODD = np.random.default_rng(5).integers(1 << 62, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _mixed(h):
+    """64-bit numbers with every bit spread over all bits."""
+    h = (h ^ (h >> np.uint64(32))) * _ODD[14]
+    h = (h ^ (h >> np.uint64(29))) * _ODD[15]
+    return h ^ (h >> np.uint64(32))
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """One row per line, one least shingle hash per bin. A bin without one takes that of the bin nearest in its number's bits."""
+    padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
+    codes = np.frombuffer("".join(padded).encode("utf-32-le"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, padded), np.int64, len(padded))
+    line = np.repeat(np.arange(len(padded)), sizes - SHINGLE + 1)
+    # Shingles that reach into the next line are left out.
+    inside = np.ones(len(codes), bool)
+    ends = np.cumsum(sizes)
+    for back in range(1, SHINGLE):
+        inside[ends - back] = False
+    whole = len(codes) - SHINGLE + 1
+    h = codes[:whole] * _ODD[0]
+    for i in range(1, SHINGLE):
+        h += codes[i : i + whole] * _ODD[i]
+    h = _mixed(h[inside[:whole]])
+    bins = 1 << BINS_LOG
+    low = np.full(len(padded) * bins, _EMPTY)
+    shift = np.uint64(64 - BINS_LOG)
+    np.minimum.at(low, line * bins + (h >> shift).astype(np.int64), h)
+    low = low.reshape(-1, bins)
+    rows = low.copy()
+    for j in range(bins):
+        lacking = np.flatnonzero(low[:, j] == _EMPTY)
+        if len(lacking):
+            known = low[lacking]
+            rows[lacking, j] = np.where(known == _EMPTY, _EMPTY, known ^ (np.uint64(j) << shift)).min(1) ^ (np.uint64(j) << shift)
+    return rows
+
+
+def band_hashes(rows: np.ndarray) -> np.ndarray:
+    """One hash per line and band."""
+    out = np.empty((len(rows), BANDS), np.uint64)
+    for b in range(BANDS):
+        part = rows[:, b * BAND_ROWS : (b + 1) * BAND_ROWS]
+        out[:, b] = _mixed(_mixed(part * _ODD[:BAND_ROWS]).sum(1, dtype=np.uint64) + np.uint64(b))
+    return out.view(np.int64)
+
+
+def banded(lines: DataFrame) -> DataFrame:
+    """Rows (node, bands) of rows (node, line)."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "line"):
+                hashes = band_hashes(signatures(part.column("line").to_pylist()))
+                at = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * BANDS)
+                bands = pa.ListArray.from_arrays(at, pa.array(hashes.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column("node"), bands], ["node", "bands"])
+
+    return lines.select("node", "line").mapInArrow(run, "node long, bands array<long>")
+
+
+def shingles(line: str) -> set[str]:
+    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
+
+
+def similar(a: str, b: str, similarity: float) -> bool:
+    """Whether the Jaccard similarity of the lines' shingles is at least that."""
+    x, y = shingles(a), shingles(b)
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    common = len(x & y)
+    return common >= similarity * (len(x) + len(y) - common)
+
+
+def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """Of distinct pairs (a, b) of line numbers those whose shingle sets are similar."""
     one = lines.select(F.col("node").alias("a"), F.col("line").alias("la"))
     two = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"))
-    size_a = sizes.select(F.col("node").alias("a"), F.col("size").alias("sa"))
-    size_b = sizes.select(F.col("node").alias("b"), F.col("size").alias("sb"))
-    close = F.least("sa", "sb") >= similarity * F.greatest("sa", "sb")
-    sized = spread_join(spread_join(pairs, size_a, "a", spread_by="b"), size_b, "b", spread_by="a")
-    near = staged(sized.where(close), "line-near-sizes")
-    both = spread_join(spread_join(near, one, "a", spread_by="b"), two, "b", spread_by="a")
-    common = F.size(F.array_intersect(shingle_hashes(F.col("la")), shingle_hashes(F.col("lb"))))
-    return both.where(common >= similarity * (F.col("sa") + F.col("sb") - common)).select("a", "b")
+    both = spread_join(pairs.join(two, "b"), one, "a", spread_by="b")
+
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column("la").to_pylist(), batch.column("lb").to_pylist()
+            near = pa.array([similar(x, y, similarity) for x, y in zip(a, b)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(near)
+
+    return both.select("a", "b", "la", "lb").mapInArrow(run, "a long, b long")
 
 
 def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
     """Rows (key, n, line): the lines that stay, blank ones not included."""
     each = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n")).alias("n", "raw"))
-    each = each.select("key", "n", F.regexp_replace("raw", r"^\s+|\s+$", "").alias("line")).where("line <> ''")
+    each = each.select("key", "n", F.trim(F.col("raw"), F.lit(SPACES)).alias("line")).where("line <> ''")
     first = each.groupBy("line").agg(F.min(F.struct("key", "n")).alias("place"))
     first = first.withColumn("node", F.monotonically_increasing_id())
     # Numbers are given once, as the table is written.
     distinct = staged(first.select("node", "line", "place.key", "place.n"), "distinct-lines")
-    hashed = distinct.select("node", shingle_hashes(F.col("line")).alias("hashes"))
-    # A row between the steps keeps the hashes from being worked out again for every band.
-    minima = hashed.select("node", F.size("hashes").alias("size"), F.explode(F.array(bin_minima(F.col("hashes")))).alias("minima"))
-    signed = staged(minima.select("node", "size", bands(F.col("minima")).alias("bands")), "line-signatures")
+    signed = staged(banded(distinct), "line-signatures")
     spread = signed.select("node", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
-    members = staged(spread_join(spread, shared, "band", spread_by="node").where("hub is not null"), "line-bands")
+    members = staged(copied_join(spread, shared, "band", spread_by="node"), "line-bands")
     stars = staged(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "line-pairs")
-    links = staged(verified(stars, distinct, signed, similarity), "line-links")
+    links = staged(verified(stars, distinct, similarity), "line-links")
     joined = components(links, "line-stars")
 
     # Lines of a band that its first line did not bring together are compared with the band's other lines.
@@ -96,7 +145,7 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     others = known.where("node <> hub").select("band", F.col("node").alias("b"), F.col("own").alias("ob"), F.col("hub_own").alias("h"))
     rest = apart.join(others, "band").where("oa <> ob and (ob = h or a < b)")
     rest = staged(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-rest")
-    more = staged(verified(rest, distinct, signed, similarity), "line-more-links")
+    more = staged(verified(rest, distinct, similarity), "line-more-links")
     roots = joined if more.isEmpty() else components(links.unionByName(more), "line-components")
 
     # Only lines in a component of several need to be compared by place.
