@@ -172,7 +172,7 @@ def test_bad_lines_are_rejected_and_audited(spark, folder, utc):
         (None, "load_error", "no usable value for: event_id, event_type, event_ts, user_id"),
     ]
     audit = spark.read.parquet(f"{folder}/audit")
-    assert set(audit.columns) == set(LOAD_AUDIT_SCHEMA.fieldNames())
+    assert set(audit.columns) == {*LOAD_AUDIT_SCHEMA.fieldNames(), "batch_id"}
     history = load.load_history(audit, "2024-06-01 12:00:00")
     assert rows(history, "file", "lines_scanned", "lines_loaded", "lines_failed", "success_pct") == [
         ("file-1", 3, 1, 2, 33.3), ("file-2", 2, 1, 1, 50.0)
@@ -180,6 +180,35 @@ def test_bad_lines_are_rejected_and_audited(spark, folder, utc):
     assert load.load_history(audit, "2024-06-03 00:00:00").count() == 0
 
 
+def test_unusable_numbers_and_long_keys_are_rejected(spark, folder):
+    def line(event_id, **properties):
+        return json.dumps({"event_id": event_id, "event_type": "view", "timestamp": day(1), "user_id": "u", "properties": properties})
+
+    bodies = [
+        line("a", value="abc"), line("b", value=1e12), line("c", duration_ms="soon"), line("d", duration_ms=3e10),
+        line("e" * 37), line("f", value=None, duration_ms=None), line("g", value=1.5, duration_ms=3), line("h" * 36),
+    ]
+    table = FactTable(spark, f"{folder}/fact")
+    load.load(table, spark.createDataFrame([(b, "f") for b in bodies], "line string, file string"), "s", None, f"{folder}/rejects")
+    assert sorted(r[0] for r in rows(table.read(), "event_id")) == ["f", "g", "h" * 36]
+    assert sorted(r["error"] for r in rejects.read(spark, f"{folder}/rejects").collect()) == (
+        ["no usable value for: duration_ms"] * 2 + ["no usable value for: value"] * 2 + ["too long: event_id"]
+    )
+
+
+def test_a_repeated_batch_changes_nothing(spark, folder, utc):
+    table = FactTable(spark, f"{folder}/fact")
+    lines = staged_lines(spark, [("a", day(1), 1, "1"), ("b", "soon", 1, "2")], "file-1")
+    lines = lines.withColumn("loaded_at", F.lit(utc("2024-06-01T23:59:59")))
+    seen = []
+    for _ in range(2):
+        load.load(table, lines, "s", f"{folder}/audit", f"{folder}/rejects", batch_id="load-7")
+        audit = spark.read.parquet(f"{folder}/audit").drop("load_id")
+        parts = table.read().drop("version"), rejects.read(spark, f"{folder}/rejects"), audit
+        seen.append([sorted(map(str, df.collect())) for df in parts])
+    assert seen[0] == seen[1] and [len(x) for x in seen[0]] == [1, 1, 1]
+
+
 def test_loaded_at_is_one_time_for_a_load(spark, folder):
     table = FactTable(spark, folder)
     load.load(table, staged_lines(spark, [(str(i), day(1), 1, str(i)) for i in range(9)]).repartition(4), "x")

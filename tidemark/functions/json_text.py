@@ -8,7 +8,7 @@ from tidemark.schema import REQUIRED_FIELDS
 _PROBE_SCHEMA = (
     "array<struct<"
     + ", ".join(f"`{name}`: variant" for name in REQUIRED_FIELDS)
-    + ", `__end`: boolean>>"
+    + ", `__end`: string>>"
 )
 
 
@@ -30,13 +30,21 @@ def probe(raw) -> Column:
     last; trailing characters or a second value give something else. Variant
     fields tell an absent key (NULL) from a null value (a VOID variant) and
     keep the JSON type, so one parse serves every check.
+
+    A text that may name the marker itself (plainly or by an escape) gets a
+    marker that holds the text's own digest, which the text can't know.
     """
-    wrapped = F.concat(F.lit("["), raw, F.lit(',{"__end":true}]'))
+    wrapped = F.concat(F.lit("["), raw, F.lit(',{"__end":"'), _end_mark(raw), F.lit('"}]'))
     return F.from_json(wrapped, _PROBE_SCHEMA, {"allowSingleQuotes": "false"})
 
 
-def probe_is_object(probed) -> Column:
-    whole = (F.size(probed) == 2) & F.get(probed, F.lit(1))["__end"]
+def _end_mark(raw) -> Column:
+    names_marker = raw.contains("__end") | raw.contains("\\u")
+    return F.when(names_marker, F.sha2(raw, 256)).otherwise(F.lit("end"))
+
+
+def probe_is_object(probed, raw) -> Column:
+    whole = (F.size(probed) == 2) & (F.get(probed, F.lit(1))["__end"] == _end_mark(raw))
     return F.coalesce(whole & F.get(probed, F.lit(0)).isNotNull(), F.lit(False))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import json_text, text, timing
-from tidemark.schema import COLUMN_WIDTHS, FACT_COLUMNS, META_VERSION, PROCESSOR
+from tidemark.schema import COLUMN_WIDTHS, FACT_COLUMNS, FACT_NOT_NULL, KEY_COLUMNS, META_VERSION, PROCESSOR
 
 
 def short_meta(sequence, processor: str = PROCESSOR) -> Column:
@@ -63,15 +63,28 @@ _PLACES = {
 _INNER = ("properties", "metadata", "_meta")
 
 
-def flatten(lines: DataFrame, line: str = "line", loaded_at=None, ignore_case: bool = True) -> DataFrame:
+def flatten(
+    lines: DataFrame,
+    line: str = "line",
+    loaded_at=None,
+    ignore_case: bool = True,
+    widths: dict[str, int] = COLUMN_WIDTHS,
+    problem: str | None = None,
+) -> DataFrame:
     """JSON lines to the fact columns; other columns of the frame are kept.
 
     With `ignore_case` a member name also matches in any other case, where its
     own spelling is absent or null; the last such member counts. Only lines
     that lack a value are parsed again for that, into maps of names and text,
     so complete lines cost one typed parse.
+
+    Text is cut to `widths`, but never a key: rows are matched and counted on
+    whole keys. `problem` names a column that says why a line must not be
+    loaded: a required value that is absent, one that is there but has no
+    usable form, or a key longer than its width. NULL means none.
     """
     kept = [c for c in lines.columns if c not in FACT_COLUMNS]
+    cut = {c: w for c, w in widths.items() if c not in KEY_COLUMNS}
     parsed = lines.withColumn("_p", F.from_json(line, _LINE_SCHEMA, {"allowSingleQuotes": "false"}))
     texts = {
         column: F.col(f"_p.{name}" if level == "top" else f"_p.{level}.{name}")
@@ -84,7 +97,10 @@ def flatten(lines: DataFrame, line: str = "line", loaded_at=None, ignore_case: b
             for column, (level, name) in _PLACES.items()
         }
     at = F.current_timestamp() if loaded_at is None else loaded_at
-    return parsed.select(*kept, *_typed(texts, at))
+    fields = _typed(texts, at)
+    shown = {name: text.clip(fields[name], cut[name]) if name in cut else fields[name] for name in FACT_COLUMNS}
+    found = [] if problem is None else [_problem(texts, fields, widths).alias(problem)]
+    return parsed.select(*kept, *[value.alias(name) for name, value in shown.items()], *found)
 
 
 def _arrays(level: str):
@@ -108,11 +124,22 @@ def _by_lower_name(df: DataFrame, levels) -> DataFrame:
     return df.withColumns(found)
 
 
-def _typed(texts: dict, loaded_at) -> list[Column]:
+def _typed(texts: dict, loaded_at) -> dict[str, Column]:
     fields = dict(texts, loaded_at=loaded_at)
     fields["event_ts"] = timing.parse_timestamp(texts["event_ts"])
     fields["duration_ms"] = texts["duration_ms"].try_cast("int")
     fields["value"] = texts["value"].try_cast("decimal(12,2)")
-    for name, width in COLUMN_WIDTHS.items():
-        fields[name] = text.clip(fields[name], width)
-    return [fields[name].alias(name) for name in FACT_COLUMNS]
+    return fields
+
+
+def _problem(texts: dict, fields: dict, widths: dict) -> Column:
+    lacking = [F.when(fields[c].isNull(), F.lit(c)) for c in FACT_NOT_NULL]
+    spoilt = [F.when(texts[c].isNotNull() & fields[c].isNull(), F.lit(c)) for c in ("duration_ms", "value")]
+    unusable = F.concat_ws(", ", *lacking, *spoilt)
+    too_long = F.concat_ws(", ", *[F.when(F.length(fields[c]) > widths[c], F.lit(c)) for c in KEY_COLUMNS if c in widths])
+    said = F.concat_ws(
+        "; ",
+        F.when(unusable != "", F.concat(F.lit("no usable value for: "), unusable)),
+        F.when(too_long != "", F.concat(F.lit("too long: "), too_long)),
+    )
+    return F.nullif(said, F.lit(""))

@@ -104,7 +104,7 @@ def check(records: DataFrame, strictness: str = "required", event_types=VALID_EV
         "_verdict",
         F.when(F.col("raw").isNull(), _verdict(BAD_ENCODING, F.lit("data is not base64 of UTF-8 text")))
         .when(
-            ~json_text.probe_is_object(F.col("_probe")),
+            ~json_text.probe_is_object(F.col("_probe"), F.col("raw")),
             F.when(
                 ~json_text.starts_object(F.col("raw")) & json_text.is_json_value(F.col("raw")),
                 _verdict(NOT_OBJECT, F.lit("payload is JSON but not an object")),

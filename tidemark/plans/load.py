@@ -10,7 +10,7 @@ from tidemark.functions import measures, timing
 from tidemark.operators.enrich import flatten
 from tidemark.operators.matching import SPREAD, matched
 from tidemark.operators.upsert import settle, upsert
-from tidemark.schema import FACT_COLUMNS, FACT_NOT_NULL, LOAD_ERROR
+from tidemark.schema import FACT_COLUMNS, LOAD_ERROR
 from tidemark.session import fits_broadcast, work_folder, written
 from tidemark.sources import folders, rejects
 from tidemark.sources.fact import FactTable
@@ -24,13 +24,13 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 def stage(lines: DataFrame, loaded_at=None, ignore_case: bool = True) -> DataFrame:
     """Lines as fact rows with `line`, `file` and `error`.
 
-    A line without one of the NOT NULL values gets an error and keeps its text,
-    which the others do not need any more. `loaded_at` is set here, for all
-    rows of a load alike.
+    A line that must not be loaded gets an error and keeps its text, which the
+    others do not need any more. `loaded_at` is set here, for all rows of a
+    load alike; lines that bring a `loaded_at` keep theirs.
     """
-    flat = flatten(lines.select("line", "file"), loaded_at=loaded_at, ignore_case=ignore_case)
-    absent = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in FACT_NOT_NULL])
-    staged = flat.withColumn("error", F.when(absent != "", F.concat(F.lit("no usable value for: "), absent)))
+    own = ["loaded_at"] if "loaded_at" in lines.columns else []
+    at = F.col("loaded_at") if own else loaded_at
+    staged = flatten(lines.select("line", "file", *own), loaded_at=at, ignore_case=ignore_case, problem="error")
     return staged.withColumn("line", F.when(F.col("error").isNotNull(), F.col("line")))
 
 
@@ -78,13 +78,16 @@ def load(
 
     `match_dates='staged'` searches only the dates of the staged rows, which is
     exact as long as an event id never changes its event time. `batch_id` names
-    the reject folders, so that a repeated load replaces its own rejects.
+    the reject and audit folders, so that a repeated load replaces its own. For
+    that its time must be the same as well: give `loaded_at`, or lines with a
+    column of that name.
     """
     if match_dates not in ("all", "staged"):
         raise ValueError(f"match_dates must be 'all' or 'staged', not {match_dates!r}")
     started = time.monotonic()
     at = timing.as_of_column(loaded_at or dt.datetime.now(dt.timezone.utc))
     folder = work_folder(table.spark, "load")
+    name = batch_id or f"load-{folder.rsplit('-', 1)[1]}"
     try:
         counts = Observation("staged")
         staged = written(
@@ -101,9 +104,9 @@ def load(
             good = settle(fact_rows(staged), intra_batch)
             version = _merge(table, good, f"{folder}/ids", match_dates, broadcast_bytes)
         if rejects_root and scanned > loaded:
-            rejects.store(_load_rejects(staged, at), rejects_root, batch_id=batch_id or folder.rsplit("-", 1)[1])
+            rejects.store(_load_rejects(staged), rejects_root, batch_id=name)
         if audit_root:
-            audit_rows(staged, version, at).write.mode("append").parquet(audit_root)
+            _store_audit(audit_rows(staged, version), audit_root, name)
     finally:
         folders.remove(table.spark, folder)
     return {
@@ -136,25 +139,37 @@ def _merge(table: FactTable, good: DataFrame, ids_folder: str, match_dates: str,
     return table.commit(rows, replaces=hit)
 
 
-def _load_rejects(staged: DataFrame, at) -> DataFrame:
+def _load_rejects(staged: DataFrame) -> DataFrame:
     failed = staged.where(F.col("error").isNotNull()).select(
         F.col("kinesis_seq").alias("sequence_number"),
         F.col("line").alias("raw"),
         F.lit(None).cast("string").alias("data"),
         "error",
         F.lit(LOAD_ERROR).alias("error_type"),
+        "loaded_at",
     )
-    return rejects.as_rejects(failed, at)
+    return rejects.as_rejects(failed, F.col("loaded_at"))
 
 
-def audit_rows(staged: DataFrame, load_id, completed_at) -> DataFrame:
+def _store_audit(audit: DataFrame, root: str, batch_id: str) -> None:
+    """Write audit rows to the folder of their batch, in place of those of an earlier attempt."""
+    (
+        audit.withColumn("batch_id", F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(root)
+    )
+
+
+def audit_rows(staged: DataFrame, load_id) -> DataFrame:
     """One row per loaded file."""
     return staged.groupBy("file").agg(
         F.lit(load_id).cast("long").alias("load_id"),
         F.count(F.lit(1)).alias("lines_scanned"),
         F.count_if(F.col("error").isNull()).alias("lines_loaded"),
         F.count_if(F.col("error").isNotNull()).alias("lines_failed"),
-        F.lit(completed_at).alias("completed_at"),
+        F.max("loaded_at").alias("completed_at"),
     )
 
 

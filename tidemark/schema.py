@@ -53,6 +53,9 @@ COLUMN_WIDTHS = {
     "processed_by": 64,
 }
 
+# Rows are matched and users counted by these: never cut, but rejected when over-long.
+KEY_COLUMNS = ("event_id", "user_id")
+
 SHARD_RECORDS_PER_SECOND = 1_000
 BAND_YELLOW_PCT = 60
 BAND_RED_PCT = 85

@@ -1,6 +1,7 @@
 """Loading the landing zone into the fact table as files arrive."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.load import load
@@ -22,8 +23,9 @@ def start(
 ) -> StreamingQuery:
     """Start the load job; `trigger=None` loads what is there and ends.
 
-    A batch that runs again upserts the same ids and replaces its own rejects,
-    and so changes nothing.
+    A batch that runs again upserts the same ids under the same load time,
+    which Spark keeps with the batch, and replaces its own rejects and audit
+    rows, and so changes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -32,6 +34,7 @@ def start(
 
     writer = (
         stream_lines(table.spark, landing_root, max_files, below)
+        .withColumn("loaded_at", F.current_timestamp())
         .writeStream.queryName("load")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
