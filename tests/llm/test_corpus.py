@@ -341,3 +341,23 @@ def test_pipeline_stages_take_effect(spark):
 def test_digest_of_no_spans(spark):
     row = queries.op10_personal_data(spark, SF).where("spans = ''").first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_line_bands_find_similar_lines():
+    """Lines at just over 0.8 share a band nearly always; short and repeated lines have signatures of their own."""
+    rng = random.Random(3)
+    lines, changed = [], []
+    while len(lines) < 400:
+        line = "".join(rng.choice("abcdefghijklmnop ") for _ in range(250))
+        other = line
+        for at in rng.sample(range(0, 250, 10), 5):
+            other = other[:at] + "#" + other[at + 1 :]
+        if line_minhash.similar(line, other, 0.8):
+            lines.append(line)
+            changed.append(other)
+    one, two = (line_minhash.band_hashes(line_minhash.signatures(x)) for x in (lines, changed))
+    assert (one == two).any(1).mean() > 0.97
+    odd = ["a", "b", "a", "ab", "\U0001f600" * 3, "x" * 70_000]
+    bands = line_minhash.band_hashes(line_minhash.signatures(odd))
+    assert (bands[0] == bands[2]).all() and len({tuple(r) for r in bands.tolist()}) == 5
+    assert line_minhash.similar("ab", "ab", 0.8) and not line_minhash.similar("ab", "abc", 0.8)
