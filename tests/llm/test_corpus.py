@@ -361,3 +361,25 @@ def test_line_bands_find_similar_lines():
     bands = line_minhash.band_hashes(line_minhash.signatures(odd))
     assert (bands[0] == bands[2]).all() and len({tuple(r) for r in bands.tolist()}) == 5
     assert line_minhash.similar("ab", "ab", 0.8) and not line_minhash.similar("ab", "abc", 0.8)
+
+
+def test_kernel_meets_words_in_runs_without_spaces():
+    kernel = string_kernel.Kernel(["pathetic", "idiot"])
+    plain = "the river runs over the stones and the wind blows through the trees"
+    joined = plain.replace(" ", "")
+    for text in (
+        "you,idiot,moron;" + plain.replace(" ", ","),
+        "nice/idiot",
+        joined + "idiot" + joined,
+        joined + "idiioot" + joined,
+        joined * 150 + "idiot" + joined * 150,
+        "文" * 100 + "idiot" + "字" * 100,
+        joined[:22] + "idiot" + joined[:22],
+    ):
+        assert kernel.sentences(text).max(initial=0) > 0.5, text[:80]
+    assert not len(kernel.sentences(joined)) and not len(kernel.sentences(plain.replace(" ", ",")))
+    draw = random.Random(2)
+    word = "".join(draw.choice(["idiot", "idioot", "idxiot", "pathetic", "pathhetic", "river", "xq", "pat"]) for _ in range(150))
+    every = {word[i : i + n] for n in (5, 7, 8, 10) for i in range(len(word) - n + 1)}
+    near = {w for w in every if kernel.met(w) is not None and kernel.met(w)[[n for n in (0, 1) if len(w) - len(kernel.landmarks[n]) in (0, 2)]].any()}
+    assert near and near <= kernel.stretches(word)

@@ -1,12 +1,14 @@
 """Toxicity by a subsequence string kernel, Nyström landmarks and a linear support vector machine.
 
 The kernel of two words sums over three-letter subsequences within a span, weighted down by their spread, so gapped
-spellings and inserted characters stay near. A sentence meets a landmark as well as its best word does. Nyström's map
+spellings and inserted characters stay near. A sentence meets a landmark as well as its best word does. What stands
+between white space is taken joined and also split at its punctuation. Of a word of more than `LONG` letters (a list
+without spaces, a script without spaces) every stretch of a landmark's length counts as a word too. Nyström's map
 makes these numbers features; a linear machine is trained on labelled sentences: those of clean documents, and of each
 toxic document the sentence that scores highest. A document is as toxic as its worst sentence.
 
 Learning uses a bounded sample of labelled documents (`sample` of each label). Null and empty texts score as a sentence
-without any landmark. Repeated rows count each. With no labelled toxic or no clean text, every score is 0. Other columns
+without any landmark. A landmark has at most `MARK` letters; texts are scored whole. Repeated rows count each. With no labelled toxic or no clean text, every score is 0. Other columns
 are left out.
 """
 
@@ -25,6 +27,14 @@ SPAN = 5
 DECAY = 0.6
 #: Kernel values below this count as no likeness.
 NEAR = 0.5
+#: Words of more letters are also met stretch by stretch.
+LONG = 24
+#: Letters of a landmark at most.
+MARK = 64
+#: Letters that a stretch may have beyond its landmark, so that inserted ones stay inside.
+_SLACK = (0, 2)
+#: Letters of a long word that are worked on at a time.
+_PART = 8192
 _SENTENCES = re.compile(r"[.!?]\s|[\n\r]+")
 _SINGLES = re.compile(r"(?<!\w)(?:[^\W\d_][\W_]{1,3}){3,}[^\W\d_](?!\w)")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -33,11 +43,18 @@ _PLACES = [(j, k, DECAY**k) for j, k in itertools.combinations(range(1, SPAN), 2
 
 
 def words(sentence: str) -> set[str]:
-    """Letters only, lower case; runs of single letters also as one word."""
+    """Letters only, lower case, joined over punctuation and split at it; runs of single letters also as one word."""
     low = sentence.lower()
-    found = {_OTHER.sub("", w) for w in low.split()}
+    found = set()
+    for w in low.split():
+        if w.isalpha():
+            found.add(w)
+        else:
+            parts = _OTHER.split(w)
+            found.update(parts)
+            found.add("".join(parts))
     found.update(_OTHER.sub("", m) for m in _SINGLES.findall(low))
-    return {w for w in found if 3 <= len(w) <= 64}
+    return {w for w in found if len(w) >= 3}
 
 
 def subsequences(word: str) -> dict[str, float]:
@@ -61,6 +78,9 @@ class Kernel:
             norm = math.sqrt(sum(v * v for v in own.values()))
             for s, v in own.items():
                 self.table.setdefault(s, np.zeros(len(landmarks)))[i] = v / norm
+        self.by_length = {}
+        for i, mark in enumerate(landmarks):
+            self.by_length.setdefault(len(mark), []).append(i)
         gram = np.array([self.raw(m) for m in landmarks]).reshape(len(landmarks), len(landmarks))
         values, vectors = np.linalg.eigh(gram)
         self.whiten = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
@@ -73,14 +93,46 @@ class Kernel:
                 total += v * row
         return total / math.sqrt(sum(v * v for v in own.values()))
 
+    def stretches(self, word) -> set[str]:
+        """Of the stretches as long as a landmark (and `_SLACK`) those that may be near it, none missing."""
+        found, reach = set(), max(self.by_length, default=0) + max(_SLACK)
+        for start in range(0, len(word), _PART):
+            part = word[start : start + _PART + reach]
+            n, spans = len(part), {}
+            for j, k, weight in _PLACES:
+                sums = spans.setdefault(k, np.zeros((n + 1, len(self.landmarks))))
+                for i in range(n - k):
+                    if (row := self.table.get(part[i] + part[i + j] + part[i + k])) is not None:
+                        sums[i + 1] += weight * row
+            for sums in spans.values():
+                np.cumsum(sums, axis=0, out=sums)
+            for length, marks in self.by_length.items():
+                for size in {length + more for more in _SLACK}:
+                    if size > n:
+                        continue
+                    at = np.arange(n - size + 1)
+                    total = sum(s[at + max(0, size - k)][:, marks] - s[at][:, marks] for k, s in spans.items())
+                    # Equal subsequences only make a stretch's norm larger than this.
+                    norm = math.sqrt(sum(w * w * max(0, size - k) for _, k, w in _PLACES))
+                    for i in np.flatnonzero(total.max(1) >= NEAR * norm - 1e-9):
+                        found.add(part[i : i + size])
+        return found
+
     def __call__(self, word):
+        if len(word) <= LONG:
+            return self.met(word)
+        near = [v for w in {word, *self.stretches(word)} if (v := self.met(w)) is not None]
+        return np.max(near, axis=0) if near else None
+
+    def met(self, word):
         found = self.known.get(word, False)
         if found is False:
             if len(self.known) >= self.limit:
                 self.known.clear()
             value = self.raw(word)
             found = np.where(value >= NEAR, value, 0.0) if value.max(initial=0) >= NEAR else None
-            self.known[word] = found
+            if len(word) <= MARK:
+                self.known[word] = found
         return found
 
     def sentences(self, text: str | None) -> np.ndarray:
@@ -99,7 +151,7 @@ def landmarks(sample: DataFrame, number=64) -> list[str]:
     def run(batches):
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                found = sorted(set().union(*map(words, _SENTENCES.split(text or ""))))
+                found = sorted(w for w in set().union(*map(words, _SENTENCES.split(text or ""))) if len(w) <= MARK)
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([label] * len(found), pa.int32())], ["word", "label"])
 
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
