@@ -383,3 +383,36 @@ def test_kernel_meets_words_in_runs_without_spaces():
     every = {word[i : i + n] for n in (5, 7, 8, 10) for i in range(len(word) - n + 1)}
     near = {w for w in every if kernel.met(w) is not None and kernel.met(w)[[n for n in (0, 1) if len(w) - len(kernel.landmarks[n]) in (0, 2)]].any()}
     assert near and near <= kernel.stretches(word)
+
+
+def test_field_decodes_the_whole_text():
+    draw = random.Random(8)
+    known = ["jo@ex.org", "10.0.0.255", "4111 1111 1111 1111", "+44 20 7946 0958", "+1 555 010 9999", "mary.ann@mail.example.com"]
+    learned = [f"{a} {b} {c}" for b in known for a in ("by", "see 12", "(") for c in ("now", "or 7", ").")]
+    weights = span_crf.fit([(t, span_crf._apart(span_crf.base_spans(t))) for t in learned])
+    parts = [*known, "and", "the", "12", "2024", "555/123/4567", "10 dot 0 dot 0 dot 1", "a (at) b.org", "x [ AT ] y.z", "@", "١٢", "²", "é", "文字", "...", "\n", "  "]
+    parts += ["christopher.alexander.montgomery (at) example.org", "word " * 20, "w" * 300, "0123456789" * 3]
+    # Without a sign of a kind in the weights (last), nothing may be skipped.
+    loose = weights.copy()
+    loose[:, 0] = 0.1
+    found = 0
+    for used in (weights, draw_weights(weights.shape), loose):
+        field = span_crf.Field(used)
+        for _ in range(150):
+            text = draw.choice(["", " "]).join(draw.choices(parts, k=draw.randint(1, 14)))
+            spans = span_crf.decode(text, used)
+            found += len(spans)
+            assert field.decoded(text) == spans, text
+    assert found
+    # What no window of a trigger holds whole: the part cut away, and signs that no trigger names.
+    favoured = np.zeros_like(weights)
+    favoured[0, [0, 1, 4, 5, 21]] = [-3, 2, 1, 1, 1]
+    favoured[3, [0, 8]] = [-1, 2]
+    field = span_crf.Field(favoured)
+    text = "write christopher.alexander.montgomery (at) example.org"
+    assert any(text[s:e].startswith("write christopher.alexander.montgomery (at)") for _, s, e in field.decoded(text))
+    assert field.spans("call 555/123/4567 now")[1] == [(3, 5, 17)]
+
+
+def draw_weights(shape):
+    return np.random.default_rng(6).normal(-0.6, 0.8, shape)

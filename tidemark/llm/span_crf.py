@@ -1,29 +1,36 @@
 """Personal data by a semi-Markov conditional random field beside fixed patterns.
 
-Patterns give the base spans (email, ip, card, phone). Around digits and signs of addresses, windows of tokens are cut
-out; in them, segments of up to `LONGEST` tokens are scored by features of the whole span, and the segmentation of
-highest score is found by dynamic programming over boundaries and types together. The field is trained by likelihood on a
-bounded sample of windows, labelled by the patterns, with features that do not name the patterns, so it also takes spans
-that these miss. Spans it finds that touch no base span are added; base spans always stay.
-
-Null and empty texts have no spans. Equal rows give equal results. Windows cover whole texts. Without any labelled span
-nothing is added. An empty table gives an empty result. Extra columns are left out.
+Patterns give the base spans (email, ip, card, phone). Segments of up to `LONGEST` tokens are scored by features of the
+whole span, and the segmentation of highest score is found by dynamic programming over boundaries and types together.
+The field is trained by likelihood on a bounded sample of windows around digits and signs of addresses, labelled by the
+patterns, with features that do not name the patterns, so it also takes spans that these miss. Spans it finds that touch
+no base span are added; base spans always stay.
+
+All of a text is decoded. What is skipped are segments whose kind (signs of an address, digits, groups of digits) can't
+score above outside whatever their other features are, by the weights at hand: the result is that of decoding every
+segment of the whole text, as tests compare. Features know an address by its sign: `jo at ex dot org` looks to the field
+like any other words, so it is not found.
+
+Null and empty texts have no spans. Equal rows give equal results. Without any labelled span nothing is added. An empty
+table gives an empty result. Extra columns are left out.
 """
 
 import re
+from bisect import bisect_left
 from functools import lru_cache
+from itertools import accumulate, islice, product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, staged
+from tidemark.llm.common import slices
 
 KINDS = ["email", "ip", "card", "phone"]
 LONGEST = 15
 WINDOWS = 1500
-#: Tokens of a training window; longer ones are not drawn for training. Decoding takes windows of any length.
+#: Tokens of a training window; longer ones are not drawn for training. Decoding takes texts of any length.
 TRAINED_TOKENS = 60
 
 _LOCAL = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -35,6 +42,12 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 _TOKENS = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
 _TRIGGER = re.compile(r"@|[(\[]\s?at\s?[)\]]|[0-9][0-9().\x20-]{5,}[0-9]", re.I)
+#: Where a segment may differ from plain words: at a sign of an address, at digits, or (beyond ASCII) at what may be one.
+_ANCHOR = re.compile(r"[0-9@(\[\x80-\U0010ffff]")
+_RUN = re.compile(r"[0-9]+")
+_AT = re.compile(r"@|[(\[]\s?[aA][tT]\s?[)\]]")
+#: As many tokens as lie between the anchors of segments that can overlap.
+_GAP = re.compile(r"\s*(?:(?:[A-Za-z]+|[^\sA-Za-z0-9])\s*){0,%d}" % (2 * LONGEST - 2))
 
 
 def luhn(digits: str) -> bool:
@@ -72,12 +85,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def windows(text: str, around=24) -> list[tuple[int, int]]:
-    """Stretches of text around triggers, cut at white space; near ones are one."""
+    """Stretches of text around triggers to learn from, cut where no address or number goes on; near ones are one."""
     out = []
     for m in _TRIGGER.finditer(text):
         start, end = max(0, m.start() - around), min(len(text), m.end() + around)
+        while start and (text[start - 1] in _LOCAL or text[start - 1] == "@"):
+            start -= 1
+        while end < len(text) and (text[end] in _LOCAL or text[end] == "@"):
+            end += 1
         if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], end)
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
             out.append((start, end))
     return out
@@ -136,6 +153,147 @@ def decode(text: str, weights) -> list[tuple[int, int, int]]:
     return out[::-1]
 
 
+def _sizes(digits: int) -> int:
+    return 0 if not digits else 1 if digits < 8 else 2 if digits < 16 else 3 if digits < 20 else 4
+
+
+def _most(w, at: int, size: int, four: bool, words: bool, dotted: bool) -> float:
+    """What a segment can score at most: by its signs of an address (2 for more), class of digits, and whether it has
+    four groups of digits, letters, and three dots."""
+    up = lambda *columns: np.maximum(0, np.max([w[:, c] for c in columns], axis=0))
+    fixed = w[:, 0] + (0, w[:, 1], w[:, 2])[at] + (w[:, 12], w[:, 12], 0, w[:, 10], w[:, 11])[size]
+    fixed = fixed + (w[:, 15] if dotted else 0) + (w[:, 5] if words else w[:, 6] if size else 0)
+    free = up(20) + up(21) + (up(7, 16, 19) + up(17, 18) if size else up(7, 19) + up(18))
+    free = free + (up(4) if at else 0) + (up(3) if at == 1 else 0) + (up(14) if four else 0)
+    if not words:
+        free = free + (w[:, 8] if size == 2 else up(9) if size == 3 else 0) + (w[:, 13] if four and dotted else 0)
+    return float((fixed + free).max())
+
+
+def _before(text: str, end: int, count: int) -> list[tuple[int, int]]:
+    """The last `count` tokens before a token bound."""
+    reach = 16 * count
+    while True:
+        start = max(0, end - reach)
+        found = [m.span() for m in _TOKENS.finditer(text, start, end)]
+        if start == 0 or len(found) > count:  # the first one may be cut
+            return found[-count:]
+        reach *= 4
+
+
+def _anchors(text: str):
+    """(kind, start, end) of signs of an address, runs of digits, and odd digits (other than 0 to 9)."""
+    at = 0
+    while (m := _ANCHOR.search(text, at)) is not None:
+        start, at = m.span()
+        c = m.group()
+        if c >= "\x80":
+            if c.isdigit():
+                yield "odd", start, at
+        elif c >= "0" and c <= "9":
+            at = _RUN.match(text, start).end()
+            yield "run", start, at
+        elif (m := _AT.match(text, start)) is not None:
+            at = m.end()
+            yield "at", start, at
+
+
+class Field:
+    """Decoding of whole texts with given weights (none: base spans only)."""
+
+    def __init__(self, weights):
+        self.weights = weights
+        if weights is not None:
+            every = product(range(3), range(5), (False, True), (False, True), (False, True))
+            # Rounding is left to the safe side.
+            self.possible = {kind: _most(weights, *kind) > -1e-9 for kind in every}
+            self.everywhere = any(ok for kind, ok in self.possible.items() if kind[:3] == (0, 0, False))
+
+    def spans(self, text: str):
+        """(base spans, base and added spans), each (kind number, start, end)."""
+        base = base_spans(text)
+        covered = []
+        for s, e in sorted((s, e) for _, s, e in base):
+            if covered and s <= covered[-1][1]:
+                covered[-1] = (covered[-1][0], max(e, covered[-1][1]))
+            else:
+                covered.append((s, e))
+        ends = [e for _, e in covered]
+        added = []
+        for k, s, e in self.decoded(text):
+            at = bisect_left(ends, s + 1)  # the first stretch that ends after the span's start
+            if at == len(covered) or covered[at][0] >= e:
+                added.append((k, s, e))
+        return base, sorted(base + added)
+
+    def decoded(self, text: str) -> list[tuple[int, int, int]]:
+        """The spans of `decode` for the whole text."""
+        if self.weights is None:
+            return []
+        if self.everywhere:
+            return decode(text, self.weights)
+        out, group, reach = [], [], -1
+        for anchor in _anchors(text):
+            if group and anchor[1] > reach:
+                out += self._stretch(text, group)
+                group = []
+            group.append(anchor)
+            reach = _GAP.match(text, anchor[2]).end()
+        return out + self._stretch(text, group) if group else out
+
+    def _stretch(self, text, anchors):
+        """The spans that hold one of these anchors; no other anchor is near."""
+        signs = [(s, e) for kind, s, e in anchors if kind == "at"]
+        odd = [s for kind, s, _ in anchors if kind == "odd"]
+        runs = [e - s for kind, s, e in anchors if kind == "run"]
+        size, four = _sizes(sum(runs)), len(runs) > 3
+        kinds = (k for k, ok in self.possible.items() if ok and k[0] <= len(signs) and k[1] <= size and k[2] <= four)
+        if not odd and next(kinds, None) is None:
+            return []
+        first, last = anchors[0][1], anchors[-1][2]
+        tokens = _before(text, first, LONGEST - 1) if first else []
+        tokens += [m.span() for m in _TOKENS.finditer(text, first, last)]
+        tokens += [m.span() for m in islice(_TOKENS.finditer(text, last), LONGEST - 1)]
+        n = len(tokens)
+        numeric = ["0" <= text[s] <= "9" for s, _ in tokens]
+        digits = [0, *accumulate((e - s) * x for (s, e), x in zip(tokens, numeric))]
+        groups = [0, *accumulate(map(int, numeric))]
+        others, starts, ends = set(odd), {s for s, _ in signs}, {e for _, e in signs}
+        strange = [0, *accumulate(int(s in others) for s, _ in tokens)]
+        begun = [0, *accumulate(int(s in starts) for s, _ in tokens)]
+        ended = [0, *accumulate(int(e in ends) for _, e in tokens)]
+        words = [0, *accumulate(int(text[s].isalpha()) for s, _ in tokens)]
+        dots = [0, *accumulate(int(text[s] == ".") for s, _ in tokens)]
+        segments = []
+        for j in range(n):
+            for i in range(max(0, j - LONGEST + 1), j + 1):
+                kind = (
+                    min(2, max(0, ended[j + 1] - begun[i])), _sizes(digits[j + 1] - digits[i]), groups[j + 1] - groups[i] == 4,
+                    words[j + 1] > words[i], dots[j + 1] - dots[i] == 3,
+                )
+                if self.possible[kind] or strange[j + 1] > strange[i]:
+                    segments.append((i, j + 1, features(text[tokens[i][0] : tokens[j][1]])))
+        scores = _potentials(segments, self.weights)
+        found = [(i, j, s, int(k)) for (i, j, _), s, k in zip(segments, scores.max(1).tolist(), scores.argmax(1)) if s > 0] if segments else []
+        best, back, at = [0.0] * (n + 1), [None] * (n + 1), 0
+        for j in range(1, n + 1):
+            best[j] = best[j - 1]
+            while at < len(found) and found[at][1] == j:
+                i, _, s, k = found[at]
+                if best[i] + s > best[j]:
+                    best[j], back[j] = best[i] + s, (i, k)
+                at += 1
+        out, j = [], n
+        while j:
+            if back[j] is None:
+                j -= 1
+            else:
+                i, k = back[j]
+                out.append((k, tokens[i][0], tokens[j - 1][1]))
+                j = i
+        return out[::-1]
+
+
 def _gradient(window, weights):
     """Observed less expected features of one labelled window."""
     n, segments, matrix, gold = window
@@ -194,56 +352,38 @@ def _apart(spans):
     return out
 
 
-def candidates(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
-    """Rows (key, base, windows): base spans, and windows with their start, text and base spans."""
-    span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
-    window = pa.list_(pa.struct([("start", pa.int64()), ("text", pa.string())]))
+def learned(docs: DataFrame, text="text"):
+    """Weights from a bounded sample of windows, or None without any labelled span."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                base, cut = [], []
-                for t in part.column("text").to_pylist():
-                    t = t or ""
-                    base.append([{"kind": k, "start": s, "end": e} for k, s, e in base_spans(t)])
-                    cut.append([{"start": s, "text": t[s:e]} for s, e in windows(t)])
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(base, span), pa.array(cut, window)], ["key", "base", "windows"])
+                found = [t[s:e] for t in part.column("text").to_pylist() if t for s, e in windows(t)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["text"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"key {kind}, base array<struct<kind:int,start:long,end:long>>, windows array<struct<start:long,text:string>>"
-    return rows.mapInArrow(run, schema)
+    cut = docs.select(F.col(text).alias("text")).mapInArrow(run, "text string")
+    drawn = cut.where(F.length("text") <= 8 * TRAINED_TOKENS).distinct()
+    sample = drawn.orderBy(F.xxhash64("text"), "text").limit(WINDOWS).collect()  # at most WINDOWS short windows
+    return fit([(r["text"], _apart(base_spans(r["text"]))) for r in sample])
 
 
 def find(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     """Rows (key, base, spans): arrays of (kind, start, end) by kind and start; `spans` holds added ones too."""
-    cut = staged(candidates(docs, key, text), "personal-data-windows")
-    drawn = cut.select(F.explode("windows").alias("w")).select("w.text").where(F.length("text") <= 8 * TRAINED_TOKENS).distinct()
-    sample = drawn.orderBy(F.xxhash64("text"), "text").limit(WINDOWS).collect()  # at most WINDOWS short windows
-    weights = fit([(r["text"], _apart(base_spans(r["text"]))) for r in sample])
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = docs.sparkSession.sparkContext.broadcast(learned(docs, text))
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
+        field = Field(shared.value)
         for batch in batches:
-            out = []
-            for base, cuts in zip(batch.column("base").to_pylist(), batch.column("windows").to_pylist()):
-                found = [(b["kind"], b["start"], b["end"]) for b in base]
-                taken = sorted((s, e) for _, s, e in found)
-                added = []
-                for w in cuts if shared.value is not None else []:
-                    at = w["start"]
-                    end = at + len(w["text"])
-                    near = [(s, e) for s, e in taken if s < end and e > at] if taken else []
-                    for k, s, e in decode(w["text"], shared.value):
-                        s, e = s + at, e + at
-                        if all(e <= bs or s >= be for bs, be in near):
-                            added.append((k, s, e))
-                out.append([{"kind": k, "start": s, "end": e} for k, s, e in sorted(found + added)])
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("base"), pa.array(out, span)], ["key", "base", "spans"])
-
-    schema = cut.drop("windows").schema.add("spans", cut.schema["base"].dataType)
-    return cut.mapInArrow(run, schema).withColumnRenamed("key", key)
+            for part in slices(batch):
+                found = [field.spans(t or "") for t in part.column("text").to_pylist()]
+                columns = [pa.array([[dict(zip(("kind", "start", "end"), s)) for s in f[i]] for f in found], span) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column("key"), *columns], ["key", "base", "spans"])
+
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    kind = docs.schema[key].dataType.simpleString()
+    spans = "array<struct<kind:int,start:long,end:long>>"
+    return rows.mapInArrow(run, f"key {kind}, base {spans}, spans {spans}").withColumnRenamed("key", key)
 
 
 def joined(spans):
@@ -258,24 +398,28 @@ def count_of(spans, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == number)).cast("long")
 
 
-def redact(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
-    """The documents with every span replaced by its kind in brackets. Rows of a repeated key must hold one text."""
-    found = find(docs, key, text).dropDuplicates([key]).select(key, "spans")
+def redacted(text: str | None, spans) -> str | None:
+    """The text with its spans (kind number, start, end) replaced by their kinds in brackets."""
+    parts, end = [], 0
+    for k, s, e in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if s >= end:
+            parts += [text[end:s], f"[{KINDS[k]}]"]
+        elif e <= end:
+            continue
+        end = e
+    return text if not parts else "".join(parts) + text[end:]
+
+
+def redact(docs: DataFrame, text="text") -> DataFrame:
+    """The documents, all columns kept, with every span replaced by its kind in brackets. Each row has its own spans."""
+    shared = docs.sparkSession.sparkContext.broadcast(learned(docs, text))
 
     def run(batches):
+        field = Field(shared.value)
         for batch in batches:
-            out = []
-            for t, spans in zip(batch.column(text).to_pylist(), batch.column("spans").to_pylist()):
-                parts, end = [], 0
-                for s in sorted(spans or [], key=lambda s: (s["start"], -s["end"])):
-                    if s["start"] >= end:
-                        parts += [t[end : s["start"]], f"[{KINDS[s['kind']]}]"]
-                    elif s["end"] <= end:
-                        continue
-                    end = s["end"]
-                out.append(t if t is None or not parts else "".join(parts) + t[end:])
             at = batch.schema.get_field_index(text)
-            yield batch.set_column(at, text, pa.array(out, pa.string())).select(names)
+            for part in slices(batch, text):
+                out = [t if not t else redacted(t, field.spans(t)[1]) for t in part.column(text).to_pylist()]
+                yield part.set_column(at, text, pa.array(out, pa.string()))
 
-    names = docs.columns
-    return docs.join(found, key, "left").select(*names, "spans").mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
