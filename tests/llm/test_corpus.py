@@ -416,3 +416,42 @@ def test_field_decodes_the_whole_text():
 
 def draw_weights(shape):
     return np.random.default_rng(6).normal(-0.6, 0.8, shape)
+
+
+def test_pipeline_stages_keep_null_and_repeated_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def text(seed):
+        own = random.Random(seed)
+        return "\n".join(" ".join("".join(own.choices("abcdefghijklmnop", k=own.randint(3, 9))) for _ in range(14)) for _ in range(3))
+
+    one, two, three, four = (text(i) for i in range(4))
+    stages = dict(corpus_pipeline.STAGES)
+
+    def run(name, rows):
+        docs = spark.createDataFrame([(i, t, "en", f"s{n}", len(t or "")) for n, (i, t) in enumerate(rows)], schema)
+        made = stages[name](spark, docs, SF)
+        assert made.columns == docs.columns
+        found = made.collect()
+        assert all(r.n_chars == len(r.text) for r in found)
+        return sorted(((r.doc_id, r.text, r.source) for r in found), key=lambda r: int(r[2][1:]))
+
+    def named(rows):
+        return [(i, t, f"s{n}") for n, (i, t) in enumerate(rows)]
+
+    rows = [(None, one), (7, two), (7, three), (None, four)]
+    taught = [(i, t) for i in range(20, 40) for t in (one, two, three, four)]
+    assert run("language", [*rows, (None, "123"), *taught])[:4] == named(rows)
+    assert run("lines", rows) == named(rows)
+    # A repeated row repeats all lines; rows of one id keep their own ones.
+    assert run("lines", [(7, two), (7, two), (7, three + "\n" + two.split("\n")[0])]) in (
+        [(7, two, "s0"), (7, three, "s2")], [(7, two, "s1"), (7, three, "s2")],
+        [(7, two.split("\n", 1)[1], "s0"), (7, three + "\n" + two.split("\n")[0], "s2")], [(7, two.split("\n", 1)[1], "s1"), (7, three + "\n" + two.split("\n")[0], "s2")],
+    )
+    assert run("near_duplicates", rows) == named(rows)
+    kept = run("near_duplicates", [(7, two), (7, two), (7, two), (None, two), (9, two), (None, one), (None, one)])
+    assert [(i, t) for i, t, _ in kept] == [(7, two), (None, one)]
+    mail = [(None, "write jo@ex.org soon"), (7, "host 10.0.0.255 is up"), (7, "ring me at jo@ex.org now"), (None, "nothing here")]
+    assert [t for _, t, _ in run("personal_data", mail)] == ["write [email] soon", "host [ip] is up", "ring me at [email] now", "nothing here"]
+    packed = stages["packing"](spark, spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema), SF).toPandas()
+    assert len(packed) == 4 and packed.doc_id.isna().sum() == 2 and packed.ids_crc32.nunique() == 4

@@ -116,3 +116,16 @@ def predict(docs: DataFrame, model, size=4, key="doc_id", text="text") -> DataFr
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     return rows.mapInArrow(run, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+
+
+def recognised(docs: DataFrame, model, size=4, text="text") -> DataFrame:
+    """The rows in which a language is recognised, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text):
+                found = [classify(t, shared.value, size)[0] != UNDECIDED for t in part.column(text).to_pylist()]
+                yield part.filter(pa.array(found, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -155,19 +155,23 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     return distinct.join(gone, "node", "left_anti").select(F.col("key").alias(key), "n", "line")
 
 
-def dedupe(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
-    """Rows (key, text, n_lines, n_kept): texts without repeated lines, line breaks and spacing as they were."""
-    kept = kept_lines(docs, similarity, key, text).groupBy(key).agg(F.collect_set("n").alias("kept"))
+def without_repeats(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
+    """The rows with all their columns, texts without repeated lines, and n_lines, n_kept. Line breaks and spacing stay."""
+    kept = kept_lines(docs, similarity, key, text).groupBy(key).agg(F.collect_set("n").alias("__kept"))
     lines = F.split(F.col(text), "\n")
-    rows = docs.select(key, text).join(kept, key, "left")
+    rows = docs.join(kept, key, "left")
     blank = r"\S"
     stay = F.filter(
-        lines, lambda x, i: ~F.regexp_like(x, F.lit(blank)) | F.array_contains(F.col("kept"), i)
+        lines, lambda x, i: ~F.regexp_like(x, F.lit(blank)) | F.array_contains(F.col("__kept"), i)
     )
-    stay = F.when(F.col(key).isNull(), lines).otherwise(F.when(F.col("kept").isNull(), F.filter(lines, lambda x: ~F.regexp_like(x, F.lit(blank)))).otherwise(stay))
+    stay = F.when(F.col(key).isNull(), lines).otherwise(F.when(F.col("__kept").isNull(), F.filter(lines, lambda x: ~F.regexp_like(x, F.lit(blank)))).otherwise(stay))
     return rows.select(
-        key,
-        F.array_join(stay, "\n").alias(text),
+        *[F.array_join(stay, "\n").alias(text) if c == text else F.col(c) for c in docs.columns],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size(stay), F.lit(0)).cast("long").alias("n_kept"),
     )
+
+
+def dedupe(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
+    """Rows (key, text, n_lines, n_kept): texts without repeated lines, line breaks and spacing as they were."""
+    return without_repeats(docs.select(key, text), similarity, key, text)
