@@ -27,7 +27,7 @@ from tidemark.llm import (
     span_crf,
     string_kernel,
 )
-from tidemark.llm.common import components
+from tidemark.llm.common import components, sampled
 
 SF = "/root/testdata/sf0.001"
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -455,3 +455,18 @@ def test_pipeline_stages_keep_null_and_repeated_ids(spark):
     assert [t for _, t, _ in run("personal_data", mail)] == ["write [email] soon", "host [ip] is up", "ring me at [email] now", "nothing here"]
     packed = stages["packing"](spark, spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema), SF).toPandas()
     assert len(packed) == 4 and packed.doc_id.isna().sum() == 2 and packed.ids_crc32.nunique() == 4
+
+
+def test_sample_is_drawn_on_ids_only(spark):
+    rows = [(i % 97 if i % 5 else None, f"text {i % 211}", "a" if i % 3 else "b") for i in range(1500)] + [(1, "t", None), (1, None, "a")]
+    frame_ = spark.createDataFrame(rows, "key long, text string, lang string")
+    hashes = {r.key: r.h for r in frame_.select("key", F.xxhash64("key").alias("h")).distinct().collect()}
+    for n in (1, 100, 400, 5000):
+        drawn = sampled(frame_, "lang", n, salts=4)
+        got = drawn.collect()
+        for group in "ab":
+            all_keys = sorted((hashes[k], -1 if k is None else k) for k, t, g in rows if g == group and t is not None)
+            assert sorted((hashes[r.key], -1 if r.key is None else r.key) for r in got if r.lang == group) == all_keys[:n]
+        assert not {tuple(r) for r in got} - {(k, t, g) for k, t, g in rows}
+    windows = [part for part in drawn._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in part]
+    assert windows and not any("text#" in part for part in windows)

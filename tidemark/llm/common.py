@@ -1,7 +1,7 @@
 """Reading, staging and connected components, shared by the operators of this folder."""
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import work_folder, written
@@ -29,6 +29,30 @@ def held_out(doc_id, parts: int, part: int):
     return F.crc32(F.col(doc_id).cast("string")) % parts == part
 
 
+def sampled(rows: DataFrame, group: str, n: int, salts=16) -> DataFrame:
+    """At most `n` rows (key, text, `group`) of each group, those of least hash of the key.
+
+    Only ids and hashes are ranked, first within (group, salt), then the `n` x `salts` least of a group; the texts of
+    the chosen ones follow by a broadcast of at most `n` ids a group. Rows alike in key and text are counted, not
+    gathered, and come back as often as they are chosen. Groups that are null and null texts are left out.
+    """
+    known = rows.where(F.col(group).isNotNull() & F.col("text").isNotNull()).select("key", "text", F.col(group).alias("group"))
+    marked = known.withColumn("mark", F.xxhash64("text"))
+    order = [F.xxhash64("key"), F.col("key"), F.col("mark")]
+    each = marked.groupBy("group", "key", "mark").agg(F.count("*").alias("c"))
+    salted = each.withColumn("salt", F.pmod(F.xxhash64(F.lit(7), "key", "mark"), F.lit(salts)))
+    least = salted.withColumn("r", F.row_number().over(Window.partitionBy("group", "salt").orderBy(*order))).where(F.col("r") <= n)
+    before = Window.partitionBy("group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    left = n - F.coalesce(F.sum("c").over(before), F.lit(0))
+    chosen = least.withColumn("left", left).where("left > 0").select("group", "key", "mark", F.least("c", "left").alias("times"))
+    a, b = marked.alias("a"), F.broadcast(chosen).alias("b")
+    same = (F.col("a.group") == F.col("b.group")) & F.col("a.key").eqNullSafe(F.col("b.key")) & (F.col("a.mark") == F.col("b.mark"))
+    found = a.join(b, same).select("a.group", "a.key", "a.mark", "a.text", "b.times")
+    found = found.groupBy("group", "key", "mark").agg(F.first("text").alias("text"), F.first("times").alias("times"))
+    copies = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return copies.select("key", "text", F.col("group").alias(group))
+
+
 def slices(batch: pa.RecordBatch, column="text"):
     """A batch in pieces of bounded text size; one row at least in each."""
     sizes = [len(x) if x else 0 for x in batch.column(column).to_pylist()]

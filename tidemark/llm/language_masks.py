@@ -10,10 +10,10 @@ count each. With nothing to learn from, everything is `und`. Other columns are l
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, staged
+from tidemark.llm.common import sampled, slices, staged
 
 BITS = 20
 HASHES = 3
@@ -44,10 +44,8 @@ def fit(labelled: DataFrame, size=4, rows_per_language=2000, share=0.34, text="t
 
     An n-gram belongs to every language in which at least `share` as many texts hold it as in the language with most.
     """
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
     known = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    some = known.where("lang is not null and text is not null").withColumn("r", F.row_number().over(by))
-    some = staged(some.where(F.col("r") <= rows_per_language).drop("r", "key"), "language-sample")
+    some = staged(sampled(known, "lang", rows_per_language).drop("key"), "language-sample")
     sizes = {r["lang"]: r["count"] for r in some.groupBy("lang").count().collect()}
     langs = sorted(sizes)[:64]
 

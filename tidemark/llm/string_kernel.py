@@ -18,10 +18,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, staged
+from tidemark.llm.common import sampled, slices, staged
 
 SPAN = 5
 DECAY = 0.6
@@ -168,9 +168,8 @@ def landmarks(sample: DataFrame, number=64) -> list[str]:
 
 def fit(labelled: DataFrame, sample=4000, number=64, rounds=5, cost=1.0, key="doc_id"):
     """A model from rows (key, text, label 0 or 1), or None if one label is missing."""
-    by = Window.partitionBy("label").orderBy(F.xxhash64(key), key)
-    some = labelled.where("label in (0, 1) and text is not null").select(key, "text", F.col("label").cast("int").alias("label"))
-    some = staged(some.withColumn("r", F.row_number().over(by)).where(F.col("r") <= sample).select("text", "label"), "toxicity-sample")
+    known = labelled.where("label in (0, 1)").select(F.col(key).alias("key"), "text", F.col("label").cast("int").alias("label"))
+    some = staged(sampled(known, "label", sample).select("text", "label"), "toxicity-sample")
     marks = landmarks(some, number)
     if not marks:
         return None
