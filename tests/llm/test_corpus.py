@@ -470,3 +470,19 @@ def test_sample_is_drawn_on_ids_only(spark):
         assert not {tuple(r) for r in got} - {(k, t, g) for k, t, g in rows}
     windows = [part for part in drawn._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in part]
     assert windows and not any("text#" in part for part in windows)
+
+
+def test_copies_are_cut_by_id(spark):
+    draw = np.random.default_rng(3)
+    x = draw.standard_normal((1200, 16)).astype(np.float32)
+    copies = draw.permutation(1200)[:500]
+    x[copies] = x[copies[0]]
+    asked = int(max(copies)) // 20 * 20
+    x[asked] = x[copies[0]]
+    same = sorted({*copies.tolist(), asked} - {asked})
+    rows = [(i, v.tolist(), i) for i, v in enumerate(x)]
+    near = permutation_index.search(vectors(spark, rows), F.col("id") == asked).orderBy("rank").collect()
+    assert [r.vec_id for r in near] == same[:20]
+    far = draw.integers(0, 9, 3000)
+    for take in (1, 400, 1111, 3000, 5000):
+        assert sorted(permutation_index._nearest(far, take)) == sorted(np.lexsort((np.arange(3000), far))[:take])

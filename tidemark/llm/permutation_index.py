@@ -51,6 +51,15 @@ def _nearest_pivots(x, centre, named):
     return np.argsort(-(unit @ (centre / np.linalg.norm(centre, axis=1, keepdims=True)).T), axis=1, kind="stable")[:, :named]
 
 
+def _nearest(far, take):
+    """The places of the `take` least, of equal ones those that come first."""
+    if take >= len(far):
+        return np.arange(len(far))
+    cut = np.partition(far, take - 1)[take - 1]
+    below = np.flatnonzero(far < cut)
+    return np.concatenate([below, np.flatnonzero(far == cut)[: take - len(below)]])
+
+
 def _search_tile(asked, data, centre, k, named, share, kind):
     (query_ids,), q = unpack(asked)
     (ids,), x = unpack(data)
@@ -66,7 +75,7 @@ def _search_tile(asked, data, centre, k, named, share, kind):
         far = np.zeros(len(ids), np.int32)
         for i, p in enumerate(mine):
             far += np.abs(files[p] - np.int16(i))
-        near = np.argpartition(far, take - 1)[:take] if take < len(ids) else np.arange(len(ids))
+        near = _nearest(far, take)
         near = near[ids[near] != query]
         score = np.einsum("ij,j->i", x[near], vector)
         if len(near) > k:
