@@ -486,3 +486,11 @@ def test_copies_are_cut_by_id(spark):
     far = draw.integers(0, 9, 3000)
     for take in (1, 400, 1111, 3000, 5000):
         assert sorted(permutation_index._nearest(far, take)) == sorted(np.lexsort((np.arange(3000), far))[:take])
+
+
+def test_packing_encodes_added_tokens_as_the_tokenizer(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "one<|endoftext|>two  <|endoftext|>", "no token here", "x <|endoftext|>\n y"]
+    tokenizer = Tokenizer.from_file(JSON)
+    for r in best_fit_packing.pieces(frame(spark, texts), JSON).collect():
+        ids = tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids + [2]
+        assert (r.length, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))

@@ -2,7 +2,7 @@
 
 A document's ids end with a separator. Documents longer than a sequence are cut so that only the first piece may be
 shorter. Null and empty texts are the separator alone. Repeated rows are packed each. An empty table packs to nothing.
-Extra columns are left out.
+Extra columns are left out. Added tokens that a text holds (`<|endoftext|>`) get their own ids, as the tokenizer does by default.
 
 Only the number of pieces per length (at most `capacity` numbers) reaches the driver. The plan is a list of runs
 (length, first rank, last rank, first sequence, offset): the pieces of a length, numbered over all partitions, look up
@@ -29,7 +29,6 @@ def _store(path):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
 
         def encode_many(texts):
             found = tokenizer.encode_batch(texts, add_special_tokens=False)
