@@ -494,3 +494,17 @@ def test_packing_encodes_added_tokens_as_the_tokenizer(spark):
     for r in best_fit_packing.pieces(frame(spark, texts), JSON).collect():
         ids = tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids + [2]
         assert (r.length, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_more_than_64_languages(spark):
+    draw = random.Random(4)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    rows = []
+    for n in range(70):
+        vocabulary = ["".join(draw.choices(letters[n * 40 : n * 40 + 40], k=4)) for _ in range(12)]
+        rows += [(n * 10 + i, " ".join(draw.choices(vocabulary, k=30)), f"l{n:02d}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_masks.fit(docs)
+    assert len(model[0]) == 70
+    got = {r.doc_id: r.lang_pred for r in language_masks.predict(docs, model).collect()}
+    assert got == {i: lang for i, _, lang in rows}

@@ -1,7 +1,7 @@
 """Language identification by language-bitmask n-gram filters.
 
-One bit-sliced Bloom filter for all languages: a row of the filter is a bit mask of languages, an n-gram's languages
-are the conjunction of its rows. A text's score per language is the number of its n-grams the filter gives to it, less
+One bit-sliced Bloom filter for all languages: a row of the filter is a bit mask of languages (a further mask for
+every 64), an n-gram's languages are the conjunction of its rows. A text's score per language is the number of its n-grams the filter gives to it, less
 the false positives expected from the share of the language's bits that are set.
 
 Null texts and texts without a letter are `und` with score 0. Ties go to the language first in order. Repeated rows
@@ -47,7 +47,7 @@ def fit(labelled: DataFrame, size=4, rows_per_language=2000, share=0.34, text="t
     known = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     some = staged(sampled(known, "lang", rows_per_language).drop("key"), "language-sample")
     sizes = {r["lang"]: r["count"] for r in some.groupBy("lang").count().collect()}
-    langs = sorted(sizes)[:64]
+    langs = sorted(sizes)
 
     def grams(batches):
         for batch in batches:
@@ -64,19 +64,24 @@ def fit(labelled: DataFrame, size=4, rows_per_language=2000, share=0.34, text="t
         F.filter("all", lambda x: x["rate"] >= share * F.array_max(F.transform("all", lambda y: y["rate"]))),
         lambda x: x["lang"],
     )
-    bloom = np.zeros(1 << BITS, np.uint64)
     number = {name: i for i, name in enumerate(langs)}
-    for batch in _batches(rated.select("gram", member.alias("langs"))):
-        marks = np.array([sum(1 << number[x] for x in row) for row in batch.column("langs").to_pylist()], np.uint64)
-        for at in rows_of(batch.column("gram").to_numpy().view(np.uint64)):
-            np.bitwise_or.at(bloom, at, marks)
-    full = [float(((bloom >> np.uint64(i)) & np.uint64(1)).mean()) ** HASHES for i in range(len(langs))]
-    return langs, bloom, full
-
 
-def _batches(df: DataFrame):
-    """The bounded sample's n-grams, a batch at a time."""
-    return df.toArrow().to_batches()
+    def marks(batches):
+        for batch in batches:
+            names = batch.column("langs")
+            own = np.array([number[x] for x in names.flatten().to_pylist()], np.int64)
+            gram = np.repeat(batch.column("gram").to_numpy().view(np.uint64), names.value_lengths().to_numpy())
+            mask = (np.uint64(1) << (own % 64).astype(np.uint64)).view(np.int64)
+            for at in rows_of(gram):
+                yield pa.RecordBatch.from_arrays([pa.array(own // 64), pa.array(at), pa.array(mask)], ["part", "at", "mask"])
+
+    # The filter is or-ed together before it reaches the driver: at most 2^20 masks for 64 languages, whatever the texts.
+    bloom = np.zeros((max(1, -(-len(langs) // 64)), 1 << BITS), np.uint64)
+    marked = rated.select("gram", member.alias("langs")).mapInArrow(marks, "part long, at long, mask long")
+    whole = marked.groupBy("part", "at").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bloom[whole.column("part").to_numpy(), whole.column("at").to_numpy()] = whole.column("mask").to_numpy().view(np.uint64)
+    full = [float(((bloom[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean()) ** HASHES for i in range(len(langs))]
+    return langs, bloom, full
 
 
 def classify(text, model, size=4) -> tuple[str, float]:
@@ -88,18 +93,18 @@ def classify(text, model, size=4) -> tuple[str, float]:
         return langs[0], 1 / len(langs)
     masks = None
     for at in rows_of(h):
-        masks = bloom[at] if masks is None else masks & bloom[at]
+        masks = bloom[:, at] if masks is None else masks & bloom[:, at]
     n = len(h)
     scores = []
     for i, wrong in enumerate(full):
-        hits = int(((masks >> np.uint64(i)) & np.uint64(1)).sum())
+        hits = int(((masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).sum())
         scores.append(max(0.0, (hits - wrong * n) / (1 - wrong + 1e-12)))
     best = int(np.argmax(scores))
     return langs[best], float((scores[best] + 1 / n) / (sum(scores) + len(langs) / n))
 
 
 def predict(docs: DataFrame, model, size=4, key="doc_id", text="text") -> DataFrame:
-    """Rows (key, lang_pred, score). The model holds 2^20 masks, whatever was learned."""
+    """Rows (key, lang_pred, score). The model holds 2^20 masks for every 64 languages, whatever was learned."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
