@@ -10,6 +10,7 @@ their run. The number of runs depends on the capacity, not on the number of docu
 """
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -18,38 +19,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import PieceStore
+from tidemark.llm import json_bpe
 from tidemark.llm.common import slices, staged
 
-_STORES = {}
-
-
-def _store(path):
-    if path not in _STORES:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-
-        def encode_many(texts):
-            found = tokenizer.encode_batch(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-        _STORES[path] = PieceStore(encode_many)
-    return _STORES[path]
-
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity=1024, separator=2, key="doc_id", text="text") -> DataFrame:
     """Rows (key, piece, start, length, ids_crc32)."""
-    end = np.array([separator], "<u4").tobytes()
 
     def run(batches):
-        store = _store(tokenizer_path)
+        encode = json_bpe.encoder(tokenizer_path)
         for batch in batches:
             for part in slices(batch):
                 out = [], [], [], [], []
-                encoded = store.encode([t or "" for t in part.column("text").to_pylist()])
-                for doc, ids in zip(part.column("key").to_pylist(), encoded):
-                    ids += end
+                for doc, text_ in zip(part.column("key").to_pylist(), part.column("text").to_pylist()):
+                    ids = np.array(array("I", [*encode(text_ or ""), separator]), "<u4").tobytes()
                     n = len(ids) // 4
                     stop = n % capacity or capacity
                     start, number = 0, 0
