@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import work_folder, written
+from tidemark.sources import folders
 
 #: Characters that one slice of a batch may hold before it is worked on.
 SLICE_CHARS = 4_000_000
@@ -16,7 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again, so that no lost executor repeats its work."""
-    return written(df, work_folder(df.sparkSession, name))
+    folder = work_folder(df.sparkSession, name)
+    out = written(df, folder)
+    out._staged_in = folder
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove staged frames that nothing reads any more: call it once what was made from them is staged itself."""
+    for frame in frames:
+        folders.remove(frame.sparkSession, frame._staged_in)
 
 
 def stored_rows(df: DataFrame) -> int:
@@ -29,25 +39,45 @@ def held_out(doc_id, parts: int, part: int):
     return F.crc32(F.col(doc_id).cast("string")) % parts == part
 
 
-def sampled(rows: DataFrame, group: str, n: int, salts=16) -> DataFrame:
-    """At most `n` rows (key, text, `group`) of each group, those of least hash of the key.
+def drawn(marked: DataFrame, n: int, salts=16) -> DataFrame:
+    """Rows (group, key, mark, times): at most `n` of the rows (group, key, mark) of each group, those of least hash of the key.
 
-    Only ids and hashes are ranked, first within (group, salt), then the `n` x `salts` least of a group; the texts of
-    the chosen ones follow by a broadcast of at most `n` ids a group. Rows alike in key and text are counted, not
-    gathered, and come back as often as they are chosen. Groups that are null and null texts are left out.
+    Ranked are first the rows of a (group, salt), then the `n` x `salts` least of a group. Equal rows are counted, not gathered.
     """
-    known = rows.where(F.col(group).isNotNull() & F.col("text").isNotNull()).select("key", "text", F.col(group).alias("group"))
-    marked = known.withColumn("mark", F.xxhash64("text"))
     order = [F.xxhash64("key"), F.col("key"), F.col("mark")]
     each = marked.groupBy("group", "key", "mark").agg(F.count("*").alias("c"))
     salted = each.withColumn("salt", F.pmod(F.xxhash64(F.lit(7), "key", "mark"), F.lit(salts)))
     least = salted.withColumn("r", F.row_number().over(Window.partitionBy("group", "salt").orderBy(*order))).where(F.col("r") <= n)
     before = Window.partitionBy("group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     left = n - F.coalesce(F.sum("c").over(before), F.lit(0))
-    chosen = least.withColumn("left", left).where("left > 0").select("group", "key", "mark", F.least("c", "left").alias("times"))
-    a, b = marked.alias("a"), F.broadcast(chosen).alias("b")
+    return least.withColumn("left", left).where("left > 0").select("group", "key", "mark", F.least("c", "left").alias("times"))
+
+
+def sampled(rows: DataFrame, group: str, n: int, salts=16) -> DataFrame:
+    """At most `n` rows (key, text, `group`) of each group, those of least hash of the key.
+
+    Only ids and hashes are ranked; the texts of the chosen ones follow by a broadcast of at most `n` ids a group. Rows
+    alike in key and text come back as often as they are chosen. Groups that are null and null texts are left out.
+    """
+    known = rows.where(F.col(group).isNotNull() & F.col("text").isNotNull()).select("key", "text", F.col(group).alias("group"))
+    marked = known.withColumn("mark", F.xxhash64("text"))
+    a, b = marked.alias("a"), F.broadcast(drawn(marked, n, salts)).alias("b")
     same = (F.col("a.group") == F.col("b.group")) & F.col("a.key").eqNullSafe(F.col("b.key")) & (F.col("a.mark") == F.col("b.mark"))
-    found = a.join(b, same).select("a.group", "a.key", "a.mark", "a.text", "b.times")
+    return _copies(a.join(b, same), group)
+
+
+def sampled_texts(docs: DataFrame, labels: DataFrame, group: str, n: int, salts=16) -> DataFrame:
+    """The same of the join of `docs` (key, text) and `labels` (key, `group`); no text takes part in that join."""
+    known = docs.where("key is not null and text is not null").select("key", "text", F.xxhash64("text").alias("mark"))
+    wanted = labels.where(F.col(group).isNotNull()).select("key", F.col(group).alias("group"))
+    a = known.alias("a")
+    b = F.broadcast(drawn(known.select("key", "mark").join(wanted, "key"), n, salts)).alias("b")
+    return _copies(a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.mark") == F.col("b.mark"))), group)
+
+
+def _copies(chosen: DataFrame, group: str) -> DataFrame:
+    """Rows (key, text, `group`) of texts `a` met by drawn rows `b`, each as often as it was drawn."""
+    found = chosen.select("b.group", "a.key", "a.mark", "a.text", "b.times")
     found = found.groupBy("group", "key", "mark").agg(F.first("text").alias("text"), F.first("times").alias("times"))
     copies = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     return copies.select("key", "text", F.col("group").alias(group))
@@ -91,7 +121,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         second = joined.select(F.col("node").alias("b"), F.col("into").alias("b2"))
         moved = left.join(first, "a").join(second, "b").where("a2 <> b2")
         ends = moved.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b"))
-        left = staged(ends.distinct(), f"{name}-edges")
+        after = staged(ends.distinct(), f"{name}-edges")
+        discard(left)
+        left = after
     if not maps:
         return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = maps[0]
@@ -99,6 +131,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         step = later.select(F.col("node").alias("into"), F.col("into").alias("next"))
         roots = roots.join(step, "into", "left").select("node", F.coalesce("next", "into").alias("into"))
     roots = staged(roots, f"{name}-roots")
+    discard(*maps)
     least = roots.groupBy("into").agg(F.min("node").alias("component"))
     return roots.join(least, "into").select("node", "component")
 

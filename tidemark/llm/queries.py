@@ -79,8 +79,8 @@ def op9_toxicity(spark, sf_dir):
     """Toxicity of every document, learned from two thirds of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    known = docs.select("doc_id", "text").join(labels, "doc_id").where(~held_out("doc_id", 3, 1))
-    found = string_kernel.score(docs, string_kernel.fit(known))
+    model = string_kernel.fit(docs, labels.where(~held_out("doc_id", 3, 1)))
+    found = string_kernel.score(docs, model)
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
@@ -135,7 +135,8 @@ def op11_hard_negatives(spark, sf_dir):
   SELECT coalesce(lang, 'und') AS lang,
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
--]')) AS piece FROM docs),
+-
+]')) AS piece FROM docs),
 words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
 places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
 grams AS (

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import sampled, slices, staged
+from tidemark.llm.common import sampled_texts, slices, staged
 
 SPAN = 5
 DECAY = 0.6
@@ -166,10 +166,14 @@ def landmarks(sample: DataFrame, number=64) -> list[str]:
     return [r["word"] for r in marked.orderBy(F.desc("gain"), "word").limit(number).collect()]
 
 
-def fit(labelled: DataFrame, sample=4000, number=64, rounds=5, cost=1.0, key="doc_id"):
-    """A model from rows (key, text, label 0 or 1), or None if one label is missing."""
-    known = labelled.where("label in (0, 1)").select(F.col(key).alias("key"), "text", F.col("label").cast("int").alias("label"))
-    some = staged(sampled(known, "label", sample).select("text", "label"), "toxicity-sample")
+def fit(docs: DataFrame, labels: DataFrame, sample=4000, number=64, rounds=5, cost=1.0, key="doc_id", text="text"):
+    """A model from the texts of `docs` that `labels` (key, label 0 or 1) names, or None if one label is missing.
+
+    At most `sample` texts of each label are used. They are drawn on ids; only their texts are fetched.
+    """
+    known = labels.where("label in (0, 1)").select(F.col(key).alias("key"), F.col("label").cast("int").alias("label"))
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    some = staged(sampled_texts(texts, known, "label", sample).select("text", "label"), "toxicity-sample")
     marks = landmarks(some, number)
     if not marks:
         return None
