@@ -10,8 +10,9 @@ Signatures and verification work on Arrow batches: the form in built-in function
 README for its figures). Everything else is joins and grouping.
 
 Blank lines stay where they are. A null text stays null. Rows with a null key are passed through unchanged. A line
-shorter than a shingle is one shingle. Rows of a repeated key are expected to hold the same text. Ties can't occur, as
-places are unique. An empty table gives an empty result. Extra columns are left out.
+shorter than a shingle is one shingle. Rows of a repeated key are documents of their own, in the order in which the table
+is read; so ties can't occur, as places are unique. Texts of any length are whole. An empty table gives an empty result.
+`dedupe` leaves extra columns out; `without_repeats` keeps them and expects a unique key.
 """
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, copied_join, slices, spread_join, staged
+from tidemark.llm.common import components, copied_join, discard, slices, spread_join, staged
 
 SHINGLE = 5
 BINS_LOG = 6
@@ -97,7 +98,13 @@ def shingles(line: str) -> set[str]:
 
 def similar(a: str, b: str, similarity: float) -> bool:
     """Whether the Jaccard similarity of the lines' shingles is at least that."""
-    x, y = shingles(a), shingles(b)
+    return _near(shingles(a), b, similarity)
+
+
+def _near(x: set[str], b: str, similarity: float) -> bool:
+    if max(1, len(b) - SHINGLE + 1) < similarity * len(x):
+        return False
+    y = shingles(b)
     if min(len(x), len(y)) < similarity * max(len(x), len(y)):
         return False
     common = len(x & y)
@@ -111,10 +118,14 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
     both = spread_join(pairs.join(two, "b"), one, "a", spread_by="b")
 
     def run(batches):
+        last, own = None, set()
         for batch in batches:
-            a, b = batch.column("la").to_pylist(), batch.column("lb").to_pylist()
-            near = pa.array([similar(x, y, similarity) for x, y in zip(a, b)], pa.bool_())
-            yield batch.select(["a", "b"]).filter(near)
+            near = []
+            for x, y in zip(batch.column("la").to_pylist(), batch.column("lb").to_pylist()):
+                if x != last:  # the pairs of a line mostly follow one another
+                    last, own = x, shingles(x)
+                near.append(_near(own, y, similarity))
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return both.select("a", "b", "la", "lb").mapInArrow(run, "a long, b long")
 
@@ -131,8 +142,10 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     spread = signed.select("node", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
     members = staged(copied_join(spread, shared, "band", spread_by="node"), "line-bands")
+    discard(signed)
     stars = staged(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "line-pairs")
     links = staged(verified(stars, distinct, similarity), "line-links")
+    discard(stars)
     joined = components(links, "line-stars")
 
     # Lines of a band that its first line did not bring together are compared with the band's other lines.
@@ -141,11 +154,14 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     hubs = labels.select(F.col("node").alias("hub"), F.col("own").alias("hub_own"))
     known = spread_join(known, hubs, "hub", spread_by="node")
     known = staged(known.select("band", "node", "hub", F.coalesce("own", "node").alias("own"), F.coalesce("hub_own", "hub").alias("hub_own")), "line-band-labels")
+    discard(members)
     apart = known.where("own <> hub_own").select("band", F.col("node").alias("a"), F.col("own").alias("oa"))
     others = known.where("node <> hub").select("band", F.col("node").alias("b"), F.col("own").alias("ob"), F.col("hub_own").alias("h"))
     rest = apart.join(others, "band").where("oa <> ob and (ob = h or a < b)")
     rest = staged(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-rest")
+    discard(known)
     more = staged(verified(rest, distinct, similarity), "line-more-links")
+    discard(rest)
     roots = joined if more.isEmpty() else components(links.unionByName(more), "line-components")
 
     # Only lines in a component of several need to be compared by place.
@@ -174,4 +190,11 @@ def without_repeats(docs: DataFrame, similarity=0.8, key="doc_id", text="text")
 
 def dedupe(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
     """Rows (key, text, n_lines, n_kept): texts without repeated lines, line breaks and spacing as they were."""
-    return without_repeats(docs.select(key, text), similarity, key, text)
+    if docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty():
+        return without_repeats(docs.select(key, text), similarity, key, text)
+    rows = docs.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("body"))
+    # Row numbers are given once, as the table is written.
+    place = F.when(F.col("id").isNotNull(), F.struct("id", "row"))
+    rows = staged(rows.select(place.alias("place"), "id", "body"), "line-documents")
+    found = without_repeats(rows, similarity, "place", "body")
+    return found.select(F.col("id").alias(key), F.col("body").alias(text), "n_lines", "n_kept")
