@@ -27,7 +27,7 @@ from tidemark.llm import (
     span_crf,
     string_kernel,
 )
-from tidemark.llm.common import components, sampled
+from tidemark.llm.common import components, sampled, sampled_texts
 
 SF = "/root/testdata/sf0.001"
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,8 +72,8 @@ def test_odd_rows_in_every_operator(spark, odd):
     labelled = stats.withColumn("label", (F.col("doc_id") % 2).cast("int"))
     for known in (labelled, labelled.limit(0)):
         assert quality_features.score(stats, quality_features.fit(known)).where("score between 0 and 1").count() == n
-    toxic = odd.select("doc_id", "text", (F.col("doc_id") % 2).cast("int").alias("label"))
-    assert string_kernel.score(odd, string_kernel.fit(toxic)).where("score between 0 and 1").count() == n
+    toxic = odd.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("label"), F.lit("x").alias("text"))
+    assert string_kernel.score(odd, string_kernel.fit(odd, toxic)).where("score between 0 and 1").count() == n
     assert span_crf.find(odd).count() == n
     assert span_crf.redact(odd).count() == n
 
@@ -182,6 +182,14 @@ def test_line_dedup_agrees_with_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_lines(texts)
 
 
+def test_lines_of_repeated_ids_are_compared_as_documents(spark):
+    a, b = "the quick brown fox jumps over the lazy dog", "another line that is not like it at all"
+    rows = [(1, a), (7, a), (7, b), (None, a), (7, b + "\n" + a)]
+    docs = spark.createDataFrame([(i, t, 5, 6, "k", 1) for i, t in rows], "doc_id long, text string, n_lines int, n_kept int, key string, node int")
+    found = sorted(((r.doc_id, r.text, r.n_lines, r.n_kept) for r in line_minhash.dedupe(docs).collect()), key=repr)
+    assert found == sorted([(1, a, 1, 1), (7, "", 1, 0), (7, b, 1, 1), (None, a, 1, 1), (7, "", 2, 0)], key=repr)
+
+
 def roots_of(n, links):
     own = list(range(n))
     for a, b in links:
@@ -237,6 +245,15 @@ def test_odd_vectors(spark):
         assert collision_counting.near_duplicates(vectors(spark, rows)).count() == len(rows)
 
 
+def test_vectors_of_repeated_ids_are_rows_of_their_own(spark):
+    """k rows in give k rows out; an id is kept where it is the least of its component."""
+    rows = [(1, [1.0, 0.0], 0)] * 3 + [(1, [0.0, 1.0], 0), (2, [0.0, 2.0], 0), (3, [1.0, 0.0, 0.0], 0), (4, [1.0, 0.0], 0), (None, [1.0, 0.0], 0)]
+    found = collision_counting.near_duplicates(vectors(spark, rows))
+    assert found.columns == ["vec_id", "n_links", "component_id", "kept"]
+    want = [(1, 3, 1, True)] * 3 + [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 3, 1, False), (None, 0, None, False)]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_nearest_neighbours_recall(spark):
     data = pq.read_table(f"{SF}/embeddings.parquet").to_pandas()
     x = np.stack(data.embedding).astype(float)
@@ -472,6 +489,18 @@ def test_sample_is_drawn_on_ids_only(spark):
     assert windows and not any("text#" in part for part in windows)
 
 
+def test_sample_of_labelled_texts_is_that_of_their_join(spark):
+    rows = [(i % 61 if i % 5 else None, None if i % 13 == 0 else f"text {i % 211}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "key long, text string")
+    labels = spark.createDataFrame([(i % 50, i % 3 or None) for i in range(120)] + [(None, 1)], "key long, label int")
+    for n in (1, 40, 300, 10_000):
+        own = sampled_texts(docs, labels, "label", n, salts=4)
+        joined = sampled(docs.join(labels, "key"), "label", n, salts=4)
+        assert sorted(map(tuple, own.collect())) == sorted(map(tuple, joined.collect()))
+    joins = [p for p in own._jdf.queryExecution().optimizedPlan().toString().split("Join")[1:-1]]
+    assert joins and not any("text#" in p.split("Project")[1].split("]")[0] for p in joins[1:] if "Project" in p)
+
+
 def test_copies_are_cut_by_id(spark):
     draw = np.random.default_rng(3)
     x = draw.standard_normal((1200, 16)).astype(np.float32)
