@@ -253,12 +253,19 @@ _BODIES = f"""{RECORDS}, rejected AS (
   FROM first_records WHERE error_type IS NOT NULL)"""
 
 
-@query(f"WITH {_BODIES} SELECT sequence_number, error_type FROM rejected WHERE place <= 500")
+@query(f"WITH {_BODIES} SELECT sequence_number, error_type FROM rejected")
 def drain_rejects(spark, sf_dir):
     bad = validate.bad(validate.check(fx.records(spark, sf_dir)))
     return rejects.drain(rejects.as_rejects(bad, F.col("arrival_ts"))).select("sequence_number", "error_type")
 
 
+@query(f"WITH {_BODIES} SELECT arrival_ts AS rejected_at FROM rejected WHERE place <= 20")
+def drain_limited(spark, sf_dir):
+    """The oldest 20; ties in time are cut by reject id, so only times are compared."""
+    bad = validate.bad(validate.check(fx.records(spark, sf_dir)))
+    return rejects.drain(rejects.as_rejects(bad, F.col("arrival_ts")), 20).select("rejected_at")
+
+
 def _dead_letters(spark, sf_dir):
     """Dead-letter bodies by event type: wrappers with one record, with the same
     record twice and with none, a bare payload, and text that is not JSON."""
@@ -405,3 +412,86 @@ def file_stats(spark, sf_dir):
         F.max("max_ts").alias("max_ts"),
         (F.min("size_bytes") > 0).alias("sized"),
     )
+
+
+def _in_the_middle(monkeyed, action):
+    """Run an action once, after the table's next write of data and before its commit."""
+    original = monkeyed.write
+
+    def write(version, rows):
+        entries = original(version, rows)
+        if monkeyed.write is write:
+            monkeyed.write = original
+            action()
+        return entries
+
+    monkeyed.write = write
+
+
+_VALUES = """SELECT event_id, CAST(event_ts AS DATE) AS event_date, CAST(value AS DOUBLE) AS value"""
+
+
+@query(
+    f"""WITH {FACT} {_VALUES} FROM fact WHERE event_type <> 'purchase'
+UNION ALL SELECT event_id, CAST(event_ts AS DATE), CAST(value + 1 AS DOUBLE) FROM fact WHERE event_type = 'purchase'"""
+)
+def compact_with_load(spark, sf_dir):
+    """A load replaces rows of every date while a compaction of those dates is under way."""
+    root = work_folder(spark, "table")
+    table, other = FactTable(spark, root), FactTable(spark, root)
+    rows = fx.fact(spark, sf_dir)
+    for kind in fx.EVENT_TYPES:
+        table.commit(rows.where(F.col("event_type") == kind))
+    _in_the_middle(table, lambda: load.merge(other, _raised(rows, 1)))
+    maintain.compact(table)
+    maintain.compact(table)
+    return table.read().select("event_id", "event_date", F.col("value").cast("double").alias("value"))
+
+
+@query(
+    f"""WITH {FACT} {_VALUES} FROM fact WHERE event_type <> 'purchase' AND event_ts >= TIMESTAMP '2024-01-11'
+UNION ALL SELECT event_id, CAST(event_ts AS DATE), CAST(value + 2 AS DOUBLE) FROM fact WHERE event_type = 'purchase'"""
+)
+def loads_at_once(spark, sf_dir):
+    """Two loads of the same ids and a retention at the same time: the last to commit replaces the other's rows.
+
+    Retention takes the dates out of use that are there; what a load commits later stays.
+    """
+    root = work_folder(spark, "table")
+    table, second, third = (FactTable(spark, root) for _ in range(3))
+    rows = fx.fact(spark, sf_dir)
+    table.commit(rows.where("event_type <> 'purchase'"))
+
+    def others():
+        load.merge(second, _raised(rows, 1))
+        maintain.apply_retention(third, dt.date(2024, 1, 31), days=20)
+
+    _in_the_middle(table, others)
+    load.merge(table, _raised(rows, 2))
+    return table.read().select("event_id", "event_date", F.col("value").cast("double").alias("value"))
+
+
+@query(
+    f"""WITH {FACT} SELECT CAST(event_ts AS DATE) AS event_date, count(*) AS rows, CAST(1 AS BIGINT) AS folders
+FROM fact GROUP BY 1"""
+)
+def compact_small_dates(spark, sf_dir):
+    """Three small loads to a date become one folder, whatever their rows."""
+    table = FactTable(spark, work_folder(spark, "table"))
+    rows = fx.fact(spark, sf_dir)
+    for part in range(3):
+        table.commit(rows.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part))
+    maintain.compact(table)
+    return table.live().groupBy(F.to_date("event_date").alias("event_date")).agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("folders")
+    )
+
+
+@query(f"WITH {FACT} SELECT event_id, event_ts, kinesis_seq FROM fact WHERE event_id IN ('17', '4711', '100') AND event_type <> 'error'")
+def find_events(spark, sf_dir):
+    """Rows of a few ids through the table's id lookup."""
+    table = FactTable(spark, work_folder(spark, "table"))
+    rows = fx.fact(spark, sf_dir)
+    for kind in fx.EVENT_TYPES:
+        table.commit(rows.where((F.col("event_type") == kind) & (F.col("event_type") != "error")))
+    return table.find(["17", "4711", "100", "none"]).select("event_id", "event_ts", "kinesis_seq")

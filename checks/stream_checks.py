@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.tables import FACT, FACT_COLUMNS, RECORDS, cents
 from checks import fixtures as fx
+from checks.record_checks import TOLD_APART, without_numbers
 from tidemark.operators import enrich
+from tidemark.plans import backfill
 from tidemark.schema import FACT_COLUMNS as FACT_NAMES
 from tidemark.session import work_folder
 from tidemark.sources import landing, rejects
@@ -19,9 +21,10 @@ def _finish(query):
     query.awaitTermination()
 
 
-def _transform(spark, sf_dir, **options):
+def _transform(spark, sf_dir, change=None, **options):
     root = work_folder(spark, "stream")
     records = fx.records(spark, sf_dir, redelivered=True, resent=True, stream=True)
+    records = change(records) if change else records
     _finish(transform_job.start(records, root, f"{root}/checkpoint", trigger=None, **options))
     return root
 
@@ -50,16 +53,40 @@ def stream_rejects(spark, sf_dir):
 
 @query(
     f"""WITH {RECORDS}
-SELECT count(DISTINCT CASE WHEN k <> 43 THEN event_id END) AS event_ids, count(*) AS lines FROM (
-  SELECT DISTINCT event_id, k FROM all_records WHERE error_type IS NULL AND k <> 43)"""
+SELECT count(DISTINCT CASE WHEN k <> 43 THEN event_id END) AS event_ids,
+       count(DISTINCT CASE WHEN k = 43 THEN sequence_number ELSE event_id END) AS lines
+FROM all_records WHERE error_type IS NULL"""
 )
 def stream_dedupe_events(spark, sf_dir):
-    """With the second pass by event id, records sent again under a new number go too."""
-    lines = landing.read_lines(spark, _transform(spark, sf_dir, by_event_id=True))
-    flat = enrich.flatten(lines).where(F.col("event_id").isNotNull())
+    """With the second pass by event id, records sent again under a new number go too; those without an id stay."""
+    flat = enrich.flatten(landing.read_lines(spark, _transform(spark, sf_dir, by_event_id=True)))
     return flat.agg(F.countDistinct("event_id").alias("event_ids"), F.count(F.lit(1)).alias("lines"))
 
 
+@query(
+    f"""WITH {TOLD_APART}
+SELECT event_type, count(DISTINCT record) AS lines FROM told WHERE error_type IS NULL GROUP BY 1"""
+)
+def stream_dedupe_nulls(spark, sf_dir):
+    """Good records without a number survive the stream, each once."""
+    lines = landing.read_lines(spark, _transform(spark, sf_dir, without_numbers))
+    return enrich.flatten(lines).groupBy("event_type").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query(
+    f"""WITH {TOLD_APART}
+SELECT count(DISTINCT record) FILTER (error_type IS NULL) AS first_run, CAST(0 AS BIGINT) AS second_run FROM told"""
+)
+def backfill_nulls(spark, sf_dir):
+    """A second bounded run over the same records lands none of them, numbered or not."""
+    root = work_folder(spark, "backfill")
+    made = without_numbers(fx.records(spark, sf_dir, redelivered=True, resent=True))
+    for run, at in (("run-1", "2024-02-01 00:00:00"), ("run-2", "2024-02-01 06:00:00")):
+        backfill.run(made, root, f"{root}/keys", run, at)
+    counts = [F.count_if(F.col("batch_id") == run).alias(name) for run, name in (("run-1", "first_run"), ("run-2", "second_run"))]
+    return spark.read.schema("value string, batch_id string").text(f"{root}/events").agg(*counts)
+
+
 @query(
     f"""WITH {RECORDS}
 SELECT DISTINCT {FACT_COLUMNS.replace('kinesis_seq', 'sequence_number AS kinesis_seq')}

@@ -6,9 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import START, facts, payload, plan, records, rows
+from helpers import START, encoded, facts, payload, plan, records, rows
 from tidemark.operators import dedupe, matching, upsert, validate
-from tidemark.schema import SEEN_KEY_SCHEMA
+from tidemark.schema import RECORD_SCHEMA, SEEN_KEY_SCHEMA
 
 
 def test_counters_of_a_batch(spark):
@@ -32,6 +32,28 @@ def test_seen_keys_expire_after_a_day(spark):
     assert rows(dedupe.drop_seen(twice, keys, "1970-01-01 12:00:00"), "sequence_number") == [("new",)]
 
 
+def test_records_without_a_number_are_told_apart(spark):
+    """By text, partition key, shard and arrival; the same record twice is one. None is taken for a numbered one."""
+    at = START
+    one = (None, "u", encoded(payload("a")), at, "s-0")
+    others = [
+        (None, "u", encoded(payload("b")), at, "s-0"), (None, "v", encoded(payload("a")), at, "s-0"),
+        (None, "u", encoded(payload("a")), at + dt.timedelta(seconds=1), "s-0"), (None, "u", encoded(payload("a")), at, None),
+        (None, None, encoded(payload("a")), at, "s-0"), (None, "u", encoded(payload("a")), None, "s-0"),
+        (None, "", encoded(payload("a")), at, "s-0"), ("7", "u", encoded(payload("a")), at, "s-0"),
+    ]
+    made = validate.check(spark.createDataFrame([one, one, *others, others[-1]], RECORD_SCHEMA))
+    good = validate.good(made)
+    assert dedupe.first_delivery(good).count() == 9
+    counted = dedupe.batch_counters(made).first()
+    assert (counted["received"], counted["processed"], counted["skipped"], counted["errors"]) == (11, 9, 2, 0)
+    keys = dedupe.seen_keys(good, F.lit(START))
+    assert keys.count() == 9 and keys.where("sequence_number is null").count() == 0
+    assert dedupe.drop_seen(good, keys, START).count() == 0
+    some = dedupe.seen_keys(good.where("partition_key = 'v'"), F.lit(START))
+    assert dedupe.drop_seen(good, some, START).count() == 8
+
+
 def test_first_writer_of_a_key_wins(spark, utc):
     first = dedupe.seen_keys(records(spark, [("a", payload())]), F.lit(utc("2024-05-27T14:00:00")))
     later = dedupe.seen_keys(

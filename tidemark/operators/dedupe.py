@@ -27,15 +27,33 @@ def newest_per_event(events: DataFrame) -> DataFrame:
     )
 
 
+def record_key(records: DataFrame):
+    """What tells one record from another: its sequence number, else what it holds and where it stood.
+
+    A record without a number is told by a digest of its text, partition key, shard and arrival time. The same record
+    delivered again has the same ones; equal events sent twice differ in the last. The mark in front is part of no
+    number. Null and empty parts differ in the digest.
+    """
+    place = [F.col(c).cast("string") for c in ("partition_key", "shard_id", "arrival_ts") if c in records.columns]
+    parts = [F.coalesce(F.concat(F.lit("="), c), F.lit("-")) for c in (F.col("raw"), *place)]
+    sized = [F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]
+    return F.coalesce("sequence_number", F.concat(F.lit("\u0000"), F.sha2(F.concat(*sized), 256)))
+
+
 def first_delivery(good: DataFrame) -> DataFrame:
-    """The first delivery of every sequence number, of checked records."""
-    return first_per_key(good, "sequence_number", [F.asc_nulls_last("arrival_ts"), F.asc("raw")])
+    """The first delivery of every checked record, told by `record_key`."""
+    keyed = good.withColumn("_key", record_key(good))
+    return first_per_key(keyed, "_key", [F.asc_nulls_last("arrival_ts"), F.asc("raw")]).drop("_key")
 
 
 def seen_keys(records: DataFrame, processed_at, memory_seconds: int = KEY_MEMORY_SECONDS) -> DataFrame:
-    """Key rows to remember for processed records, one per sequence number."""
+    """Key rows to remember for processed records, one per key; it stands in the column of the number.
+
+    Records need their text where they lack a number.
+    """
     at = F.unix_timestamp(processed_at)
-    return records.groupBy("sequence_number").agg(F.min(at).alias("processed_at")).withColumn(
+    keyed = records.withColumn("sequence_number", record_key(records)) if "raw" in records.columns else records
+    return keyed.groupBy("sequence_number").agg(F.min(at).alias("processed_at")).withColumn(
         "ttl", F.col("processed_at") + F.lit(memory_seconds)
     )
 
@@ -46,12 +64,15 @@ def live_keys(keys: DataFrame, as_of=None) -> DataFrame:
 
 
 def drop_seen(good: DataFrame, keys: DataFrame, as_of=None) -> DataFrame:
-    """First deliveries whose sequence number is not among the live keys.
+    """First deliveries whose key is not among the live keys.
 
     A second copy in the same set is a repeat of the first, so copies are
     reduced before the lookup and no key is frequent in the join.
     """
-    return unmatched(first_delivery(good), live_keys(keys, as_of), "sequence_number")
+    first = first_delivery(good)
+    keyed = first.withColumn("_key", record_key(first))
+    known = live_keys(keys, as_of).select(F.col("sequence_number").alias("_key"))
+    return unmatched(keyed, known, "_key").drop("_key")
 
 
 def remember(keys: DataFrame, new: DataFrame, as_of=None) -> DataFrame:
@@ -67,7 +88,7 @@ def batch_counters(checked: DataFrame) -> DataFrame:
     is_good = F.col("error_type").isNull()
     counts = checked.agg(
         F.count(F.lit(1)).alias("received"),
-        F.countDistinct(F.when(is_good, F.col("sequence_number"))).alias("processed"),
+        F.countDistinct(F.when(is_good, record_key(checked))).alias("processed"),
         F.count_if(~is_good).alias("errors"),
     )
     return counts.withColumn("skipped", F.col("received") - F.col("processed") - F.col("errors"))

@@ -81,9 +81,13 @@ def problems(probed_object, event_types=VALID_EVENT_TYPES) -> Column:
     )
 
 
-def check(records: DataFrame, strictness: str = "required", event_types=VALID_EVENT_TYPES) -> DataFrame:
+def check(
+    records: DataFrame, strictness: str = "required", event_types=VALID_EVENT_TYPES, with_event_id: bool = False
+) -> DataFrame:
     """Decode records and add `raw`, `error_type` and `error` (NULL when good).
 
+    `with_event_id` adds `checked_event_id`, the text of the payload's event id as the checks have parsed it.
+
     `data` stays only where it could not be decoded; elsewhere `raw` says the
     same, and later shuffles need not carry both.
 
@@ -124,8 +128,9 @@ def check(records: DataFrame, strictness: str = "required", event_types=VALID_EV
     )
     # A filter on the verdict would be pushed below the projection and repeat
     # the parse there; one row generated per record keeps it where it is.
+    event_id = [json_text.variant_text(first["event_id"]).alias("checked_event_id")] if with_event_id else []
     outcome = F.struct(
-        F.when(F.col("raw").isNull(), F.col("data")).alias("data"), "raw", "_verdict.error_type", "_verdict.error"
+        F.when(F.col("raw").isNull(), F.col("data")).alias("data"), "raw", "_verdict.error_type", "_verdict.error", *event_id
     )
     kept = [c for c in records.columns if c != "data"]
     return judged.select(*kept, F.inline(F.array(outcome)))

@@ -1,12 +1,13 @@
 """The transform as a bounded run, for everything a stream still holds."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.functions import timing
 from tidemark.operators import dedupe, enrich, validate
+from tidemark.operators.matching import unmatched
 from tidemark.schema import VALID_EVENT_TYPES
-from tidemark.sources import keys, landing, rejects
+from tidemark.session import work_folder, written
+from tidemark.sources import folders, keys, landing, rejects
 
 
 def run(
@@ -28,14 +29,18 @@ def run(
     """
     spark = records.sparkSession
     now = timing.as_of_column(as_of)
-    checked = validate.check(records, strictness, event_types)
-    known = keys.read(spark, keys_root, as_of, without_run=run_id)
-    fresh = dedupe.drop_seen(validate.good(checked), known, as_of)
-    lines = enrich.enrich(fresh, form, processed_at=now).withColumn("delivered_at", now)
-    # One delivery hour, and partitions already sized by the deduplication's shuffle.
-    landing.land(lines, root, run_id, rebalance=False)
-    rejects.store(rejects.as_rejects(validate.bad(checked), now), root, run_id)
-    # What this run landed, by the folders it wrote: no second look at the records.
-    landed = landing.read_lines(spark, root, batch_id=run_id)
-    meta = F.from_json("line", "_meta struct<kinesis_sequence: string>")["_meta"]
-    keys.add(dedupe.seen_keys(landed.select(meta["kinesis_sequence"].alias("sequence_number")), now), keys_root, run_id)
+    folder = work_folder(spark, "backfill")
+    try:
+        # Read, decoded and checked once.
+        checked = written(validate.check(records, strictness, event_types), f"{folder}/checked")
+        known = keys.read(spark, keys_root, as_of, without_run=run_id)
+        fresh = dedupe.drop_seen(validate.good(checked), known, as_of)
+        lines = enrich.enrich(fresh, form, processed_at=now).withColumn("delivered_at", now)
+        # One delivery hour, and partitions already sized by the deduplication's shuffle.
+        landing.land(lines, root, run_id, rebalance=False)
+        rejects.store(rejects.as_rejects(validate.bad(checked), now), root, run_id)
+        # A record has one key, so the keys of what was landed need no second look at the texts' order.
+        new = dedupe.seen_keys(validate.good(checked), now)
+        keys.add(unmatched(new, known, "sequence_number"), keys_root, run_id)
+    finally:
+        folders.remove(spark, folder)

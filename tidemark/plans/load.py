@@ -8,17 +8,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import measures, timing
 from tidemark.operators.enrich import flatten
-from tidemark.operators.matching import SPREAD, matched
+from tidemark.operators.matching import SPREAD
 from tidemark.operators.upsert import settle, upsert
 from tidemark.schema import FACT_COLUMNS, LOAD_ERROR
-from tidemark.session import fits_broadcast, work_folder, written
+from tidemark.session import work_folder, written
 from tidemark.sources import folders, rejects
-from tidemark.sources.fact import FactTable
+from tidemark.sources.fact import BROADCAST_BYTES, FactTable
 
-# Bytes one event id may take in a broadcast table, with its overhead, and how
-# large such a table may be: about 1.3 million staged ids.
-ID_BYTES = 100
-BROADCAST_BYTES = 128 * 1024 * 1024
+# Bytes of an event id in a broadcast table beside its text.
+ID_BYTES = 64
 
 
 def stage(lines: DataFrame, loaded_at=None, ignore_case: bool = True) -> DataFrame:
@@ -68,13 +66,13 @@ def load(
     """Upsert lines into the table; returns source, rows loaded and seconds taken.
 
     1. Parse once into a staging folder, counting on the way.
-    2. Find the folders that already hold a staged id. This reads the id
-       column only and shuffles nothing while the ids are few enough to
-       broadcast; beyond that both sides are shuffled by id, an id with very
-       many rows over several tasks.
+    2. Find the folders that already hold a staged id, in the table's id
+       lookup: the ids go to the tasks that read it, bucket by bucket where
+       they are too large together. No fact file is opened for that.
     3. Rewrite those folders without the ids; add the staged rows. Everything
        else stays as it is, so a load of new events only adds files.
-    4. Switch readers over, then write audit rows and rejects.
+    4. Switch readers over, then write audit rows and rejects. Other loads,
+       compaction and retention may commit at the same time.
 
     `match_dates='staged'` searches only the dates of the staged rows, which is
     exact as long as an event id never changes its event time. `batch_id` names
@@ -117,26 +115,49 @@ def load(
     }
 
 
+def merge(table: FactTable, rows: DataFrame, intra_batch: str = "all", broadcast_bytes: int = BROADCAST_BYTES) -> int:
+    """Upsert fact rows; returns the new version. The rows are written out first, so that all steps see the same."""
+    folder = work_folder(table.spark, "merge")
+    try:
+        good = written(settle(rows.select(*FACT_COLUMNS), intra_batch), f"{folder}/rows")
+        return _merge(table, good, f"{folder}/ids", "all", broadcast_bytes)
+    finally:
+        folders.remove(table.spark, folder)
+
+
 def _merge(table: FactTable, good: DataFrame, ids_folder: str, match_dates: str, broadcast_bytes: int) -> int:
-    """Put the staged rows in place of the rows with their ids; returns the new version."""
-    # Written out, so that the two joins below do not each repeat the distinct.
+    """Put the staged rows in place of the rows with their ids; returns the new version.
+
+    Other writes may commit meanwhile. Folders they add are looked through as well; only when one holds a staged id,
+    or a folder to rewrite is gone, does the merge start anew.
+    """
+    # Written out, so that the joins below do not each repeat the distinct.
     distinct = Observation("ids")
-    ids = good.select("event_id").distinct().observe(distinct, F.count(F.lit(1)).alias("n"))
+    size = F.sum(F.octet_length("event_id") + F.lit(ID_BYTES))
+    ids = good.select("event_id").distinct().observe(distinct, F.coalesce(size, F.lit(0)).alias("bytes"))
     ids = written(ids, ids_folder)
-    small = fits_broadcast(distinct.get["n"], ID_BYTES, broadcast_bytes)
-    ids, spread = (F.broadcast(ids), 0) if small else (ids, SPREAD)
+    id_bytes = distinct.get["bytes"]
+    small = id_bytes <= broadcast_bytes
 
     dates = None
     if match_dates == "staged":
-        dates = [r["d"] for r in good.select(F.to_date("event_ts").alias("d")).distinct().collect()]
-    searched = table.read(dates=dates).select("event_id", "event_date", "version")
-    # At most one row per folder comes back.
-    found = matched(searched, ids, "event_id", spread).select("event_date", "version").distinct()
-    hit = [tuple(r) for r in found.collect()]
-    rows = good
-    if hit:
-        rows = upsert(table.open(hit).select(*FACT_COLUMNS), good, staged_ids=ids, spread=spread)
-    return table.commit(rows, replaces=hit)
+        dates = {str(r["d"]) for r in good.select(F.to_date("event_ts").alias("d")).distinct().collect()}
+
+    def holding(parts):
+        searched = [p for p in parts if dates is None or p[0] in dates]
+        return table.holding(ids, searched, id_bytes, broadcast_bytes) if searched else set()
+
+    while True:
+        base = table.snapshot()
+        hit = holding(base.parts)
+        rows = good
+        if hit:
+            keys, spread = (F.broadcast(ids), 0) if small else (ids, SPREAD)
+            rows = upsert(table.open(hit).select(*FACT_COLUMNS), good, staged_ids=keys, spread=spread)
+        with table.writing() as version:
+            added = table.write(version, rows)
+            if table.commit_over(base, added, hit, may_add=lambda parts: not holding(parts)) is not None:
+                return version
 
 
 def _load_rejects(staged: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import measures, timing
-from tidemark.schema import EVENT_RETENTION_DAYS
+from tidemark.schema import EVENT_RETENTION_DAYS, FACT_COLUMNS
 from tidemark.sources.fact import FactTable
 
-COMPACT_AFTER_ROWS = 100_000
+TARGET_BYTES = 256 * 1024 * 1024
 SKEW_TARGET = 1.5
 MEGABYTE = 1024 * 1024
 
@@ -115,25 +115,70 @@ def hot_keys(df: DataFrame, key: str = "user_id", top: int = 20) -> DataFrame:
     )
 
 
-def dates_to_compact(table: FactTable, min_rows: int = COMPACT_AFTER_ROWS) -> list:
-    """Dates made of several loads that together added enough rows."""
-    found = (
-        table.live()
-        .groupBy("event_date")
-        .agg(F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("rows"))
-        .where((F.col("parts") > 1) & (F.col("rows") > min_rows))
-    )
-    return [r["event_date"] for r in found.collect()]
-
-
-def compact(table: FactTable, dates=None, min_rows: int = COMPACT_AFTER_ROWS) -> list:
-    """Rewrite dates as one sorted version; by default those that need it."""
-    dates = dates_to_compact(table, min_rows) if dates is None else list(dates)
-    if dates:
-        live = table.live().where(F.col("event_date").isin([str(d) for d in dates]))
-        parts = [(r["event_date"], r["version"]) for r in live.collect()]
-        table.commit(table.open(parts), replaces=parts)
-    return dates
+def bins(sizes: dict, capacity: int) -> list[list]:
+    """Keys dealt into bins of `capacity`, the largest first, each into the first bin with space."""
+    out = []
+    for key, size in sorted(sizes.items(), key=lambda item: (-item[1], item[0])):
+        for own in out:
+            if own[0] + size <= capacity:
+                own[0] += size
+                own[1].append(key)
+                break
+        else:
+            out.append([size, [key]])
+    return [keys for _, keys in out]
+
+
+def folders_to_merge(table: FactTable, target_bytes: int = TARGET_BYTES, min_rows: int = 0, dates=None) -> list[set]:
+    """Sets of small folders (date, version), each of one date and together of about the target size."""
+    live = table.live()
+    if dates is not None:
+        live = live.where(F.col("event_date").isin([str(d) for d in dates]))
+    by_date, rows = {}, {}
+    for r in live.collect():  # one row per folder
+        by_date.setdefault(r["event_date"], {})[r["event_date"], r["version"]] = r["bytes"] or 0
+        rows[r["event_date"]] = rows.get(r["event_date"], 0) + r["rows"]
+    found = []
+    for date, sizes in sorted(by_date.items()):
+        small = {p: s for p, s in sizes.items() if s < target_bytes}
+        if rows[date] > min_rows:
+            found += [set(own) for own in bins(small, target_bytes) if len(own) > 1]
+    return found
+
+
+def dates_to_compact(table: FactTable, min_rows: int = 0, target_bytes: int = TARGET_BYTES) -> list:
+    """Dates with several small folders that fit into one."""
+    return sorted({date for own in folders_to_merge(table, target_bytes, min_rows) for date, _ in own})
+
+
+def compact(table: FactTable, dates=None, min_rows: int = 0, target_bytes: int = TARGET_BYTES) -> list:
+    """Merge the small folders of a date into sorted ones of about the target size; large ones stay. Returns the dates.
+
+    Loads may commit meanwhile: what they add stays, and a folder they replaced is left to the next run. With several
+    bins to a date, each goes into a version of its own.
+    """
+    merged = folders_to_merge(table, target_bytes, min_rows, dates)
+    rounds = []  # at most one bin of a date in each
+    for own in merged:
+        date = next(iter(own))[0]
+        for some in rounds:
+            if date not in {d for d, _ in some}:
+                some |= own
+                break
+        else:
+            rounds.append(set(own))
+    for parts in rounds:
+        while parts:
+            base = table.snapshot()
+            gone = {d for d, v in parts - base.parts}
+            parts = {(d, v) for d, v in parts if d not in gone}
+            if not parts:
+                break
+            with table.writing() as version:
+                added = table.write(version, table.open(parts).select(*FACT_COLUMNS))
+                if table.commit_over(base, added, parts) is not None:
+                    break
+    return sorted({date for own in merged for date, _ in own})
 
 
 def sort_rows(df: DataFrame, ts: str = "event_ts") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tidemark.operators import enrich, validate
+from tidemark.operators import dedupe, enrich, validate
 from tidemark.operators.matching import SPREAD
 from tidemark.schema import BATCH_LOG_SCHEMA, KEY_MEMORY_SECONDS, VALID_EVENT_TYPES
 from tidemark.sources import landing, rejects
@@ -68,18 +68,19 @@ def transformed(
     under a new sequence number.
     """
     stamped = records.withColumn("seen_at", F.current_timestamp())
-    checked = validate.check(stamped, strictness, event_types).drop("partition_key")
+    checked = validate.check(stamped, strictness, event_types, with_event_id=by_event_id)
+    checked = checked.withColumn("_record", dedupe.record_key(checked)).drop("partition_key")
     checked = checked.observe(
         INTAKE,
         F.count(F.lit(1)).alias("received"),
         F.count_if(F.col("error_type").isNotNull()).alias("errors"),
     )
-    unique = drop_repeats(remembering(checked, memory_seconds), "sequence_number", spread)
+    unique = drop_repeats(remembering(checked, memory_seconds), "_record", spread)
     if by_event_id:
-        # Records without an event id share none: each stands for itself by its number.
-        own = F.concat(F.lit("\u0000"), "sequence_number")
-        unique = unique.withColumn("_event_id", F.coalesce(F.get_json_object("raw", "$.event_id"), own))
-        unique = drop_repeats(unique, "_event_id", spread).drop("_event_id")
+        # Records without an event id share none: each stands for itself by its own key.
+        unique = unique.withColumn("_event_id", F.coalesce("checked_event_id", F.concat(F.lit("\u0000"), "_record")))
+        unique = drop_repeats(unique, "_event_id", spread).drop("_event_id", "checked_event_id")
+    unique = unique.drop("_record")
     return unique.observe(OUTCOME, F.count_if(F.col("error_type").isNull()).alias("processed"))
 
 
