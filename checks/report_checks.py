@@ -6,6 +6,7 @@ from checks.registry import query
 from checks.tables import AS_OF, FACT, RECENT, cents, half_up, mean_amount, percent
 from checks import fixtures as fx
 from tidemark.plans import reports
+from tidemark.session import work_folder, written
 
 HOURS = fx.LOOK_BACK_HOURS
 
@@ -133,6 +134,32 @@ def load_latency(spark, sf_dir):
     return reports.load_latency(fx.fact(spark, sf_dir), fx.AS_OF, HOURS)
 
 
+@query(
+    f"""WITH {FACT}, lat AS (
+  SELECT date_trunc('hour', event_ts) AS event_hour, date_diff('second', event_ts, loaded_at) AS s
+  FROM fact WHERE {RECENT})
+SELECT event_hour, count(*) AS events_loaded, {half_up('sum(s)', 'count(s)', 1)} AS avg_latency_secs,
+       true AS p50_near, true AS p95_near, true AS p99_near
+FROM lat GROUP BY 1"""
+)
+def load_latency_rollup(spark, sf_dir):
+    """Hours merged from sketches per minute; the percentiles' places among the rows are within 0.01 of what they name."""
+    events = fx.fact(spark, sf_dir)
+    stored = written(reports.latency_sketches(events), work_folder(spark, "latency-sketches"))
+    rolled = reports.load_latency_rollup(stored, fx.AS_OF, HOURS)
+    each = events.select(
+        F.date_trunc("hour", "event_ts").alias("event_hour"),
+        (F.unix_seconds("loaded_at") - F.unix_seconds("event_ts")).alias("s"),
+    )
+    named = (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))
+    below = [F.avg((F.col("s") < F.col(f"{n}_latency_secs")).cast("int")).alias(f"{n}_below") for n, _ in named]
+    upto = [F.avg((F.col("s") <= F.col(f"{n}_latency_secs")).cast("int")).alias(f"{n}_upto") for n, _ in named]
+    kept = ["event_hour", "events_loaded", "avg_latency_secs"]
+    places = rolled.join(each, "event_hour").groupBy(*kept).agg(*below, *upto)
+    near = [((F.col(f"{n}_below") <= r + 0.01) & (F.col(f"{n}_upto") >= r - 0.01)).alias(f"{n}_near") for n, r in named]
+    return places.select(*kept, *near)
+
+
 @query(
     f"""WITH {FACT}
 SELECT date_trunc('minute', event_ts) AS window_start, count(DISTINCT user_id) AS active_users, count(*) AS events

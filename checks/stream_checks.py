@@ -1,5 +1,7 @@
 """Structured Streaming jobs, run over the whole table until it is worked off."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from checks.registry import query
@@ -10,7 +12,7 @@ from tidemark.operators import enrich
 from tidemark.plans import backfill
 from tidemark.schema import FACT_COLUMNS as FACT_NAMES
 from tidemark.session import work_folder
-from tidemark.sources import landing, rejects
+from tidemark.sources import folders, landing, records, rejects
 from tidemark.sources.fact import FactTable
 from tidemark.streaming import live_windows, loader, transform_job
 
@@ -144,3 +146,61 @@ HAVING window_start + INTERVAL 5 MINUTE <= {_CLOSED}"""
 def stream_sliding(spark, sf_dir):
     live = live_windows.active_users_sliding(fx.fact(spark, sf_dir, stream=True))
     return _windowed(spark, live, "sliding").select("window_start", "events")
+
+
+def _to_the_end(spark, sf_dir, report, name):
+    """A bounded run, the end mark, and the run that writes what was still open."""
+    root = work_folder(spark, name)
+    live = report(live_windows.closing(fx.fact(spark, sf_dir, stream=True), f"{root}/marks"))
+    for _ in range(2):
+        writer = live.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+        _finish(writer.format("parquet").trigger(availableNow=True).start(f"{root}/out"))
+        live_windows.close(spark, f"{root}/marks", dt.datetime(2025, 1, 1))
+    return spark.read.schema(live.schema).parquet(f"{root}/out")
+
+
+@query(
+    f"""WITH {FACT}
+SELECT date_trunc('minute', event_ts) AS minute, count(*) AS event_count, count(DISTINCT user_id) AS unique_users,
+       count(*) FILTER (event_type = 'error') AS error_count
+FROM fact GROUP BY 1"""
+)
+def stream_minutes_closed(spark, sf_dir):
+    """Every minute to the last, with exact users."""
+    return _to_the_end(spark, sf_dir, live_windows.events_per_minute, "minutes")
+
+
+@query(
+    f"""WITH {FACT}
+SELECT date_trunc('hour', event_ts) AS hour, count(*) AS purchase_count, CAST({cents()} AS DOUBLE) / 100 AS total_revenue
+FROM fact WHERE event_type = 'purchase' GROUP BY 1"""
+)
+def stream_revenue_closed(spark, sf_dir):
+    return _to_the_end(spark, sf_dir, live_windows.revenue_by_hour, "revenue")
+
+
+@query(
+    f"""WITH {FACT}, placed AS (
+  SELECT date_trunc('minute', event_ts) - to_minutes(i) AS window_start, user_id FROM fact, range(5) AS r(i))
+SELECT window_start, count(DISTINCT user_id) AS active_users, count(*) AS events FROM placed GROUP BY 1"""
+)
+def stream_sliding_closed(spark, sf_dir):
+    return _to_the_end(spark, sf_dir, live_windows.active_users_sliding, "sliding")
+
+
+@query(
+    f"""WITH {RECORDS}
+SELECT true AS several_batches, count(DISTINCT sequence_number) AS landed FROM all_records WHERE error_type IS NULL"""
+)
+def stream_backlog(spark, sf_dir):
+    """A backlog of many files is worked off in batches of a bounded size, and nothing is lost between them."""
+    root = work_folder(spark, "backlog")
+    made = fx.records(spark, sf_dir, redelivered=True, resent=True)
+    made.repartition(6).write.parquet(f"{root}/inbox")
+    size = folders.size(spark, f"{root}/inbox")
+    source = records.stream_records(spark, f"{root}/inbox", options={"maxBytesPerTrigger": str(size // 3)})
+    job = transform_job.start(source, f"{root}/out", f"{root}/checkpoint", trigger=None)
+    _finish(job)
+    lines = landing.read_lines(spark, f"{root}/out")
+    batches = spark.read.schema("value string, batch_id string").text(f"{root}/out/events").select("batch_id").distinct().count()
+    return lines.agg(F.count(F.lit(1)).alias("landed")).withColumn("several_batches", F.lit(batches > 1))

@@ -185,3 +185,20 @@ def test_funnel_takes_any_number_of_steps(spark):
         row = reports.funnel(events, "2024-01-01 12:00:00", steps).first()
         assert [row[f"step{i}_{s}"] for i, s in enumerate(steps, 1)] == counts
         assert float(row["step1_to_step2_pct"]) == pytest.approx(66.67, abs=0.01)
+
+
+def test_latency_sketches_merge_within_their_rank_error(spark):
+    n = 200_000
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 7200)
+    latency = F.pmod(F.xxhash64("id"), F.lit(50_000)) * F.pmod(F.xxhash64("id"), F.lit(3))
+    events = spark.range(n).select(at.alias("event_ts"), F.timestamp_seconds(F.unix_seconds(at) + latency).alias("loaded_at"))
+    events = events.unionByName(events.limit(50).withColumn("loaded_at", F.lit(None).cast("timestamp")))
+    rolled = reports.load_latency_rollup(reports.latency_sketches(events), "2023-11-15 12:00:00", 24)
+    exact = reports.load_latency(events, "2023-11-15 12:00:00", 24)
+    assert rows(rolled, "event_hour", "events_loaded", "avg_latency_secs") == rows(exact, "event_hour", "events_loaded", "avg_latency_secs")
+    for r in rolled.collect():
+        own = events.where((F.date_trunc("hour", "event_ts") == F.lit(r["event_hour"])) & F.col("loaded_at").isNotNull())
+        for name, rank in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+            s = F.unix_seconds("loaded_at") - F.unix_seconds("event_ts")
+            low, high = own.agg(F.avg((s < r[f"{name}_latency_secs"]).cast("int")), F.avg((s <= r[f"{name}_latency_secs"]).cast("int"))).first()
+            assert low <= rank + 0.006 and high >= rank - 0.006

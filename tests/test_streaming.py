@@ -12,7 +12,7 @@ from checks import fixtures as fx
 from tidemark.operators import dedupe, enrich, validate
 from tidemark.schema import RECORD_SCHEMA
 from tidemark.plans import backfill, load
-from tidemark.sources import landing, records as record_source, rejects
+from tidemark.sources import folders, landing, records as record_source, rejects
 from tidemark.sources.fact import FactTable
 from tidemark.streaming import live_windows, loader, transform_job
 
@@ -163,6 +163,57 @@ def test_second_pass_by_event_id(spark, folder):
     assert rejects.read(spark, root).count() == 2
 
 
+def test_second_pass_takes_the_event_id_as_the_checks_do(spark, folder):
+    """Of a repeated key the last counts, as in the load."""
+    inbox, root = f"{folder}/inbox", f"{folder}/out"
+    twice = json.dumps(payload("1"))[:-1] + ', "event_id": "2"}'
+    deliver(records(spark, [("a", twice), ("b", payload("2")), ("c", payload("1"))]), inbox)
+    run(spark, inbox, root, by_event_id=True)
+    assert sorted(r[1] for r in landed(spark, root)) == ["1", "2"]
+
+
+def test_records_without_a_number_all_survive(spark, folder):
+    inbox, root = f"{folder}/inbox", f"{folder}/out"
+    made = records(spark, [(None, payload(str(i % 3))) for i in range(6)] + [("a", payload("9")), (None, "not-json")])
+    for _ in range(2):  # the same records again in a later batch
+        deliver(made, inbox)
+    run(spark, inbox, root)
+    assert sorted(r[1] for r in landed(spark, root)) == ["0", "0", "1", "1", "2", "2", "9"]
+    assert rejects.read(spark, root).count() == 2
+
+
+def test_a_backlog_takes_several_batches_by_default(spark, folder, monkeypatch):
+    inbox, root = f"{folder}/inbox", f"{folder}/out"
+    for i in range(4):
+        deliver(records(spark, [(str(i), payload(str(i)))]), inbox)
+    monkeypatch.setitem(record_source.ADMISSION, "files", {"maxBytesPerTrigger": "1"})
+    query = transform_job.start(record_source.stream_records(spark, inbox), root, f"{root}/checkpoint", trigger=None)
+    query.awaitTermination()
+    assert len({p.batchId for p in query.recentProgress if p.numInputRows}) == 4
+    assert len(landed(spark, root)) == 4
+
+
+def test_windows_still_open_are_written_after_an_end_mark(spark, folder):
+    made = [{"event_ts": START + dt.timedelta(minutes=m), "user_id": u, "event_type": "purchase", "value": None}
+            for m, u in ((0, "a"), (0, "a"), (0, None), (1, "b"), (70, "a"))]
+    facts(spark, made).coalesce(1).write.parquet(f"{folder}/in")
+    stream = live_windows.closing(spark.readStream.schema(facts(spark, made).schema).parquet(f"{folder}/in"), f"{folder}/marks")
+    for name, report, first, last in (
+        ("minutes", live_windows.events_per_minute, 2, [(START, 3, 1, 0), (START + dt.timedelta(minutes=1), 1, 1, 0), (START + dt.timedelta(minutes=70), 1, 1, 0)]),
+        ("hours", live_windows.revenue_by_hour, 1, [(START, 4, None), (START + dt.timedelta(hours=1), 1, None)]),
+    ):
+        frame = report(stream)
+        for n in range(2):
+            frame.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/{name}").format("parquet").trigger(
+                availableNow=True).start(f"{folder}/{name}-out").awaitTermination()
+            found = rows(spark.read.parquet(f"{folder}/{name}-out"))
+            assert found == last if n else len(found) == first
+            live_windows.close(spark, f"{folder}/marks", START + dt.timedelta(days=1))
+        spark.read.parquet(f"{folder}/marks").count()
+        folders.remove(spark, f"{folder}/marks")
+        stream = live_windows.closing(spark.readStream.schema(facts(spark, made).schema).parquet(f"{folder}/in"), f"{folder}/marks")
+
+
 def test_second_pass_keeps_records_without_event_id(spark, folder):
     inbox, root = f"{folder}/inbox", f"{folder}/out"
     bodies = [(n, payload(None)) for n in "cdef"]

@@ -160,6 +160,47 @@ def load_latency(events: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
     )
 
 
+#: Size of a latency sketch; a percentile read from merged ones is off by about 0.004 of all rows (99 of 100 times).
+SKETCH_SIZE = 800
+
+
+def latency_sketches(events: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """Per event minute: rows, rows with a latency, their seconds and a mergeable sketch of them.
+
+    Kept as a table, it answers `load_latency_rollup` for any look-back without reading events again. The sketches are
+    made before the shuffle, so a minute with most of the rows sends one sketch per input task.
+    """
+    latency = timing.seconds_between(F.col("event_ts"), F.col("loaded_at")).cast("long")
+    rows = events.select(F.date_trunc("minute", "event_ts").alias("minute"), latency.alias("latency"))
+    return rows.groupBy("minute").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count("latency").alias("known"),
+        F.sum("latency").alias("seconds"),
+        F.kll_sketch_agg_bigint("latency", F.lit(size)).alias("sketch"),
+    )
+
+
+def load_latency_rollup(sketches: DataFrame, as_of=None, hours: int = 24, size: int = SKETCH_SIZE) -> DataFrame:
+    """`load_latency` from sketches per minute: counts and averages exact, percentiles within the sketch's rank error.
+
+    A look-back that begins within a minute takes that minute whole.
+    """
+    now = timing.as_of_column(as_of)
+    recent = sketches.where((F.col("minute") >= F.date_trunc("minute", now - timing.hours(hours))))
+    merged = recent.groupBy(F.date_trunc("hour", "minute").alias("event_hour")).agg(
+        F.sum("events").alias("events_loaded"),
+        F.sum("known").alias("_known"),
+        measures.ratio(F.sum("seconds"), F.sum("known"), 1).alias("avg_latency_secs"),
+        F.kll_merge_agg_bigint("sketch", F.lit(size)).alias("_sketch"),
+    )
+
+    def point(rank):
+        return F.when(F.col("_known") > 0, F.kll_sketch_get_quantile_bigint("_sketch", F.lit(rank))).cast("double")
+
+    points = [point(rank).alias(f"{name}_latency_secs") for name, rank in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))]
+    return merged.select("event_hour", "events_loaded", "avg_latency_secs", *points).orderBy(F.desc("event_hour"))
+
+
 def active_users(events: DataFrame, as_of=None, hours: int = 1, top: int = 60) -> DataFrame:
     """Distinct users per minute up to `as_of`, the newest minutes."""
     return (

@@ -14,6 +14,10 @@ from tidemark.schema import DELIVERY_SCHEMA, RECORD_SCHEMA
 
 FILE_FORMATS = ("parquet", "json", "orc", "csv")
 
+# What a source may admit to one batch where the caller sets no bound, so that a backlog is caught up with in many.
+ADMISSION = {"files": {"maxBytesPerTrigger": "4g"}, "kafka": {"maxOffsetsPerTrigger": "10000000"}}
+_BOUNDS = {"maxfilespertrigger", "maxbytespertrigger", "maxoffsetspertrigger"}
+
 # Record columns from what a message connector delivers.
 MESSAGE_COLUMNS = {
     "sequence_number": "concat_ws('-', topic, cast(partition as string), lpad(cast(offset as string), 20, '0'))",
@@ -45,8 +49,12 @@ def stream_records(
     `since` skips records that arrived earlier: pass the moment of the first
     start to begin at the newest record, leave it out to begin at the oldest
     retained one. It has to stay the same across restarts of one checkpoint.
+    A batch is bounded by the source's own option, `ADMISSION` where none is given.
     """
-    reader = spark.readStream.format(fmt).options(**(options or {}))
+    options = dict(options or {})
+    if not _BOUNDS & {name.lower() for name in options}:
+        options |= ADMISSION.get("files" if fmt in FILE_FORMATS else fmt, {})
+    reader = spark.readStream.format(fmt).options(**options)
     if fmt in FILE_FORMATS:
         reader = reader.schema(RECORD_SCHEMA)
     records = _as_records(reader.load(path) if path else reader.load(), _columns_for(fmt, columns))
