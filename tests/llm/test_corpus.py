@@ -380,6 +380,18 @@ def test_line_bands_find_similar_lines():
     assert line_minhash.similar("ab", "ab", 0.8) and not line_minhash.similar("ab", "abc", 0.8)
 
 
+def test_near_values_are_those_of_the_whole_kernel():
+    kernel = string_kernel.Kernel(["idiot", "moron", "banana"])
+    own, met = random.Random(8), 0
+    for _ in range(4000):
+        word = "".join(own.choices("idotmrnba", k=own.randint(3, 9)))
+        value, near = kernel.raw(word), kernel.near(word)
+        assert (near is None) == (value.max() < string_kernel.NEAR)
+        met += near is not None
+        assert near is None or np.array_equal(near, np.where(value >= string_kernel.NEAR, value, 0.0))
+    assert met > 50
+
+
 def test_kernel_meets_words_in_runs_without_spaces():
     kernel = string_kernel.Kernel(["pathetic", "idiot"])
     plain = "the river runs over the stones and the wind blows through the trees"

@@ -93,6 +93,20 @@ class Kernel:
                 total += v * row
         return total / math.sqrt(sum(v * v for v in own.values()))
 
+    def near(self, word):
+        """The values that are `NEAR` at least, others as 0, or None if there is none.
+
+        A landmark's vector has length 1, so no value is above the length of the part of the word's vector that lies on
+        subsequences of landmarks. Most words are done with that.
+        """
+        own = subsequences(word)
+        known = self.table.keys()
+        shared = [v for s, v in own.items() if s in known]
+        if sum([v * v for v in shared]) < (NEAR * NEAR - 1e-9) * sum([v * v for v in own.values()]):
+            return None
+        value = self.raw(word)
+        return np.where(value >= NEAR, value, 0.0) if value.max(initial=0) >= NEAR else None
+
     def stretches(self, word) -> set[str]:
         """Of the stretches as long as a landmark (and `_SLACK`) those that may be near it, none missing."""
         found, reach = set(), max(self.by_length, default=0) + max(_SLACK)
@@ -129,8 +143,7 @@ class Kernel:
         if found is False:
             if len(self.known) >= self.limit:
                 self.known.clear()
-            value = self.raw(word)
-            found = np.where(value >= NEAR, value, 0.0) if value.max(initial=0) >= NEAR else None
+            found = self.near(word)
             if len(word) <= MARK:
                 self.known[word] = found
         return found
