@@ -384,7 +384,10 @@ def test_near_values_are_those_of_the_whole_kernel():
     kernel = string_kernel.Kernel(["idiot", "moron", "banana"])
     own, met = random.Random(8), 0
     for _ in range(4000):
-        word = "".join(own.choices("idotmrnba", k=own.randint(3, 9)))
+        word = list(own.choice(kernel.landmarks))
+        for _ in range(own.randrange(4)):
+            word.insert(own.randrange(len(word)), own.choice("idotmrnba"))
+        word = "".join(word[own.randrange(3):])
         value, near = kernel.raw(word), kernel.near(word)
         assert (near is None) == (value.max() < string_kernel.NEAR)
         met += near is not None
