@@ -24,13 +24,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Remove staged frames that nothing reads any more: call it once what was made from them is staged itself.
-
-    Shuffle files of finished steps go when the driver's JVM collects its garbage, which it is asked to do here.
-    """
+    """Remove staged frames that nothing reads any more: call it once what was made from them is staged itself."""
     for frame in frames:
         folders.remove(frame.sparkSession, frame._staged_in)
-        frame.sparkSession.sparkContext._jvm.System.gc()
+        release(frame.sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go: Spark removes them when the driver's JVM collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def stored_rows(df: DataFrame) -> int:

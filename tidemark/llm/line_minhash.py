@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, copied_join, discard, slices, spread_join, staged
+from tidemark.llm.common import components, copied_join, discard, release, slices, spread_join, staged
 
 SHINGLE = 5
 BINS_LOG = 6
@@ -138,6 +138,7 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     first = first.withColumn("node", F.monotonically_increasing_id())
     # Numbers are given once, as the table is written.
     distinct = staged(first.select("node", "line", "place.key", "place.n"), "distinct-lines")
+    release(distinct.sparkSession)
     signed = staged(banded(distinct), "line-signatures")
     spread = signed.select("node", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
