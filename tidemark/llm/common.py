@@ -1,5 +1,7 @@
 """Reading, staging and connected components, shared by the operators of this folder."""
 
+import time
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,8 +33,13 @@ def discard(*frames: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the shuffle files of finished steps go: Spark removes them when the driver's JVM collects its garbage."""
-    spark.sparkContext._jvm.System.gc()
+    """Let the shuffle files of finished steps go: Spark removes them when the driver's JVM collects its garbage.
+
+    The first collection frees what holds a shuffle, the second the shuffle.
+    """
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def stored_rows(df: DataFrame) -> int:
