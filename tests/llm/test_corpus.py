@@ -380,6 +380,21 @@ def test_line_bands_find_similar_lines():
     assert line_minhash.similar("ab", "ab", 0.8) and not line_minhash.similar("ab", "abc", 0.8)
 
 
+def test_numbered_shingles_decide_as_sets_do():
+    """Also for lines shorter than a shingle, zero characters and more different characters than a number has room for."""
+    rng = random.Random(11)
+    odd = ["a", "a\0", "a\0\0\0\0", "ab", "abcd", "abcde", "\U0001f600" * 7, "\u00e9\u4e2d" * 40, "x" * 5000]
+    wide = ["".join(map(chr, range(0x4E00, 0x4E00 + 4200))), "".join(map(chr, range(0x4E00, 0x4E00 + 4500)))]
+    for lines in (odd, [*odd, *wide]):
+        pairs = [(x, y) for x in lines for y in lines]
+        for _ in range(300):
+            x = "".join(rng.choice("abcdef ") for _ in range(rng.randint(1, 90)))
+            pairs.append((x, "".join(c if rng.random() > 0.02 else "#" for c in x)))
+        for limit in (0.5, 0.8, 1.0):
+            found = line_minhash.near_pairs(*map(list, zip(*pairs)), limit)
+            assert found == [line_minhash.similar(x, y, limit) for x, y in pairs]
+
+
 def test_near_values_are_those_of_the_whole_kernel():
     kernel = string_kernel.Kernel(["idiot", "moron", "banana"])
     own, met = random.Random(8), 0

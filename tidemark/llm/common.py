@@ -96,12 +96,12 @@ def _copies(chosen: DataFrame, group: str) -> DataFrame:
     return copies.select("key", "text", F.col("group").alias(group))
 
 
-def slices(batch: pa.RecordBatch, column="text"):
+def slices(batch: pa.RecordBatch, column="text", most=SLICE_CHARS):
     """A batch in pieces of bounded text size; one row at least in each."""
     sizes = [len(x) if x else 0 for x in batch.column(column).to_pylist()]
     start, chars = 0, 0
     for i, n in enumerate(sizes):
-        if i > start and chars + n > SLICE_CHARS:
+        if i > start and chars + n > most:
             yield batch.slice(start, i - start)
             start, chars = i, 0
         chars += n

@@ -15,6 +15,9 @@ is read; so ties can't occur, as places are unique. Texts of any length are whol
 `dedupe` leaves extra columns out; `without_repeats` keeps them and expects a unique key.
 """
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +31,10 @@ BAND_ROWS = 5
 BANDS = 12
 #: White space that trimming takes away.
 SPACES = " \t\x0b\x0c\r"
+#: Characters worked on at a time: their numbers should stay in a core's cache.
+CHARS = 250_000
+#: Bits of a character in a shingle's number.
+_LETTER = 12
 _EMPTY = np.uint64(2**64 - 1)
 _ODD = np.random.default_rng(5).integers(1 << 62, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -39,29 +46,35 @@ def _mixed(h):
     return h ^ (h >> np.uint64(32))
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """One row per line, one least shingle hash per bin. A bin without one takes that of the bin nearest in its number's bits."""
+def _code_points(lines: list[str]):
+    """The lines' code points one after another, lines shorter than a shingle padded, their sizes, and where a shingle begins."""
     padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
     codes = np.frombuffer("".join(padded).encode("utf-32-le"), "<u4").astype(np.uint64)
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
-    line = np.repeat(np.arange(len(padded)), sizes - SHINGLE + 1)
     # Shingles that reach into the next line are left out.
     inside = np.ones(len(codes), bool)
     ends = np.cumsum(sizes)
     for back in range(1, SHINGLE):
         inside[ends - back] = False
-    whole = len(codes) - SHINGLE + 1
+    return codes, sizes, inside[: len(codes) - SHINGLE + 1]
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """One row per line, one least shingle hash per bin. A bin without one takes that of the bin nearest in its number's bits."""
+    codes, sizes, inside = _code_points(lines)
+    whole = len(inside)
+    line = np.repeat(np.arange(len(lines)), sizes - SHINGLE + 1)
     h = codes[:whole] * _ODD[0]
     for i in range(1, SHINGLE):
         h += codes[i : i + whole] * _ODD[i]
-    h = _mixed(h[inside[:whole]])
+    h = _mixed(h[inside])
     bins = 1 << BINS_LOG
-    low = np.full(len(padded) * bins, _EMPTY)
+    low = np.full(len(lines) * bins, _EMPTY)
     shift = np.uint64(64 - BINS_LOG)
     np.minimum.at(low, line * bins + (h >> shift).astype(np.int64), h)
     low = low.reshape(-1, bins)
     rows = low.copy()
-    for j in range(bins):
+    for j in range(BANDS * BAND_ROWS):
         lacking = np.flatnonzero(low[:, j] == _EMPTY)
         if len(lacking):
             known = low[lacking]
@@ -83,7 +96,7 @@ def banded(lines: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "line"):
+            for part in slices(batch, "line", CHARS):
                 hashes = band_hashes(signatures(part.column("line").to_pylist()))
                 at = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * BANDS)
                 bands = pa.ListArray.from_arrays(at, pa.array(hashes.ravel()))
@@ -98,19 +111,64 @@ def shingles(line: str) -> set[str]:
 
 def similar(a: str, b: str, similarity: float) -> bool:
     """Whether the Jaccard similarity of the lines' shingles is at least that."""
-    return _near(shingles(a), b, similarity)
-
-
-def _near(x: set[str], b: str, similarity: float) -> bool:
-    if max(1, len(b) - SHINGLE + 1) < similarity * len(x):
-        return False
-    y = shingles(b)
-    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
-        return False
+    x, y = shingles(a), shingles(b)
     common = len(x & y)
     return common >= similarity * (len(x) + len(y) - common)
 
 
+def shingle_numbers(lines: list[str]) -> list[np.ndarray] | None:
+    """Each line's distinct shingles as sorted numbers, the same for the same shingle among these lines and for no other.
+
+    None if the lines hold more different characters than a number has room for.
+    """
+    codes, sizes, inside = _code_points(lines)
+    if codes.max(initial=0) >> _LETTER:
+        letters, codes = np.unique(codes, return_inverse=True)
+        if len(letters) >> _LETTER:
+            return None
+        codes = codes.astype(np.uint64)
+    h = codes[: len(inside)].copy()
+    for i in range(1, SHINGLE):
+        h |= codes[i : i + len(inside)] << np.uint64(_LETTER * i)
+    h = h[inside]
+    ends = np.cumsum(sizes - SHINGLE + 1).tolist()
+    out, start = [], 0
+    for text, end in zip(lines, ends):
+        own = h[start:end]
+        if len(text) < SHINGLE:  # told from a whole shingle by the bits that no character uses
+            own[0] |= np.uint64((SHINGLE - len(text)) << _LETTER * SHINGLE)
+        own.sort()
+        new = np.empty(len(own), bool)
+        new[0] = True
+        np.not_equal(own[1:], own[:-1], out=new[1:])
+        out.append(own[new])
+        start = end
+    return out
+
+
+def near_pairs(a: list[str], b: list[str], similarity: float) -> list[bool]:
+    """For each pair of lines, whether `similar` holds. The pairs of a line mostly follow one another."""
+    at, firsts = [], []
+    for x in a:
+        if not firsts or firsts[-1] != x:
+            firsts.append(x)
+        at.append(len(firsts) - 1)
+    numbers = shingle_numbers(firsts + b)
+    if numbers is None:
+        return [similar(x, y, similarity) for x, y in zip(a, b)]
+    near = []
+    for i, y in zip(at, numbers[len(firsts) :]):
+        x = numbers[i]
+        if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+            near.append(False)
+            continue
+        both = np.concatenate((x, y))
+        both.sort()
+        common = np.count_nonzero(both[1:] == both[:-1])
+        near.append(bool(common >= similarity * (len(x) + len(y) - common)))
+    return near
+
+
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """Of distinct pairs (a, b) of line numbers those whose shingle sets are similar."""
     one = lines.select(F.col("node").alias("a"), F.col("line").alias("la"))
@@ -118,34 +176,43 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
     both = spread_join(pairs.join(two, "b"), one, "a", spread_by="b")
 
     def run(batches):
-        last, own = None, set()
         for batch in batches:
-            near = []
-            for x, y in zip(batch.column("la").to_pylist(), batch.column("lb").to_pylist()):
-                if x != last:  # the pairs of a line mostly follow one another
-                    last, own = x, shingles(x)
-                near.append(_near(own, y, similarity))
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+            for part in slices(batch, "la", CHARS):
+                for few in slices(part, "lb", CHARS):
+                    near = near_pairs(few.column("la").to_pylist(), few.column("lb").to_pylist(), similarity)
+                    yield few.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return both.select("a", "b", "la", "lb").mapInArrow(run, "a long, b long")
 
 
+def _trimmed(line):
+    """Trimming itself looks at every character, so it is left to lines with white space at an end."""
+    ends = [at for c in SPACES for at in (line.startswith(c), line.endswith(c))]
+    return F.when(reduce(or_, ends), F.trim(line, F.lit(SPACES))).otherwise(line)
+
+
 def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
-    """Rows (key, n, line): the lines that stay, blank ones not included."""
+    """Rows (key, n): the places of lines that stay, blank ones not included."""
     each = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n")).alias("n", "raw"))
-    each = each.select("key", "n", F.trim(F.col("raw"), F.lit(SPACES)).alias("line")).where("line <> ''")
+    each = each.select("key", "n", _trimmed(F.col("raw")).alias("line")).where("line <> ''")
     first = each.groupBy("line").agg(F.min(F.struct("key", "n")).alias("place"))
     first = first.withColumn("node", F.monotonically_increasing_id())
     # Numbers are given once, as the table is written.
     distinct = staged(first.select("node", "line", "place.key", "place.n"), "distinct-lines")
     release(distinct.sparkSession)
+    places = staged(distinct.select("node", "key", "n"), "line-places")
     signed = staged(banded(distinct), "line-signatures")
     spread = signed.select("node", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
+    shared = staged(shared, "line-shared-bands")
+    release(distinct.sparkSession)
     members = staged(copied_join(spread, shared, "band", spread_by="node"), "line-bands")
-    discard(signed)
+    discard(signed, shared)
+    # From here on only lines that share a band are read.
+    texts = staged(distinct.select("node", "line").join(members.select("node").distinct(), "node"), "line-texts")
+    discard(distinct)
     stars = staged(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "line-pairs")
-    links = staged(verified(stars, distinct, similarity), "line-links")
+    links = staged(verified(stars, texts, similarity), "line-links")
     discard(stars)
     joined = components(links, "line-stars")
 
@@ -161,15 +228,15 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     rest = apart.join(others, "band").where("oa <> ob and (ob = h or a < b)")
     rest = staged(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-rest")
     discard(known)
-    more = staged(verified(rest, distinct, similarity), "line-more-links")
-    discard(rest)
+    more = staged(verified(rest, texts, similarity), "line-more-links")
+    discard(rest, texts)
     roots = joined if more.isEmpty() else components(links.unionByName(more), "line-components")
 
     # Only lines in a component of several need to be compared by place.
-    placed = roots.join(distinct.select("node", "key", "n"), "node")
+    placed = roots.join(places, "node")
     stays = placed.groupBy("component").agg(F.min(F.struct("key", "n", "node")).alias("m")).select("m.node")
     gone = placed.join(stays, "node", "left_anti").select("node")
-    return distinct.join(gone, "node", "left_anti").select(F.col("key").alias(key), "n", "line")
+    return places.join(gone, "node", "left_anti").select(F.col("key").alias(key), "n")
 
 
 def without_repeats(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
