@@ -1,13 +1,15 @@
 """Fuzzy line deduplication by MinHash.
 
-Lines are compared trimmed. Equal lines are brought together first. A line's set is its character shingles. Their
-hashes fall into bins by their top bits, and a bin's signature row is the least hash, or that of the nearest bin that
-has one. Lines that share a band of signature rows are candidates: each is compared with the band's first line, and
-those not joined by that with the other lines of the band, by the exact Jaccard similarity of the shingles themselves.
-Of each connected component the line that comes first (by document, then place) stays, all other places go.
+Lines are compared trimmed. Equal lines are brought together first, told by the 128 bits of their md5, so that no text is
+shuffled. A line's set is its character shingles. Their 32-bit hashes fall into bins by their top bits, and a bin's
+signature row is the least hash, or that of the first bin with one in an order of its own. Lines that share a band of
+signature rows are candidates: each is compared with the band's first line, and those not joined by that with the other
+lines of the band, by the exact Jaccard similarity of the shingles themselves. Bands are found by sorting (band, line)
+pairs over the cluster; one with very many lines is cut over several tasks. Of each connected component the line that
+comes first (by document, then place) stays, all other places go.
 
-Signatures and verification work on Arrow batches: the form in built-in functions alone was beyond the limits (see the
-README for its figures). Everything else is joins and grouping.
+Signatures, the runs of equal bands and verification work on Arrow batches: the form in built-in functions alone was
+beyond the limits (see the README for its figures). Everything else is joins and grouping.
 
 Blank lines stay where they are. A null text stays null. Rows with a null key are passed through unchanged. A line
 shorter than a shingle is one shingle. Rows of a repeated key are documents of their own, in the order in which the table
@@ -22,21 +24,31 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import components, copied_join, discard, release, slices, spread_join, staged
+from tidemark.llm.common import components, discard, release, slices, spread_join, staged
+from tidemark.session import fits_broadcast
 
 SHINGLE = 5
-BINS_LOG = 6
-BAND_ROWS = 5
-BANDS = 12
+#: 0.991 of the pairs at a similarity of 0.8 share a band, and 3 in 10^9 of those at 0.04, which unrelated lines have.
+BAND_ROWS = 7
+BANDS = 20
+BINS = BAND_ROWS * BANDS
 #: White space that trimming takes away.
 SPACES = " \t\x0b\x0c\r"
-#: Characters worked on at a time: their numbers should stay in a core's cache.
+#: Characters, and lines, worked on at a time: their numbers should stay in a core's cache.
 CHARS = 250_000
+LINES = 1_000
+#: Bytes of a wanted line's place, and how many bytes of places are sent to all tasks.
+_PLACE_BYTES = 64
+PLACES_LIMIT = 64 * 1024 * 1024
 #: Bits of a character in a shingle's number.
 _LETTER = 12
-_EMPTY = np.uint64(2**64 - 1)
+_EMPTY = np.uint32(2**32 - 1)
 _ODD = np.random.default_rng(5).integers(1 << 62, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
+_SMALL_ODD = (_ODD[:8] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+#: For each bin (column) the order in which a bin without a hash asks the others.
+_DONORS = np.random.default_rng(6).permuted(np.tile(np.arange(BINS)[:, None], (1, BINS)), axis=0)
 
 
 def _mixed(h):
@@ -47,62 +59,129 @@ def _mixed(h):
 
 
 def _code_points(lines: list[str]):
-    """The lines' code points one after another, lines shorter than a shingle padded, their sizes, and where a shingle begins."""
+    """The lines' code points one after another, lines shorter than a shingle padded, and their sizes."""
     padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
-    codes = np.frombuffer("".join(padded).encode("utf-32-le"), "<u4").astype(np.uint64)
-    sizes = np.fromiter(map(len, padded), np.int64, len(padded))
-    # Shingles that reach into the next line are left out.
-    inside = np.ones(len(codes), bool)
-    ends = np.cumsum(sizes)
+    codes = np.frombuffer("".join(padded).encode("utf-32-le"), "<u4")
+    return codes, np.fromiter(map(len, padded), np.int64, len(padded))
+
+
+def _shingle_hashes(lines: list[str]):
+    """A hash for every place at which a shingle may begin, `_EMPTY` where it would reach into the next line; the sizes."""
+    codes, sizes = _code_points(lines)
+    whole = max(0, len(codes) - SHINGLE + 1)
+    h = codes[:whole] * _SMALL_ODD[0]
+    part = np.empty_like(h)
+    for i in range(1, SHINGLE):
+        np.multiply(codes[i : i + whole], _SMALL_ODD[i], out=part)
+        h += part
+    for shift, odd in ((15, 5), (13, 6)):
+        np.right_shift(h, np.uint32(shift), out=part)
+        h ^= part
+        h *= _SMALL_ODD[odd]
+    np.right_shift(h, np.uint32(16), out=part)
+    h ^= part
+    ends = np.cumsum(sizes)[:-1]
     for back in range(1, SHINGLE):
-        inside[ends - back] = False
-    return codes, sizes, inside[: len(codes) - SHINGLE + 1]
+        h[ends - back] = _EMPTY
+    return h, sizes
 
 
 def signatures(lines: list[str]) -> np.ndarray:
-    """One row per line, one least shingle hash per bin. A bin without one takes that of the bin nearest in its number's bits."""
-    codes, sizes, inside = _code_points(lines)
-    whole = len(inside)
-    line = np.repeat(np.arange(len(lines)), sizes - SHINGLE + 1)
-    h = codes[:whole] * _ODD[0]
-    for i in range(1, SHINGLE):
-        h += codes[i : i + whole] * _ODD[i]
-    h = _mixed(h[inside])
-    bins = 1 << BINS_LOG
-    low = np.full(len(lines) * bins, _EMPTY)
-    shift = np.uint64(64 - BINS_LOG)
-    np.minimum.at(low, line * bins + (h >> shift).astype(np.int64), h)
-    low = low.reshape(-1, bins)
+    """One row per line, one least shingle hash per bin. A bin without one takes that of the first bin with one in its order."""
+    h, sizes = _shingle_hashes(lines)
+    at = np.repeat(np.arange(len(lines), dtype=np.int64) * BINS, sizes)[: len(h)]
+    at += ((h >> np.uint32(16)) * np.uint32(BINS)) >> np.uint32(16)
+    low = np.full(len(lines) * BINS, _EMPTY)
+    np.minimum.at(low, at, h)
+    low = low.reshape(-1, BINS)
     rows = low.copy()
-    for j in range(BANDS * BAND_ROWS):
-        lacking = np.flatnonzero(low[:, j] == _EMPTY)
-        if len(lacking):
-            known = low[lacking]
-            rows[lacking, j] = np.where(known == _EMPTY, _EMPTY, known ^ (np.uint64(j) << shift)).min(1) ^ (np.uint64(j) << shift)
+    line, lacking = np.nonzero(low == _EMPTY)
+    for donors in _DONORS:
+        if not len(line):
+            break
+        got = low[line, donors[lacking]]
+        rows[line, lacking] = got
+        still = got == _EMPTY
+        line, lacking = line[still], lacking[still]
     return rows
 
 
 def band_hashes(rows: np.ndarray) -> np.ndarray:
     """One hash per line and band."""
-    out = np.empty((len(rows), BANDS), np.uint64)
-    for b in range(BANDS):
-        part = rows[:, b * BAND_ROWS : (b + 1) * BAND_ROWS]
-        out[:, b] = _mixed(_mixed(part * _ODD[:BAND_ROWS]).sum(1, dtype=np.uint64) + np.uint64(b))
-    return out.view(np.int64)
+    parts = rows.astype(np.uint64).reshape(len(rows), BANDS, BAND_ROWS)
+    h = _mixed(parts * _ODD[:BAND_ROWS] + _ODD[BAND_ROWS]).sum(2, dtype=np.uint64)
+    return _mixed(h + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def banded(lines: DataFrame) -> DataFrame:
-    """Rows (node, bands) of rows (node, line)."""
+    """The rows with `bands` instead of `line`."""
+    others = [f for f in lines.schema if f.name != "line"]
+    names = [f.name for f in others]
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "line", CHARS):
-                hashes = band_hashes(signatures(part.column("line").to_pylist()))
-                at = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * BANDS)
-                bands = pa.ListArray.from_arrays(at, pa.array(hashes.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("node"), bands], ["node", "bands"])
+                for start in range(0, part.num_rows, LINES):
+                    few = part.slice(start, LINES)
+                    hashes = band_hashes(signatures(few.column("line").to_pylist()))
+                    at = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * BANDS)
+                    bands = pa.ListArray.from_arrays(at, pa.array(hashes.ravel()))
+                    yield pa.RecordBatch.from_arrays([*[few.column(n) for n in names], bands], [*names, "bands"])
+
+    schema = T.StructType([*others, T.StructField("bands", T.ArrayType(T.LongType()))])
+    return lines.select(*names, "line").mapInArrow(run, schema)
+
+
+def _runs(batches):
+    """Of sorted (band, node) those whose band occurs again, with the band's first node as hub, `kind` 0.
+
+    The first and last band of a task may go on in the tasks beside it. Their hubs come as rows of kind 1, or kind 2 if
+    the band has one node in this task.
+    """
+
+    def out(band, node, hub, kind):
+        kinds = np.full(len(band), kind, np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (band, node, hub, kinds)], ["band", "node", "hub", "kind"])
 
-    return lines.select("node", "line").mapInArrow(run, "node long, bands array<long>")
+    first = held = None  # (band, hub, whether it has several nodes)
+    for batch in batches:
+        band, node = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "node"))
+        if not len(band):
+            continue
+        starts = np.flatnonzero(np.r_[True, band[1:] != band[:-1]])
+        sizes = np.diff(np.r_[starts, len(band)])
+        hubs, several = node[starts].copy(), sizes > 1
+        if held is not None and held[0] == band[0]:
+            if not held[2]:
+                one = np.array([held[1]])
+                yield out(band[:1], one, one, 0)
+            hubs[0], several[0] = held[1], True
+        elif first is None and held is not None:
+            first = held
+        if first is None and len(starts) > 1:
+            first = (band[0], hubs[0], bool(several[0]))
+        keep = np.repeat(several, sizes)
+        yield out(band[keep], node[keep], np.repeat(hubs, sizes)[keep], 0)
+        held = (band[-1], hubs[-1], bool(several[-1]))
+    for edge in {first, held} - {None}:
+        band, hub = np.array([edge[0]]), np.array([edge[1]])
+        yield out(band, hub, hub, 1 if edge[2] else 2)
+
+
+def band_members(signed: DataFrame) -> DataFrame:
+    """Rows (band, node, hub) of rows (node, bands), for bands of several nodes; the hub is a band's least node.
+
+    Sorting cuts the pairs into ranges of (band, node). The bands at the ends of ranges, two a task, are put together.
+    """
+    pairs = signed.select(F.explode("bands").alias("band"), "node")
+    ordered = pairs.repartitionByRange("band", "node").sortWithinPartitions("band", "node")
+    found = staged(ordered.mapInArrow(_runs, "band long, node long, hub long, kind int"), "line-bands")
+    ends = found.where("kind > 0").groupBy("band").agg(F.min("hub").alias("whole"), F.countDistinct("hub").alias("c"))
+    cut = F.broadcast(ends.where("c > 1").drop("c"))  # at most two rows for each task
+    members = found.where("kind <> 1").join(cut, "band", "left").where("kind = 0 or whole is not null")
+    members = members.select("band", "node", F.coalesce("whole", "hub").alias("hub"))
+    members._staged_in = found._staged_in
+    return members
 
 
 def shingles(line: str) -> set[str]:
@@ -121,12 +200,16 @@ def shingle_numbers(lines: list[str]) -> list[np.ndarray] | None:
 
     None if the lines hold more different characters than a number has room for.
     """
-    codes, sizes, inside = _code_points(lines)
+    codes, sizes = _code_points(lines)
     if codes.max(initial=0) >> _LETTER:
         letters, codes = np.unique(codes, return_inverse=True)
         if len(letters) >> _LETTER:
             return None
-        codes = codes.astype(np.uint64)
+    codes = codes.astype(np.uint64)
+    inside = np.ones(len(codes), bool)
+    for back in range(1, SHINGLE):
+        inside[np.cumsum(sizes) - back] = False
+    inside = inside[: len(codes) - SHINGLE + 1]
     h = codes[: len(inside)].copy()
     for i in range(1, SHINGLE):
         h |= codes[i : i + len(inside)] << np.uint64(_LETTER * i)
@@ -191,26 +274,29 @@ def _trimmed(line):
     return F.when(reduce(or_, ends), F.trim(line, F.lit(SPACES))).otherwise(line)
 
 
+def _lines(docs: DataFrame, key, text) -> DataFrame:
+    """Rows (key, n, line) of the lines that aren't blank."""
+    each = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n")).alias("n", "raw"))
+    return each.select("key", "n", _trimmed(F.col("raw")).alias("line")).where("line <> ''")
+
+
 def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
     """Rows (key, n): the places of lines that stay, blank ones not included."""
-    each = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n")).alias("n", "raw"))
-    each = each.select("key", "n", _trimmed(F.col("raw")).alias("line")).where("line <> ''")
-    first = each.groupBy("line").agg(F.min(F.struct("key", "n")).alias("place"))
+    each = _lines(docs, key, text)
+    signed = banded(each.select("key", "n", F.unhex(F.md5("line")).alias("digest"), "line"))
+    first = signed.groupBy("digest").agg(F.min(F.struct("key", "n")).alias("place"), F.first("bands").alias("bands"))
     first = first.withColumn("node", F.monotonically_increasing_id())
     # Numbers are given once, as the table is written.
-    distinct = staged(first.select("node", "line", "place.key", "place.n"), "distinct-lines")
+    distinct = staged(first.select("node", "place.key", "place.n", "bands"), "distinct-lines")
     release(distinct.sparkSession)
     places = staged(distinct.select("node", "key", "n"), "line-places")
-    signed = staged(banded(distinct), "line-signatures")
-    spread = signed.select("node", F.explode("bands").alias("band"))
-    shared = spread.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
-    shared = staged(shared, "line-shared-bands")
-    release(distinct.sparkSession)
-    members = staged(copied_join(spread, shared, "band", spread_by="node"), "line-bands")
-    discard(signed, shared)
-    # From here on only lines that share a band are read.
-    texts = staged(distinct.select("node", "line").join(members.select("node").distinct(), "node"), "line-texts")
+    members = band_members(distinct)
     discard(distinct)
+    # From here on only lines that share a band are read.
+    wanted = staged(places.join(members.select("node").distinct(), "node"), "line-wanted")
+    few = fits_broadcast(wanted.count(), _PLACE_BYTES, PLACES_LIMIT)
+    texts = staged(each.join(F.broadcast(wanted) if few else wanted, ["key", "n"]).select("node", "line"), "line-texts")
+    discard(wanted)
     stars = staged(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "line-pairs")
     links = staged(verified(stars, texts, similarity), "line-links")
     discard(stars)
