@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
@@ -380,6 +381,42 @@ def test_line_bands_find_similar_lines():
     assert line_minhash.similar("ab", "ab", 0.8) and not line_minhash.similar("ab", "abc", 0.8)
 
 
+def test_rare_shingles_leave_no_similar_pair_out(spark):
+    """Long common passages with ends of their own: many pairs just over and just under the similarity."""
+    rng = random.Random(5)
+    made = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    common = [made(200) for _ in range(2)]
+    lines = [made(rng.randint(0, 30)) + rng.choice(common) + made(rng.randint(0, 40)) for _ in range(90)] + ["a", "ab", "x" * 900]
+    rows = [(i, i // 2, i % 3 == 0, x) for i, x in enumerate(lines)]
+    found = line_minhash.rare_pairs(spark.createDataFrame(rows, "node long, own long, apart boolean, line string"), 0.8)
+    pairs = {(r.a, r.b) for r in found.collect()}
+    asked = [(x, y) for x, y in itertools.combinations(rows, 2) if x[1] != y[1] and (x[2] or y[2])]
+    near = {(x[0], y[0]) for x, y in asked if line_minhash.similar(x[3], y[3], 0.8)}
+    assert len(near) > 50 and near <= pairs <= {(x[0], y[0]) for x, y in asked} and len(pairs) < 0.8 * len(asked)
+
+
+def test_runs_of_bands_go_on_over_batches_and_tasks(spark):
+    rng = random.Random(9)
+    rows = sorted((rng.randrange(12) ** 2, n) for n in range(300))
+    by_band = {}
+    for band, node in rows:
+        by_band.setdefault(band, []).append(node)
+    want = sorted((b, n, min(nodes)) for b, nodes in by_band.items() if len(nodes) > 1 for n in nodes)
+    for size in (1, 2, 7, 300):
+        batches = [pa.RecordBatch.from_pylist([{"band": b, "node": n} for b, n in rows[i : i + size]]) for i in range(0, 300, size)]
+        got = [r for out in line_minhash._runs(batches) for r in out.to_pylist()]
+        assert sorted((r["band"], r["node"], r["hub"]) for r in got if r["kind"] == 0) == want
+        assert {r["band"] for r in got if r["kind"]} == {rows[0][0], rows[-1][0]}
+    signed = spark.createDataFrame([(n, [b, -1 - n % 2]) for b, n in rows], "node long, bands array<long>")
+    want += [(-1 - n % 2, n, n % 2) for _, n in rows]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = line_minhash.band_members(signed.repartition(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.band, r.node, r.hub) for r in found) == sorted(want)
+
+
 def test_numbered_shingles_decide_as_sets_do():
     """Also for lines shorter than a shingle, zero characters and more different characters than a number has room for."""
     rng = random.Random(11)

@@ -3,10 +3,11 @@
 Lines are compared trimmed. Equal lines are brought together first, told by the 128 bits of their md5, so that no text is
 shuffled. A line's set is its character shingles. Their 32-bit hashes fall into bins by their top bits, and a bin's
 signature row is the least hash, or that of the first bin with one in an order of its own. Lines that share a band of
-signature rows are candidates: each is compared with the band's first line, and those not joined by that with the other
-lines of the band, by the exact Jaccard similarity of the shingles themselves. Bands are found by sorting (band, line)
-pairs over the cluster; one with very many lines is cut over several tasks. Of each connected component the line that
-comes first (by document, then place) stays, all other places go.
+signature rows are candidates: each is compared with the band's first line by the exact Jaccard similarity of the shingles
+themselves. Lines of a band that this leaves apart from its first line are compared with those lines only of bands of
+their kind that share one of their rarest shingles, as any similar line must (see `rare_pairs`), never with all lines of
+a band. Bands are found by sorting (band, line) pairs over the cluster; one with very many lines is cut over several
+tasks. Of each connected component the line that comes first (by document, then place) stays, all other places go.
 
 Signatures, the runs of equal bands and verification work on Arrow batches: the form in built-in functions alone was
 beyond the limits (see the README for its figures). Everything else is joins and grouping.
@@ -17,6 +18,7 @@ is read; so ties can't occur, as places are unique. Texts of any length are whol
 `dedupe` leaves extra columns out; `without_repeats` keeps them and expects a unique key.
 """
 
+import math
 from functools import reduce
 from operator import or_
 
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import components, discard, release, slices, spread_join, staged
+from tidemark.operators.matching import SPREAD, matched
 from tidemark.session import fits_broadcast
 
 SHINGLE = 5
@@ -42,6 +45,8 @@ LINES = 1_000
 #: Bytes of a wanted line's place, and how many bytes of places are sent to all tasks.
 _PLACE_BYTES = 64
 PLACES_LIMIT = 64 * 1024 * 1024
+#: Shingles are counted by this many groups of hashes; more frequent groups come later in a line's order.
+COUNTERS = 1 << 18
 #: Bits of a character in a shingle's number.
 _LETTER = 12
 _EMPTY = np.uint32(2**32 - 1)
@@ -268,6 +273,93 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
     return both.select("a", "b", "la", "lb").mapInArrow(run, "a long, b long")
 
 
+def _shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """Each line's distinct shingles as 64-bit hashes."""
+    codes, sizes = _code_points(lines)
+    codes = codes.astype(np.uint64)
+    whole = len(codes) - SHINGLE + 1
+    h = codes[:whole] * _ODD[0]
+    for i in range(1, SHINGLE):
+        h += codes[i : i + whole] * _ODD[i]
+    h = _mixed(h)
+    ends = np.cumsum(sizes).tolist()
+    return [np.unique(h[start : end - SHINGLE + 1]) for start, end in zip([0, *ends], ends)]
+
+
+def shingle_counts(lines: DataFrame) -> np.ndarray:
+    """In how many lines the shingles of each of `COUNTERS` groups occur: a table of fixed size."""
+
+    def run(batches):
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for part in slices(batch, "line", CHARS):
+                for own in _shingle_sets(part.column("line").to_pylist()):
+                    np.add.at(counts, (own % np.uint64(COUNTERS)).astype(np.int64), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["at", "c"])
+
+    found = lines.select("line").mapInArrow(run, "at long, c long").groupBy("at").agg(F.sum("c").alias("c")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found.column("at").to_numpy()] = found.column("c").to_numpy()
+    return counts
+
+
+def _ceiling(x: float) -> int:
+    return math.ceil(x - 1e-9)
+
+
+def rare_shingles(lines: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
+    """Rows (shingle, node, own, apart, i, m, short) of rows (node, own, apart, line).
+
+    A line's m shingles stand in one order for all lines, rarer ones first. The first of them are given, at place i, as
+    many as a line needs to meet one of the other's where it is the longer, and `short` where it is the shorter of a pair.
+    """
+    names = ["shingle", "node", "own", "apart", "i", "m", "short"]
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "line", CHARS):
+                sets = _shingle_sets(part.column("line").to_pylist())
+                shingle, place, size, short = [], [], [], []
+                for own in sets:
+                    m = len(own)
+                    order = np.lexsort((own, counts[(own % np.uint64(COUNTERS)).astype(np.int64)]))
+                    n = m - _ceiling(similarity * m) + 1
+                    shingle.append(own[order[:n]].view(np.int64))
+                    place.append(np.arange(len(shingle[-1]), dtype=np.int32))
+                    size.append(m)
+                    short.append(place[-1] < m - _ceiling(2 * similarity / (1 + similarity) * m) + 1)
+                times = [len(x) for x in shingle]
+                line = np.repeat(np.arange(len(sets)), times)
+                cells = [part.column(c).take(pa.array(line)) for c in ("node", "own", "apart")]
+                sizes = pa.array(np.repeat(size, times).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(shingle)), *cells, pa.array(np.concatenate(place)), sizes, pa.array(np.concatenate(short))], names
+                )
+
+    rows = lines.select("node", "own", "apart", "line")
+    return rows.mapInArrow(run, "shingle long, node long, own long, apart boolean, i int, m int, short boolean")
+
+
+def rare_pairs(lines: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) of lines (node, own, apart, line), one of them apart and their `own` different, that may be similar.
+
+    Lines at the similarity have `need` shingles in common. The first common one is so early in both that as many are
+    left after it, so it is among the rarest of either. No similar pair is left out; most others are.
+    """
+    rare = staged(rare_shingles(lines, shingle_counts(lines), similarity), "line-rare-shingles")
+    x, y = rare.where("short").alias("x"), rare.alias("y")
+    need = f"{similarity / (1 + similarity)!r} * (x.m + y.m) - 1e-6"
+    same = "x.shingle = y.shingle and x.own <> y.own and (x.m < y.m or x.m = y.m and x.node <> y.node)"
+    near = F.expr(f"{same} and least(x.m - x.i, y.m - y.i) >= {need}")
+    ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+    apart = x.where("apart").join(y, near).select(*ends)
+    others = x.where("not apart").join(y.where("apart"), near).select(*ends)
+    pairs = staged(apart.unionByName(others).distinct(), "line-rest")
+    discard(rare)
+    return pairs
+
+
 def _trimmed(line):
     """Trimming itself looks at every character, so it is left to lines with white space at an end."""
     ends = [at for c in SPACES for at in (line.startswith(c), line.endswith(c))]
@@ -302,18 +394,20 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     discard(stars)
     joined = components(links, "line-stars")
 
-    # Lines of a band that its first line did not bring together are compared with the band's other lines.
+    # Lines of a band that its first line did not bring together.
     labels = joined.select("node", F.col("component").alias("own"))
     known = spread_join(members, labels, "node", spread_by="band")
     hubs = labels.select(F.col("node").alias("hub"), F.col("own").alias("hub_own"))
     known = spread_join(known, hubs, "hub", spread_by="node")
-    known = staged(known.select("band", "node", "hub", F.coalesce("own", "node").alias("own"), F.coalesce("hub_own", "hub").alias("hub_own")), "line-band-labels")
+    known = known.select("band", "node", F.coalesce("own", "node").alias("own"), (F.coalesce("own", "node") != F.coalesce("hub_own", "hub")).alias("apart"))
+    known = staged(known, "line-band-labels")
     discard(members)
-    apart = known.where("own <> hub_own").select("band", F.col("node").alias("a"), F.col("own").alias("oa"))
-    others = known.where("node <> hub").select("band", F.col("node").alias("b"), F.col("own").alias("ob"), F.col("hub_own").alias("h"))
-    rest = apart.join(others, "band").where("oa <> ob and (ob = h or a < b)")
-    rest = staged(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-rest")
+    mixed = matched(known, known.where("apart").select("band").distinct(), "band", SPREAD)
+    mixed = mixed.groupBy("node").agg(F.first("own").alias("own"), F.max("apart").alias("apart"))
+    mixed = staged(mixed.join(texts, "node").select("node", "own", "apart", "line"), "line-apart")
     discard(known)
+    rest = rare_pairs(mixed, similarity)
+    discard(mixed)
     more = staged(verified(rest, texts, similarity), "line-more-links")
     discard(rest, texts)
     roots = joined if more.isEmpty() else components(links.unionByName(more), "line-components")
