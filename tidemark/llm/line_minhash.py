@@ -47,6 +47,8 @@ _PLACE_BYTES = 64
 PLACES_LIMIT = 64 * 1024 * 1024
 #: Shingles are counted by this many groups of hashes; more frequent groups come later in a line's order.
 COUNTERS = 1 << 18
+#: Bits of a line's parities.
+PARITIES = 256
 #: Bits of a character in a shingle's number.
 _LETTER = 12
 _EMPTY = np.uint32(2**32 - 1)
@@ -309,18 +311,20 @@ def _ceiling(x: float) -> int:
 
 
 def rare_shingles(lines: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
-    """Rows (shingle, node, own, apart, i, m, short) of rows (node, own, apart, line).
+    """Rows (shingle, node, own, apart, i, m, short, p0...) of rows (node, own, apart, line).
 
     A line's m shingles stand in one order for all lines, rarer ones first. The first of them are given, at place i, as
     many as a line needs to meet one of the other's where it is the longer, and `short` where it is the shorter of a pair.
+    A shingle turns one bit of the line's parities over, so two lines' parities differ in no more bits than shingles.
     """
-    names = ["shingle", "node", "own", "apart", "i", "m", "short"]
+    words = [f"p{j}" for j in range(PARITIES // 64)]
+    names = ["shingle", "node", "own", "apart", "i", "m", "short", *words]
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "line", CHARS):
                 sets = _shingle_sets(part.column("line").to_pylist())
-                shingle, place, size, short = [], [], [], []
+                shingle, place, size, short, parities = [], [], [], [], []
                 for own in sets:
                     m = len(own)
                     order = np.lexsort((own, counts[(own % np.uint64(COUNTERS)).astype(np.int64)]))
@@ -328,30 +332,35 @@ def rare_shingles(lines: DataFrame, counts: np.ndarray, similarity: float) -> Da
                     shingle.append(own[order[:n]].view(np.int64))
                     place.append(np.arange(len(shingle[-1]), dtype=np.int32))
                     size.append(m)
+                    odd = np.bincount((own >> np.uint64(40)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
+                    parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                     short.append(place[-1] < m - _ceiling(2 * similarity / (1 + similarity) * m) + 1)
                 times = [len(x) for x in shingle]
                 line = np.repeat(np.arange(len(sets)), times)
                 cells = [part.column(c).take(pa.array(line)) for c in ("node", "own", "apart")]
                 sizes = pa.array(np.repeat(size, times).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(shingle)), *cells, pa.array(np.concatenate(place)), sizes, pa.array(np.concatenate(short))], names
-                )
+                own = [pa.array(np.concatenate(x)) for x in (shingle, place, short)]
+                bits = [pa.array(x) for x in np.ascontiguousarray(np.array(parities)[line].T)]
+                yield pa.RecordBatch.from_arrays([own[0], *cells, own[1], sizes, own[2], *bits], names)
 
     rows = lines.select("node", "own", "apart", "line")
-    return rows.mapInArrow(run, "shingle long, node long, own long, apart boolean, i int, m int, short boolean")
+    kinds = "shingle long, node long, own long, apart boolean, i int, m int, short boolean"
+    return rows.mapInArrow(run, ", ".join([kinds, *[f"{w} long" for w in words]]))
 
 
 def rare_pairs(lines: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs (a, b) of lines (node, own, apart, line), one of them apart and their `own` different, that may be similar.
 
     Lines at the similarity have `need` shingles in common. The first common one is so early in both that as many are
-    left after it, so it is among the rarest of either. No similar pair is left out; most others are.
+    left after it, so it is among the rarest of either; and their parities differ in no more bits than they have shingles
+    that are not common. No similar pair is left out; most others are, within the join.
     """
     rare = staged(rare_shingles(lines, shingle_counts(lines), similarity), "line-rare-shingles")
     x, y = rare.where("short").alias("x"), rare.alias("y")
     need = f"{similarity / (1 + similarity)!r} * (x.m + y.m) - 1e-6"
     same = "x.shingle = y.shingle and x.own <> y.own and (x.m < y.m or x.m = y.m and x.node <> y.node)"
-    near = F.expr(f"{same} and least(x.m - x.i, y.m - y.i) >= {need}")
+    differ = " + ".join(f"bit_count(x.p{j} ^ y.p{j})" for j in range(PARITIES // 64))
+    near = F.expr(f"{same} and least(x.m - x.i, y.m - y.i) >= {need} and {differ} <= x.m + y.m - 2 * ({need})")
     ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     apart = x.where("apart").join(y, near).select(*ends)
     others = x.where("not apart").join(y.where("apart"), near).select(*ends)
