@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.tables import FACT, FACT_COLUMNS, PAYLOAD, RECORDS, percent
 from checks import fixtures as fx
-from tidemark.operators import enrich, upsert, validate
+from tidemark.operators import dedupe, enrich, upsert, validate
 from tidemark.plans import backfill, load, maintain, replay, reports
+from tidemark.plans import retention as retention_job
 from tidemark.schema import FACT_COLUMNS as FACT_NAMES
 from tidemark.session import work_folder
 from tidemark.sources import keys, landing, records, rejects
@@ -360,6 +361,81 @@ def publish_keyed(spark, sf_dir):
     return spark.read.schema("key string, value string").json(folder)
 
 
+def _zones(spark, sf_dir):
+    """A root with landed lines, rejects and replayed ids of a month, and the root of its seen keys."""
+    root = work_folder(spark, "zones")
+    checked = validate.check(fx.records(spark, sf_dir))
+    good = validate.good(checked)
+    landing.land(enrich.enrich(good).withColumn("delivered_at", F.date_trunc("day", "arrival_ts")), root)
+    rejects.store(rejects.as_rejects(validate.bad(checked), F.col("arrival_ts")), root)
+    replay.replay(rejects.drain(rejects.read(spark, root)), f"{root}/replayed", fx.AS_OF, path=f"{root}/target")
+    keys.add(dedupe.seen_keys(good, F.col("arrival_ts")), f"{root}/keys", "run")
+    return root, f"{root}/keys"
+
+
+def _rows_by_day(spark, root, keys_root):
+    """Rows of every day that has files, whether in use or not."""
+    counted = None
+    for name, zone in retention_job.zones(root, keys_root).items():
+        for day, folder in zone.held(spark).items():
+            files = spark.read.option("recursiveFileLookup", "true")
+            stored = files.parquet(folder) if name in ("replayed", "keys") else files.text(folder)
+            one = stored.agg(F.lit(name).alias("zone"), F.lit(day).alias("day"), F.count(F.lit(1)).alias("rows"))
+            counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
+_ZONE_NOW = dt.datetime(2024, 1, 31, 12, tzinfo=dt.timezone.utc)
+_ZONE_DAYS = f"""{RECORDS}, stored AS (
+  SELECT 'landing' AS zone, CAST(arrival_ts AS DATE) AS day, DATE '2024-01-11' AS first
+  FROM first_records WHERE error_type IS NULL
+  UNION ALL SELECT 'keys', CAST(arrival_ts AS DATE), DATE '2024-01-30' FROM first_records WHERE error_type IS NULL
+  UNION ALL SELECT 'rejects', CAST(arrival_ts AS DATE), DATE '2024-01-17' FROM first_records WHERE error_type IS NOT NULL
+  UNION ALL SELECT 'replayed', CAST(arrival_ts AS DATE), DATE '2024-01-17'
+  FROM first_records WHERE error_type IS NOT NULL AND error_type NOT IN ('bad_json', 'bad_encoding'))"""
+
+
+@query(f"WITH {_ZONE_DAYS} SELECT zone, day, count(*) AS rows FROM stored WHERE day >= first GROUP BY 1, 2")
+def expire_zones(spark, sf_dir):
+    """What lies on disk of a month in four zones after retention: 20 days of events, 14 of rejects, a day of keys."""
+    root, keys_root = _zones(spark, sf_dir)
+    retention_job.expire(spark, root, _ZONE_NOW, keys_root, event_days=20, grace_seconds=0)
+    return _rows_by_day(spark, root, keys_root)
+
+
+@query(f"WITH {_ZONE_DAYS} SELECT zone, count(*) AS rows, count(*) FILTER (day >= first) AS in_use FROM stored GROUP BY 1")
+def retire_zones(spark, sf_dir):
+    """Within the grace all files are still there, and readers see the days in use only."""
+    root, keys_root = _zones(spark, sf_dir)
+    retention_job.expire(spark, root, _ZONE_NOW, keys_root, event_days=20)
+    read = {
+        "landing": landing.read_lines(spark, root),
+        "rejects": rejects.read(spark, root),
+        "replayed": replay.replayed(spark, f"{root}/replayed")[0],
+        "keys": keys.read(spark, keys_root, "2024-01-01 00:00:00"),
+    }
+    seen = None
+    for name, rows in read.items():
+        one = rows.agg(F.lit(name).alias("zone"), F.count(F.lit(1)).alias("in_use"))
+        seen = one if seen is None else seen.unionByName(one)
+    every = _rows_by_day(spark, root, keys_root).groupBy("zone").agg(F.sum("rows").alias("rows"))
+    return every.join(seen, "zone")
+
+
+@query(f"""WITH {RECORDS}, bad AS (SELECT *, CAST(arrival_ts AS DATE) AS day FROM first_records WHERE error_type IS NOT NULL)
+SELECT error_type, count(*) AS rejects FROM bad
+WHERE day >= DATE '2024-01-20' AND (error_type IN ('bad_json', 'bad_encoding') OR day >= DATE '2024-01-25') GROUP BY 1""")
+def replay_open_by_day(spark, sf_dir):
+    """Rejects still open after those before a day were replayed, among the days in use."""
+    root = work_folder(spark, "replay-days")
+    bad = validate.bad(validate.check(fx.records(spark, sf_dir)))
+    rejects.store(rejects.as_rejects(bad, F.col("arrival_ts")), root)
+    early = rejects.read(spark, root).where("rejected_at < '2024-01-25'")
+    replay.replay(early, f"{root}/replayed", fx.AS_OF, path=f"{root}/target")
+    retention_job.expire(spark, root, dt.datetime(2024, 2, 3, tzinfo=dt.timezone.utc))
+    return rejects.by_type(replay.open_rejects(spark, root))
+
+
 @query(f"WITH {FACT} SELECT event_id, event_ts FROM fact WHERE event_ts >= TIMESTAMP '2024-01-11'")
 def retention(spark, sf_dir):
     rows = maintain.retained(fx.fact(spark, sf_dir), "2024-01-31 12:00:00", days=20)

@@ -7,9 +7,9 @@ import json
 from pyspark.sql import functions as F
 
 from tidemark.functions import timing
-from tidemark.plans import health, load, maintain, replay, reports
+from tidemark.plans import health, load, maintain, replay, reports, retention
 from tidemark.session import build_session
-from tidemark.sources import folders, landing, records, rejects
+from tidemark.sources import landing, records, rejects
 from tidemark.sources.fact import FactTable
 from tidemark.streaming import loader, transform_job
 
@@ -90,10 +90,13 @@ def parser():
     job.add_argument("--as-of")
 
     job = commands.add_parser("maintain", help="compact, apply retention, remove unused folders")
-    job.add_argument("--table", required=True)
+    job.add_argument("--table", help="fact table, for the next three")
     job.add_argument("--compact", action="store_true")
     job.add_argument("--retention-days", type=int)
     job.add_argument("--purge", action="store_true")
+    job.add_argument("--expire", metavar="ROOT", help="root of landing zone, rejects and replayed ids to expire")
+    job.add_argument("--keys", help="root of seen keys to expire with them")
+    job.add_argument("--grace", type=int, default=retention.GRACE_SECONDS, help="seconds from retiring days to deleting them")
     return top
 
 
@@ -105,13 +108,6 @@ def _replayed_root(root):
     return f"{root}/replayed"
 
 
-def _open_rejects(spark, root):
-    stored = rejects.read(spark, root)
-    if all(n.startswith("_") for n in folders.names(spark, _replayed_root(root))):  # nothing was replayed yet
-        return stored
-    return replay.remaining(stored, spark.read.parquet(_replayed_root(root)))
-
-
 def run(spark, args):
     now = dt.datetime.now(dt.timezone.utc)
     if args.command == "transform":
@@ -143,7 +139,7 @@ def run(spark, args):
             events = table.read()
         REPORTS[args.name](events, as_of=as_of).show(1000, False)
     elif args.command == "replay":
-        drained = rejects.drain(replay.sendable(_open_rejects(spark, args.rejects)), args.max_messages)
+        drained = rejects.drain(replay.sendable(replay.open_rejects(spark, args.rejects)), args.max_messages)
         if args.dry_run:
             plan = replay.dry_run(replay.unwrap(drained))
             plan.pop("samples").show(truncate=False)
@@ -159,11 +155,15 @@ def run(spark, args):
         latest = health.latest_points(health.shard_points(stored, args.interval), args.as_of, args.interval)
         health.shard_utilisation(shards, latest, args.interval).show(1000, False)
     elif args.command == "maintain":
-        table = FactTable(spark, args.table)
+        if args.table is None and (args.compact or args.purge or args.retention_days is not None):
+            raise SystemExit("name the --table")
+        table = FactTable(spark, args.table) if args.table else None
         if args.compact:
             print(json.dumps({"compacted": maintain.compact(table)}))
         if args.retention_days is not None:
             maintain.apply_retention(table, now.date(), args.retention_days)
+        if args.expire:
+            print(json.dumps({"expired": retention.expire(spark, args.expire, now, args.keys, grace_seconds=args.grace)}))
         if args.purge:
             print(json.dumps({"removed_folders": table.purge()}))
 

@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 from tidemark.functions import timing
 from tidemark.operators.dedupe import live_keys
 from tidemark.schema import KEY_MEMORY_SECONDS, SEEN_KEY_SCHEMA
-from tidemark.sources import folders
+from tidemark.sources import days, folders
 
 _STORED = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SEEN_KEY_SCHEMA) + ", key_date date, run_id string"
 
 
+def zone(root: str) -> days.Zone:
+    return days.Zone(root, ("key_date",))
+
+
 def read(spark: SparkSession, root: str, as_of=None, without_run: str | None = None) -> DataFrame:
     """Keys still remembered; older dates are not opened.
 
@@ -18,7 +22,7 @@ def read(spark: SparkSession, root: str, as_of=None, without_run: str | None = N
     """
     if not folders.names(spark, root):
         return spark.createDataFrame([], SEEN_KEY_SCHEMA)
-    stored = spark.read.schema(_STORED).parquet(root)
+    stored = days.in_use(spark.read.schema(_STORED).parquet(root), zone(root))
     first = timing.as_of_column(as_of) - timing.seconds(KEY_MEMORY_SECONDS)
     stored = stored.where(F.col("key_date") >= F.to_date(first))
     if without_run is not None:

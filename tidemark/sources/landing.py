@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import flatten
 from tidemark.schema import EVENT_RETENTION_DAYS
-from tidemark.sources import folders
+from tidemark.sources import days, folders
 
 HOUR_PARTS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
 
@@ -65,12 +65,16 @@ def land_parquet(lines: DataFrame, root: str, batch_id="0", delivered: str = "de
     )
 
 
+def zone(root: str) -> days.Zone:
+    return days.Zone(f"{root}/events")
+
+
 def read_lines(spark: SparkSession, root: str, year=None, month=None, day=None, hour=None, batch_id=None) -> DataFrame:
     """Landed lines as `line`, `file` and the partition columns.
 
     Given parts become partition filters: other folders are not read.
     """
-    lines = spark.read.schema(_TEXT_SCHEMA).text(f"{root}/events")
+    lines = days.in_use(spark.read.schema(_TEXT_SCHEMA).text(f"{root}/events"), zone(root))
     for name, value in (("year", year), ("month", month), ("day", day), ("hour", hour)):
         if value is not None:
             width = 4 if name == "year" else 2
@@ -103,7 +107,7 @@ def stream_lines(spark: SparkSession, root: str, max_files: int = 1_000, below:
 
 
 def expire(spark: SparkSession, root: str, today: dt.date, days: int = EVENT_RETENTION_DAYS, zone: str = "events") -> list:
-    """Remove whole days older than the retention; returns the removed folders.
+    """Remove whole days older than the retention at once; returns the removed folders. `plans.retention` does it in two steps.
 
     Rejects go the same way with `zone='errors'` and their own retention.
     """

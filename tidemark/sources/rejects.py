@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from tidemark.schema import REJECT_SCHEMA
+from tidemark.sources import days
 from tidemark.sources.landing import HOUR_PARTS
 
 DAY_PARTS = ("year", "month", "day")
@@ -49,8 +50,13 @@ def store(rejects: DataFrame, root: str, batch_id="0") -> None:
     )
 
 
+def zone(root: str) -> days.Zone:
+    return days.Zone(f"{root}/errors")
+
+
 def read(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(f"{_STORED}, {_PARTS}").json(f"{root}/errors")
+    """Rejects of the days that aren't retired."""
+    return days.in_use(spark.read.schema(f"{_STORED}, {_PARTS}").json(f"{root}/errors"), zone(root))
 
 
 def drain(rejects: DataFrame, limit: int | None = None) -> DataFrame:
