@@ -15,7 +15,7 @@ from tidemark.schema import DELIVERY_SCHEMA, RECORD_SCHEMA
 FILE_FORMATS = ("parquet", "json", "orc", "csv")
 
 # What a source may admit to one batch where the caller sets no bound, so that a backlog is caught up with in many.
-ADMISSION = {"files": {"maxBytesPerTrigger": "4g"}, "kafka": {"maxOffsetsPerTrigger": "10000000"}}
+ADMISSION = {"files": {"maxBytesPerTrigger": str(4 << 30)}, "kafka": {"maxOffsetsPerTrigger": "10000000"}}
 _BOUNDS = {"maxfilespertrigger", "maxbytespertrigger", "maxoffsetspertrigger"}
 
 # Record columns from what a message connector delivers.
