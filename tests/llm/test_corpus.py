@@ -28,7 +28,7 @@ from tidemark.llm import (
     span_crf,
     string_kernel,
 )
-from tidemark.llm.common import components, sampled, sampled_texts
+from tidemark.llm.common import components, held_out, sampled, sampled_texts
 
 SF = "/root/testdata/sf0.001"
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -604,3 +604,9 @@ def test_more_than_64_languages(spark):
     assert len(model[0]) == 70
     got = {r.doc_id: r.lang_pred for r in language_masks.predict(docs, model).collect()}
     assert got == {i: lang for i, _, lang in rows}
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    docs = spark.createDataFrame([(None,), (1,), (2,), (7,)], "doc_id long")
+    got = {r.doc_id: r.h for r in docs.select("doc_id", held_out("doc_id", 4, 2).alias("h")).collect()}
+    assert got == {None: False} | {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in (1, 2, 7)}

@@ -48,8 +48,8 @@ def stored_rows(df: DataFrame) -> int:
 
 
 def held_out(doc_id, parts: int, part: int):
-    """Whether crc32 of the id as text leaves `part` when divided by `parts`."""
-    return F.crc32(F.col(doc_id).cast("string")) % parts == part
+    """Whether crc32 of the id as text leaves `part` when divided by `parts`; false for a null id."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts == part, F.lit(False))
 
 
 def drawn(marked: DataFrame, n: int, salts=16) -> DataFrame:
