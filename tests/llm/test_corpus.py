@@ -395,6 +395,50 @@ def test_rare_shingles_leave_no_similar_pair_out(spark):
     assert len(near) > 50 and near <= pairs <= {(x[0], y[0]) for x, y in asked} and len(pairs) < 0.8 * len(asked)
 
 
+def test_long_unlike_lines_of_one_vocabulary_are_not_compared(spark):
+    rng = random.Random(8)
+    syllables = ["".join(rng.choices("aeinrst", k=3)) for _ in range(60)]
+    lines = ["".join(rng.choices(syllables, k=rng.randint(300, 340))) for _ in range(40)]
+    lines.append(lines[0][:-9] + "#")
+    rows = [(i, i, True, x) for i, x in enumerate(lines)]
+    found = line_minhash.rare_pairs(spark.createDataFrame(rows, "node long, own long, apart boolean, line string"), 0.8).collect()
+    pairs = [(r.a, r.b) for r in found]
+    assert (0, 40) in pairs and len(pairs) < 40
+
+
+def test_lines_of_a_band_are_all_compared_but_not_with_its_first_again(spark, monkeypatch):
+    monkeypatch.setattr(line_minhash, "FEW", 5)
+    rng = random.Random(4)
+    base = ["".join(rng.choices("abcdefghij klm", k=120)) for _ in range(6)]
+    lines = [rng.choice(base)[: rng.randint(90, 120)] for _ in range(60)]
+    own = [rng.choice([i, 0, 1]) for i in range(60)]
+    bands = {b: sorted(rng.sample(range(60), size)) for b, size in enumerate([2] * 20 + [3, 4, 5] * 8 + [6, 30])}
+    known = [(b, n, own[n], own[n] != own[nodes[0]], n == nodes[0]) for b, nodes in bands.items() for n in nodes]
+    known = spark.createDataFrame(known, "band long, node long, own long, apart boolean, first boolean")
+    texts = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    found = [(r.a, r.b) for r in line_minhash.rest_pairs(known, texts, 0.8).collect()]
+
+    def asked(few):
+        return {
+            (x, y) for nodes in bands.values() if (len(nodes) <= 5) == few for x, y in itertools.combinations(nodes[1:], 2)
+            if own[x] != own[y] and {own[x], own[y]} != {own[nodes[0]]} and (own[x] != own[nodes[0]] or own[y] != own[nodes[0]])
+        }
+
+    large = {n for nodes in bands.values() if len(nodes) > 5 for n in nodes}
+    near = {p for p in asked(False) if line_minhash.similar(lines[p[0]], lines[p[1]], 0.8)}
+    assert len(found) == len(set(found)) and len(near) > 10 and asked(True) | near <= set(found)
+    assert all(p in asked(True) or set(p) <= large for p in found)
+
+
+def test_merged_components_are_those_of_all_links(spark):
+    rng = random.Random(2)
+    links = [tuple(rng.sample(range(100), 2)) for _ in range(70)]
+    one, two = (spark.createDataFrame(x, "a long, b long") for x in (links[:40], links[40:]))
+    got = {r.node: r.component for r in line_minhash.merged(components(one, "t"), two).collect()}
+    roots = roots_of(100, links)
+    assert got == {n: roots[n] for link in links for n in link}
+
+
 def test_runs_of_bands_go_on_over_batches_and_tasks(spark):
     rng = random.Random(9)
     rows = sorted((rng.randrange(12) ** 2, n) for n in range(300))

@@ -4,10 +4,11 @@ Lines are compared trimmed. Equal lines are brought together first, told by the
 shuffled. A line's set is its character shingles. Their 32-bit hashes fall into bins by their top bits, and a bin's
 signature row is the least hash, or that of the first bin with one in an order of its own. Lines that share a band of
 signature rows are candidates: each is compared with the band's first line by the exact Jaccard similarity of the shingles
-themselves. Lines of a band that this leaves apart from its first line are compared with those lines only of bands of
-their kind that share one of their rarest shingles, as any similar line must (see `rare_pairs`), never with all lines of
-a band. Bands are found by sorting (band, line) pairs over the cluster; one with very many lines is cut over several
-tasks. Of each connected component the line that comes first (by document, then place) stays, all other places go.
+themselves. A line of a band that this leaves apart from its first line is compared with the others of its band where
+the band has few lines (a band of two is done); in larger bands with the lines only of such bands that share one of its
+rarest shingles, as any similar line must (see `rare_pairs`), never with all lines of a band. So unlike lines that meet by
+chance, which most lines apart are, cost no more than their own small bands. Bands are found by sorting (band, line) pairs
+over the cluster; one with very many lines is cut over several tasks. Of each connected component the line that comes first (by document, then place) stays, all other places go.
 
 Signatures, the runs of equal bands and verification work on Arrow batches: the form in built-in functions alone was
 beyond the limits (see the README for its figures). Everything else is joins and grouping.
@@ -47,8 +48,10 @@ _PLACE_BYTES = 64
 PLACES_LIMIT = 64 * 1024 * 1024
 #: Shingles are counted by this many groups of hashes; more frequent groups come later in a line's order.
 COUNTERS = 1 << 18
-#: Bits of a line's parities.
-PARITIES = 256
+#: Bits of a line's parities: more than the shingles by which similar lines of 1000 differ, else long lines all agree.
+PARITIES = 1024
+#: Lines of a band up to which they are compared two by two.
+FEW = 32
 #: Bits of a character in a shingle's number.
 _LETTER = 12
 _EMPTY = np.uint32(2**32 - 1)
@@ -369,6 +372,46 @@ def rare_pairs(lines: DataFrame, similarity: float) -> DataFrame:
     return pairs
 
 
+def few_pairs(known: DataFrame) -> DataFrame:
+    """Pairs (a, b) of lines (band, node, own, apart, first) of one band, one of them apart and their `own` different.
+
+    The first line of a band is in no pair, as it has been compared with all others.
+    """
+    rest = known.where("not first").drop("first")
+    x, y = rest.where("apart").alias("x"), rest.alias("y")
+    met = F.expr("x.band = y.band and x.own <> y.own and (not y.apart or x.node < y.node)")
+    return x.join(y, met).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
+def rest_pairs(known: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) of lines (band, node, own, apart, first) that share a band, may be similar and aren't compared yet.
+
+    Pairs of larger bands may also be of two bands.
+    """
+    sizes = known.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.max("apart").alias("mixed"))
+    sizes = staged(sizes.where("mixed and size > 2").select("band", "size"), "line-mixed-bands")
+    few = matched(known, sizes.where(F.col("size") <= FEW), "band", SPREAD)
+    few = staged(few_pairs(few).distinct(), "line-few-pairs")
+    large = matched(known, sizes.where(F.col("size") > FEW), "band", SPREAD)
+    large = large.groupBy("node").agg(F.first("own").alias("own"), F.max("apart").alias("apart"))
+    large = staged(large.join(texts, "node").select("node", "own", "apart", "line"), "line-apart")
+    rare = rare_pairs(large, similarity)
+    pairs = staged(few.unionByName(rare).distinct(), "line-rest")
+    discard(sizes, few, large, rare)
+    return pairs
+
+
+def merged(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) once more, with links (a, b) between nodes of them or of none."""
+    labels = joined.select("node", "component")
+    ends = links.join(labels.toDF("a", "ca"), "a", "left").join(labels.toDF("b", "cb"), "b", "left")
+    ends = ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    more = staged(components(ends, "line-components"), "line-merged")
+    known = labels.join(more.toDF("component", "whole"), "component", "left")
+    known = known.select("node", F.coalesce("whole", "component").alias("component"))
+    return known.unionByName(more.join(labels, "node", "left_anti"))
+
+
 def _trimmed(line):
     """Trimming itself looks at every character, so it is left to lines with white space at an end."""
     ends = [at for c in SPACES for at in (line.startswith(c), line.endswith(c))]
@@ -408,18 +451,15 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
     known = spread_join(members, labels, "node", spread_by="band")
     hubs = labels.select(F.col("node").alias("hub"), F.col("own").alias("hub_own"))
     known = spread_join(known, hubs, "hub", spread_by="node")
-    known = known.select("band", "node", F.coalesce("own", "node").alias("own"), (F.coalesce("own", "node") != F.coalesce("hub_own", "hub")).alias("apart"))
-    known = staged(known, "line-band-labels")
+    own, hub_own = F.coalesce("own", "node"), F.coalesce("hub_own", "hub")
+    first = (F.col("node") == F.col("hub")).alias("first")
+    known = staged(known.select("band", "node", own.alias("own"), (own != hub_own).alias("apart"), first), "line-band-labels")
     discard(members)
-    mixed = matched(known, known.where("apart").select("band").distinct(), "band", SPREAD)
-    mixed = mixed.groupBy("node").agg(F.first("own").alias("own"), F.max("apart").alias("apart"))
-    mixed = staged(mixed.join(texts, "node").select("node", "own", "apart", "line"), "line-apart")
+    rest = rest_pairs(known, texts, similarity)
     discard(known)
-    rest = rare_pairs(mixed, similarity)
-    discard(mixed)
     more = staged(verified(rest, texts, similarity), "line-more-links")
     discard(rest, texts)
-    roots = joined if more.isEmpty() else components(links.unionByName(more), "line-components")
+    roots = joined if more.isEmpty() else merged(joined, more)
 
     # Only lines in a component of several need to be compared by place.
     placed = roots.join(places, "node")
