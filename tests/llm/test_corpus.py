@@ -28,6 +28,7 @@ from tidemark.llm import (
     span_crf,
     string_kernel,
 )
+from tidemark.llm.chunks import PieceStore
 from tidemark.llm.common import components, held_out, sampled, sampled_texts
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +90,23 @@ def test_encoding_is_that_of_the_library(spark):
         assert bytes(r.decoded) == texts[r.doc_id].encode()
 
 
+def test_pieces_merged_together_are_those_merged_alone():
+    rng = random.Random(6)
+    ranks = {t: i for i, t in enumerate(byte_bpe.read_ranks(RANKS)) if t}
+    merger = byte_bpe.Merger(ranks)
+    for size in (1, 2, 3, 5, 9, 16, 32):
+        alphabets = (b"aeinrst hl", bytes(range(256)), b"ab")
+        pieces = [bytes(rng.choices(rng.choice(alphabets), k=size)) for _ in range(300)]
+        got = [np.frombuffer(x, "<u4").tolist() for x in merger.merge(pieces)]
+        assert got == [byte_bpe.merge(p, ranks) for p in pieces]
+
+
+def test_a_full_store_learns_the_batch_anew():
+    store = PieceStore(lambda words: [w.encode() for w in words], limit=5)
+    for text in ("a b c", "a d e f", "b c d e f g h i j k", "x y  z", ""):
+        assert store.encode([text, text + " q"]) == [text.encode(), (text + " q").encode()]
+
+
 def test_perfect_hash_has_one_slot_per_key():
     keys = [str(i).encode() for i in range(3000)]
     hashed = byte_bpe.PerfectHash(keys)

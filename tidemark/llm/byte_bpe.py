@@ -1,4 +1,6 @@
-"""Byte-level BPE: whole pre-tokens through a minimal perfect hash, the others merged with a heap over linked bytes.
+"""Byte-level BPE: whole pre-tokens through a minimal perfect hash, the others merged.
+
+Short pieces of one size are merged together, one pair of each piece in a round; long ones with a heap over linked bytes.
 
 `encode_decode` gives one row per document: its ids as bytes (little-endian unsigned 32-bit), and the decoded bytes.
 Null and empty texts have no ids and decode to nothing. Repeated rows give repeated results. Other columns are kept
@@ -19,6 +21,9 @@ from tidemark.llm.chunks import PieceStore
 from tidemark.llm.common import slices
 
 KEYS_PER_BUCKET = 4
+#: Bytes of a piece up to which it is merged with others of its size, and pieces worked on at a time.
+SHORT = 32
+TOGETHER = 20_000
 _STORES = {}
 
 
@@ -123,24 +128,92 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class Merger:
+    """Merges many pieces of one size at a time, with the same ids as `merge`."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.none = max(ranks.values()) + 1  # the rank of two parts that make no token
+        self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        joins = {}
+        for token, rank in ranks.items():
+            for at in range(1, len(token)):
+                left, right = ranks.get(token[:at]), ranks.get(token[at:])
+                if left is not None and right is not None:
+                    joins[left * self.none + right] = rank
+        self.keys = np.array(sorted(joins), np.int64)
+        self.joined = np.array([joins[k] for k in self.keys.tolist()], np.int64)
+
+    def _ranks(self, left, right):
+        """The rank of what two parts make, by their ids."""
+        if not len(self.keys):
+            return np.full(left.shape, self.none)
+        key = left * self.none + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.joined[at], self.none)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces of one size, as bytes. In a round the leftmost pair of lowest rank of every piece is joined."""
+        out = [b""] * len(pieces)
+        ids = self.bytes[np.frombuffer(b"".join(pieces), np.uint8)].reshape(len(pieces), -1)
+        place = np.arange(len(pieces))
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+        while len(place):
+            n, size = ids.shape
+            each = np.arange(n)
+            if size > 1:
+                at = ranks.argmin(1)
+                least = ranks[each, at]
+                done = least == self.none
+            else:
+                done = np.ones(n, bool)
+            if done.any():
+                raw, width = ids[done].astype("<u4").tobytes(), 4 * size
+                for i, to in enumerate(place[done].tolist()):
+                    out[to] = raw[i * width : (i + 1) * width]
+                go = ~done
+                place, ids, ranks = place[go], ids[go], ranks[go]
+                if not len(place):
+                    break
+                at, least, each = at[go], least[go], np.arange(len(place))
+            stay = np.ones(ids.shape, bool)
+            stay[each, at + 1] = False
+            ids[each, at] = least
+            ids = ids[stay].reshape(len(place), -1)
+            stay = np.ones(ranks.shape, bool)
+            stay[each, at] = False
+            ranks = ranks[stay].reshape(len(place), -1)
+            rows = np.flatnonzero(at < size - 2)
+            ranks[rows, at[rows]] = self._ranks(ids[rows, at[rows]], ids[rows, at[rows] + 1])
+            rows = np.flatnonzero(at > 0)
+            ranks[rows, at[rows] - 1] = self._ranks(ids[rows, at[rows] - 1], ids[rows, at[rows]])
+        return out
+
+
 class Encoder:
     def __init__(self, tokens: list[bytes], hashed: PerfectHash, pattern: str):
         self.tokens, self.hashed = tokens, hashed
         self.ranks = {t: i for i, t in enumerate(tokens) if t}
         self.find = regex.compile(pattern).findall
         self.packed = [i.to_bytes(4, "little") for i in range(len(tokens))]
+        self.merger = Merger(self.ranks)
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         cut = [[t] if t.isalpha() or t[1:].isalpha() and t[0] == " " else self.find(t) for t in texts]
         distinct = list({p for parts in cut for p in parts})
         raw = [p.encode("utf-8", "replace") for p in distinct]
-        ids = {}
+        ids, sized = {}, {}
         if raw:
             for text, piece, at in zip(distinct, raw, self.hashed.candidates(raw).tolist()):
                 if self.tokens[at] == piece:
                     ids[text] = self.packed[at]
+                elif len(piece) <= SHORT:
+                    sized.setdefault(len(piece), ([], []))[0].append(text)
+                    sized[len(piece)][1].append(piece)
                 else:
                     ids[text] = b"".join([self.packed[i] for i in merge(piece, self.ranks)])
+        for same, pieces in sized.values():
+            for start in range(0, len(same), TOGETHER):
+                ids.update(zip(same[start : start + TOGETHER], self.merger.merge(pieces[start : start + TOGETHER])))
         return [b"".join([ids[p] for p in parts]) for parts in cut]
 
     def decode(self, ids: bytes) -> bytes:

@@ -14,10 +14,12 @@ class PieceStore:
         self.encode_many, self.limit = encode_many, limit
         self.first, self.later = {}, {}
 
-    def _learn(self, known, words, lead):
+    def _learn(self, known, wanted, lead):
+        """Add the wanted words to a store. One that would grow too large is emptied before and learns them all."""
+        words = {w for w in wanted() if w not in known}
         if len(known) + len(words) > self.limit:
             known.clear()
-        words = list(words)
+            words = set(wanted())
         plain = [w for w in words if w and not w[0].isspace()]
         known.update(zip(plain, self.encode_many([lead + w for w in plain])))
         if len(plain) < len(words):
@@ -25,17 +27,8 @@ class PieceStore:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
-        new = {w for words in cut for w in words[1:] if w not in self.later}
-        if new:
-            self._learn(self.later, new, " ")
-            if not all(w in self.later for words in cut for w in words[1:]):  # the store was emptied meanwhile
-                self._learn(self.later, {w for words in cut for w in words[1:] if w not in self.later}, " ")
-        starts = {words[0] for words in cut if words[0] not in self.first}
-        if starts:
-            self._learn(self.first, starts, "")
-            starts = {words[0] for words in cut if words[0] not in self.first}
-            if starts:
-                self._learn(self.first, starts, "")
+        self._learn(self.later, lambda: (w for words in cut for w in words[1:]), " ")
+        self._learn(self.first, lambda: (words[0] for words in cut), "")
         later, out = self.later.__getitem__, []
         for text, words in zip(texts, cut):
             try:
