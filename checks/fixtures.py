@@ -35,16 +35,16 @@ _EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value d
 
 
 def source_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    """The events table; `ts` is read as UTC so that time filters reach the files."""
+    """The events table and `k` of its properties, parsed once; `ts` is read as UTC so that time filters reach the files."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if stream:
-        # A stream reads folders, so the table is named by a pattern.
-        return spark.readStream.schema(_EVENTS).parquet(f"{sf_dir}/events.parque[t]")
-    return spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
+    # A stream reads folders, so the table is named by a pattern.
+    at = f"{sf_dir}/events.parque[t]" if stream else f"{sf_dir}/events.parquet"
+    events = (spark.readStream if stream else spark.read).schema(_EVENTS).parquet(at)
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
 def _k():
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.col("k")
 
 
 def _columns() -> dict:

@@ -11,7 +11,7 @@ from tidemark.operators import dedupe, enrich, upsert, validate
 from tidemark.plans import backfill, load, maintain, replay, reports
 from tidemark.plans import retention as retention_job
 from tidemark.schema import FACT_COLUMNS as FACT_NAMES
-from tidemark.session import work_folder
+from tidemark.session import work_folder, written
 from tidemark.sources import keys, landing, records, rejects
 from tidemark.sources.fact import FactTable
 
@@ -23,11 +23,11 @@ def _good(spark, sf_dir, **repeats):
     return validate.good(validate.check(fx.records(spark, sf_dir, **repeats)))
 
 
-def _land(spark, sf_dir, hourly=False, **repeats):
+def _land(spark, sf_dir, hourly=False, good=None, **repeats):
     """Land every good record two seconds after its arrival, or in one flush a
-    day at noon; returns the root."""
+    day at noon; returns the root. `good` are the records where they are checked already."""
     root = work_folder(spark, "landing")
-    lines = enrich.enrich(_good(spark, sf_dir, **repeats))
+    lines = enrich.enrich(_good(spark, sf_dir, **repeats) if good is None else good)
     at = F.col("arrival_ts") + F.expr("interval 2 seconds")
     if not hourly:
         at = F.date_trunc("day", "arrival_ts") + F.expr("interval 12 hours")
@@ -241,9 +241,9 @@ SELECT error_type, count(*) AS rejects FROM (
 def rejects_by_type(spark, sf_dir):
     """Rejected records and lines that did not load, stored and read back."""
     root = work_folder(spark, "rejects")
-    bad = validate.bad(validate.check(fx.records(spark, sf_dir, redelivered=True, resent=True)))
-    rejects.store(rejects.as_rejects(bad, F.col("arrival_ts")), root)
-    lines = landing.read_lines(spark, _land(spark, sf_dir, redelivered=True, resent=True))
+    checked = written(validate.check(fx.records(spark, sf_dir, redelivered=True, resent=True)), work_folder(spark, "checked"))
+    rejects.store(rejects.as_rejects(validate.bad(checked), F.col("arrival_ts")), root)
+    lines = landing.read_lines(spark, _land(spark, sf_dir, good=validate.good(checked)))
     table = FactTable(spark, work_folder(spark, "table"))
     load.load(table, lines, "all", rejects_root=root, loaded_at=LOAD_TIME)
     return rejects.by_type(rejects.read(spark, root))
