@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -531,6 +532,22 @@ def test_kernel_meets_words_in_runs_without_spaces():
     assert near and near <= kernel.stretches(word)
 
 
+def test_training_holds_windows_in_bytes():
+    """The driver trains: neither the features of every segment nor a cache of them may stay in its memory."""
+    draw = random.Random(3)
+    texts = [" ".join(draw.choices(["jo@ex.org", "10.0.0.255", "see", "(at)", "4111"], k=14)) for _ in range(60)]
+    labelled = [(t, span_crf._apart(span_crf.base_spans(t))) for t in texts]
+    rows = [s[2] for t in texts for s in span_crf.lattice(t)[1]]
+    assert (span_crf._unpacked(span_crf._packed(rows)) == np.array(rows)).all()
+    span_crf.features.cache_clear()
+    tracemalloc.start()
+    assert span_crf.fit(labelled, rounds=1) is not None
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert span_crf.features.cache_info().currsize <= 1
+    assert peak < len(rows) * 22 * 8, "less than features of eight bytes alone would take"
+
+
 def test_field_decodes_the_whole_text():
     draw = random.Random(8)
     known = ["jo@ex.org", "10.0.0.255", "4111 1111 1111 1111", "+44 20 7946 0958", "+1 555 010 9999", "mary.ann@mail.example.com"]

@@ -118,16 +118,27 @@ def features(span: str) -> tuple[float, ...]:
     )
 
 
-def lattice(text: str):
+def lattice(text: str, of=features):
     """Token bounds and, per end and length, the features of the segment."""
     tokens = [m.span() for m in _TOKENS.finditer(text)]
     segments = []
     for j in range(len(tokens)):
         for i in range(max(0, j - LONGEST + 1), j + 1):
-            segments.append((i, j + 1, features(text[tokens[i][0] : tokens[j][1]])))
+            segments.append((i, j + 1, of(text[tokens[i][0] : tokens[j][1]])))
     return tokens, segments
 
 
+def _packed(rows) -> np.ndarray:
+    """Features in a byte each: all are 0 or 1 but the last, which counts fortieths."""
+    return (np.array(rows) * ([1] * (len(rows[0]) - 1) + [40])).round().astype(np.uint8)
+
+
+def _unpacked(packed) -> np.ndarray:
+    rows = packed.astype(float)
+    rows[:, -1] /= 40
+    return rows
+
+
 def _potentials(segments, weights):
     return np.array([s[2] for s in segments]) @ weights.T if segments else np.zeros((0, len(KINDS)))
 
@@ -296,7 +307,8 @@ class Field:
 
 def _gradient(window, weights):
     """Observed less expected features of one labelled window."""
-    n, segments, matrix, gold = window
+    n, at, packed, gold = window
+    matrix, segments = _unpacked(packed), at.tolist()
     scores = matrix @ weights.T
     forward = np.full(n + 1, -np.inf)
     backward = np.full(n + 1, -np.inf)
@@ -310,24 +322,26 @@ def _gradient(window, weights):
         backward[i] = np.logaddexp(backward[i], s + backward[j])
         if j == i + 1:
             backward[i] = np.logaddexp(backward[i], backward[j])
-    at = np.array(segments)
     p = np.exp(forward[at[:, 0]][:, None] + scores + backward[at[:, 1]][:, None] - forward[n])
     return (gold - p).T @ matrix
 
 
 def fit(labelled: list[tuple[str, list]], rounds=25, rate=0.5, ridge=1e-3):
-    """Weights (kinds × features) from windows and their base spans."""
+    """Weights (kinds × features) from windows and their base spans.
+
+    This runs on the driver, so windows are held in bytes and their features are not kept in the cache.
+    """
     made = []
     for text, spans in labelled:
-        tokens, segments = lattice(text)
+        tokens, segments = lattice(text, features.__wrapped__)
         if not segments or len(tokens) > TRAINED_TOKENS:
             continue
         known = {(s, e): k for k, s, e in spans}
-        gold = np.zeros((len(segments), len(KINDS)))
+        gold = np.zeros((len(segments), len(KINDS)), np.uint8)
         for at, (i, j, _) in enumerate(segments):
             if (k := known.get((tokens[i][0], tokens[j - 1][1]))) is not None:
                 gold[at, k] = 1
-        made.append((len(tokens), [s[:2] for s in segments], np.array([s[2] for s in segments]), gold))
+        made.append((len(tokens), np.array([s[:2] for s in segments]), _packed([s[2] for s in segments]), gold))
     if not any(w[3].any() for w in made):
         return None
     weights = np.zeros((len(KINDS), len(features("0"))))
