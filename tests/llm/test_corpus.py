@@ -218,6 +218,17 @@ def roots_of(n, links):
     return own
 
 
+def test_texts_are_split_once_as_lines_are_left_out(spark):
+    """The kept lines' text and number are taken from one list, and rows without a key or without kept lines are whole."""
+    rows = [(1, "one line that stays\n \none line that stays"), (None, "x\nx"), (2, "one line that stays\n\n"), (3, None)]
+    found = line_minhash.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    got = sorted(((r.doc_id, r.text, r.n_lines, r.n_kept) for r in found.collect()), key=repr)
+    want = [(1, "one line that stays\n ", 3, 2), (2, "\n", 3, 2), (3, None, 0, 0), (None, "x\nx", 2, 2)]
+    assert got == want
+
+
 def test_simhash_components_agree_with_brute_force(spark):
     docs = documents()
     fps = [simhash_tiles.fingerprint(d["text"]) for d in docs]

@@ -448,9 +448,9 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
 
     # Lines of a band that its first line did not bring together.
     labels = joined.select("node", F.col("component").alias("own"))
-    known = spread_join(members, labels, "node", spread_by="band")
     hubs = labels.select(F.col("node").alias("hub"), F.col("own").alias("hub_own"))
-    known = spread_join(known, hubs, "hub", spread_by="node")
+    known = spread_join(members, hubs, "hub", spread_by="node")
+    known = known.join(labels, "node", "left")  # a line is in `BANDS` bands at most
     own, hub_own = F.coalesce("own", "node"), F.coalesce("hub_own", "hub")
     first = (F.col("node") == F.col("hub")).alias("first")
     known = staged(known.select("band", "node", own.alias("own"), (own != hub_own).alias("apart"), first), "line-band-labels")
@@ -471,13 +471,12 @@ def kept_lines(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> Da
 def without_repeats(docs: DataFrame, similarity=0.8, key="doc_id", text="text") -> DataFrame:
     """The rows with all their columns, texts without repeated lines, and n_lines, n_kept. Line breaks and spacing stay."""
     kept = kept_lines(docs, similarity, key, text).groupBy(key).agg(F.collect_set("n").alias("__kept"))
-    lines = F.split(F.col(text), "\n")
-    rows = docs.join(kept, key, "left")
-    blank = r"\S"
-    stay = F.filter(
-        lines, lambda x, i: ~F.regexp_like(x, F.lit(blank)) | F.array_contains(F.col("__kept"), i)
-    )
-    stay = F.when(F.col(key).isNull(), lines).otherwise(F.when(F.col("__kept").isNull(), F.filter(lines, lambda x: ~F.regexp_like(x, F.lit(blank)))).otherwise(stay))
+    # Columns of their own, so that a text is split once and its lines are looked at once.
+    rows = docs.join(kept, key, "left").withColumn("__lines", F.split(F.col(text), "\n"))
+    lines, stay = F.col("__lines"), F.col("__stay")
+    known = F.coalesce(F.col("__kept"), F.array().cast("array<int>"))
+    left = F.filter(lines, lambda x, i: F.array_contains(known, i) | ~F.regexp_like(x, F.lit(r"\S")))
+    rows = rows.withColumn("__stay", F.when(F.col(key).isNull(), lines).otherwise(left))
     return rows.select(
         *[F.array_join(stay, "\n").alias(text) if c == text else F.col(c) for c in docs.columns],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
