@@ -550,6 +550,7 @@ def test_training_holds_windows_in_bytes():
     labelled = [(t, span_crf._apart(span_crf.base_spans(t))) for t in texts]
     rows = [s[2] for t in texts for s in span_crf.lattice(t)[1]]
     assert (span_crf._unpacked(span_crf._packed(rows)) == np.array(rows)).all()
+    assert all(x is True or x is False for row in rows for x in row[1:-1]), "no number of its own is held for each"
     span_crf.features.cache_clear()
     tracemalloc.start()
     assert span_crf.fit(labelled, rounds=1) is not None

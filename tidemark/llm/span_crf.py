@@ -108,13 +108,13 @@ def features(span: str) -> tuple[float, ...]:
     groups = re.findall(r"[0-9]+", span)
     at = len(re.findall(r"@|[(\[]\s?at\s?[)\]]", span, re.I))
     return (
-        1.0, float(at == 1), float(at > 1), float(at == 1 and span[0].isalnum() and span[-1].isalnum() and "." in span.split("@")[-1]),
-        float(" " in span and at > 0), float(letters > 0), float(letters == 0 and d > 0), float(span[0] == "+"),
-        float(8 <= d <= 15 and letters == 0), float(16 <= d <= 19 and letters == 0 and luhn(digits)), float(16 <= d <= 19),
-        float(d > 19), float(d < 8), float(len(groups) == 4 and span.count(".") == 3 and letters == 0),
-        float(all(len(g) < 4 and int(g) < 256 for g in groups) and len(groups) == 4), float(span.count(".") == 3),
-        float(span[0].isdigit()), float(span[-1].isdigit()), float(not span[-1].isalnum()), float(not span[0].isalnum() and span[0] != "+"),
-        float("  " in span or "\n" in span), min(n, 40) / 40,
+        1.0, (at == 1), (at > 1), (at == 1 and span[0].isalnum() and span[-1].isalnum() and "." in span.split("@")[-1]),
+        (" " in span and at > 0), (letters > 0), (letters == 0 and d > 0), (span[0] == "+"),
+        (8 <= d <= 15 and letters == 0), (16 <= d <= 19 and letters == 0 and luhn(digits)), (16 <= d <= 19),
+        (d > 19), (d < 8), (len(groups) == 4 and span.count(".") == 3 and letters == 0),
+        (all(len(g) < 4 and int(g) < 256 for g in groups) and len(groups) == 4), (span.count(".") == 3),
+        (span[0].isdigit()), (span[-1].isdigit()), (not span[-1].isalnum()), (not span[0].isalnum() and span[0] != "+"),
+        ("  " in span or "\n" in span), min(n, 40) / 40,
     )
 
 
@@ -393,6 +393,7 @@ def find(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
                 found = [field.spans(t or "") for t in part.column("text").to_pylist()]
                 columns = [pa.array([[dict(zip(("kind", "start", "end"), s)) for s in f[i]] for f in found], span) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([part.column("key"), *columns], ["key", "base", "spans"])
+        features.cache_clear()  # the worker goes on to other steps
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
