@@ -108,13 +108,13 @@ def features(span: str) -> tuple[float, ...]:
     groups = re.findall(r"[0-9]+", span)
     at = len(re.findall(r"@|[(\[]\s?at\s?[)\]]", span, re.I))
     return (
-        1.0, (at == 1), (at > 1), (at == 1 and span[0].isalnum() and span[-1].isalnum() and "." in span.split("@")[-1]),
-        (" " in span and at > 0), (letters > 0), (letters == 0 and d > 0), (span[0] == "+"),
-        (8 <= d <= 15 and letters == 0), (16 <= d <= 19 and letters == 0 and luhn(digits)), (16 <= d <= 19),
-        (d > 19), (d < 8), (len(groups) == 4 and span.count(".") == 3 and letters == 0),
-        (all(len(g) < 4 and int(g) < 256 for g in groups) and len(groups) == 4), (span.count(".") == 3),
-        (span[0].isdigit()), (span[-1].isdigit()), (not span[-1].isalnum()), (not span[0].isalnum() and span[0] != "+"),
-        ("  " in span or "\n" in span), min(n, 40) / 40,
+        1.0, at == 1, at > 1, at == 1 and span[0].isalnum() and span[-1].isalnum() and "." in span.split("@")[-1],
+        " " in span and at > 0, letters > 0, letters == 0 and d > 0, span[0] == "+",
+        8 <= d <= 15 and letters == 0, 16 <= d <= 19 and letters == 0 and luhn(digits), 16 <= d <= 19,
+        d > 19, d < 8, len(groups) == 4 and span.count(".") == 3 and letters == 0,
+        all(len(g) < 4 and int(g) < 256 for g in groups) and len(groups) == 4, span.count(".") == 3,
+        span[0].isdigit(), span[-1].isdigit(), not span[-1].isalnum(), not span[0].isalnum() and span[0] != "+",
+        "  " in span or "\n" in span, min(n, 40) / 40,
     )
 
 
