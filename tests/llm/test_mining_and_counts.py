@@ -11,7 +11,9 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from helpers import plan
 from tidemark.llm import json_bpe, negative_lists, phrase_filters, quotient_filter, token_counts
+from tidemark.llm.common import copied_join
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 VECTORS = "vec_id long, embedding array<double>, label int, key string, g string, score double, row int"
@@ -169,6 +171,14 @@ def test_phrases_agree_with_brute_force(spark, monkeypatch, dictionary_bytes):
         assert sorted(tuple(r) for r in found.collect()) == want
 
 
+def test_copies_of_a_small_side_are_not_broadcast(spark):
+    """Spark sizes them as if there were no copies."""
+    rows, few = spark.range(2000).selectExpr("id % 50 as k", "id as doc_id"), spark.range(50).selectExpr("id as k", "id * 2 as v")
+    joined = copied_join(rows, few, "k")
+    assert "BroadcastHashJoin" not in plan(joined)
+    assert joined.count() == 2000 and joined.where("v <> 2 * k").isEmpty()
+
+
 def test_phrases_of_long_texts_and_of_nothing(spark, monkeypatch):
     assert phrase_filters.mine(documents(spark, [])).count() == 0
     assert phrase_filters.mine(documents(spark, [(None, None), ("a b", "en")])).count() == 0

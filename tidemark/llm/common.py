@@ -159,10 +159,13 @@ def spread_join(rows: DataFrame, small: DataFrame, key: str, salts=32, spread_by
 
 def copied_join(rows: DataFrame, few: DataFrame, key: str, salts=8, spread_by="doc_id") -> DataFrame:
     """Inner join where one key may hold a third of `rows`, read once: `few` (one row per key, far fewer keys than
-    `rows` has) is copied to the `salts` tasks over which the rows of a key are spread."""
+    `rows` has) is copied to the `salts` tasks over which the rows of a key are spread.
+
+    The merge hint is there because Spark's size estimate leaves out the copies and compression, and would broadcast them.
+    """
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "__salt"]).drop("__salt")
+    return salted.join(copies.hint("merge"), [key, "__salt"]).drop("__salt")
 
 
 def links_to_forest(a, b) -> list[tuple[int, int]]:

@@ -279,7 +279,7 @@ def mine(
     longer = staged(found.where("c is not null").select("a", "b", "c", "f"), "phrase-triples")
     holds = longer.select("a", "b", "f").unionByName(longer.select(F.col("b").alias("a"), F.col("c").alias("b"), "f"))
     most = holds.groupBy("a", "b").agg(F.max("f").alias("most"))
-    two = rows.where("c is null").join(most, ["a", "b"], "left")
+    two = rows.where("c is null").join(most.hint("merge"), ["a", "b"], "left")
     two = two.where(F.coalesce(F.col("most"), F.lit(0)) * 100 < F.col("f") * share).select(
         F.col("group_a").alias("group"),
         F.concat_ws(" ", "word_a", "word_b").alias("phrase"),
