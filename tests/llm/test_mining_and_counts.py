@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -179,6 +180,37 @@ def test_copies_of_a_small_side_are_not_broadcast(spark):
     assert joined.count() == 2000 and joined.where("v <> 2 * k").isEmpty()
 
 
+def test_words_are_told_by_their_digests(spark):
+    words = spark.createDataFrame([("g", f"w{i}", 12) for i in range(500)] + [("h", "w1", 10)], "group string, word string, f long")
+    known = phrase_filters.numbered(words).persist()
+    ids = {(r.group, r.word): r.id for r in known.collect()}
+    assert sorted(ids.values()) == list(range(1, 502))
+    high, low = phrase_filters.dictionary(known, 501)
+    assert high.nbytes + low.nbytes == 12 * 501
+    for group in ("g", "h", "i"):
+        found = phrase_filters.found_ids(high, low, group, [b"w1", b"nothing", b"w499"])
+        assert found.tolist() == [ids.get((group, w), 0) for w in ("w1", "nothing", "w499")]
+
+
+def test_digests_alike_in_their_first_bytes(monkeypatch):
+    digests = {b"a\ng": b"\x01" * 12, b"b\ng": b"\x01" * 8 + b"\x02" * 4, b"c\ng": b"\x01" * 8 + b"\x03" * 4, b"d\ng": b"\xff" * 12}
+    monkeypatch.setattr(phrase_filters.hashlib, "md5", lambda x, **_: SimpleNamespace(digest=lambda: digests[x]))
+    high, low = phrase_filters._halves(b"".join(digests[k] for k in (b"a\ng", b"b\ng", b"c\ng")))
+    assert phrase_filters.found_ids(high, low, "g", [b"c", b"a", b"d", b"b"]).tolist() == [3, 1, 0, 2]
+    assert phrase_filters.found_ids(high[:2], low[:2], "g", [b"c", b"a", b"d", b"b"]).tolist() == [0, 1, 0, 2]
+
+
+def test_a_chunk_moves_each_of_its_words_once(spark, monkeypatch):
+    """The texts of a chunk get the ids of their words together, not each text its own."""
+    monkeypatch.setattr(phrase_filters, "CHUNK", 300)
+    docs = documents(spark, [("one two three four", "en")] * 200).select(F.col("lang").alias("group"), "text").coalesce(1)
+    words = spark.createDataFrame([("en", w, 200) for w in ("one", "two", "three", "four")], "group string, word string, f long")
+    rows, _ = phrase_filters._with_own_words(docs, phrase_filters.numbered(words))
+    assert rows.where("id is null").count() == 200
+    chunks = rows.select("chunk").distinct().count()
+    assert chunks == 200 * 18 // 300 + 1 and rows.where("id is not null").count() == 4 * chunks
+
+
 def test_phrases_of_long_texts_and_of_nothing(spark, monkeypatch):
     assert phrase_filters.mine(documents(spark, [])).count() == 0
     assert phrase_filters.mine(documents(spark, [(None, None), ("a b", "en")])).count() == 0

@@ -6,21 +6,25 @@
    so that hot phrases reach the shuffle once per filter. Sorted filters of a segment are merged one after the other.
 3. What occurs `least` times is given back as ids; parts, containing phrases and words are joined to it.
 
-The words with ids are sent to all tasks up to `dictionary_bytes`; beyond that, each text gets the ids of its own words
-by a join. Scores are exact up to counts of 10^16. A group that is null counts as `unknown`. Null and empty texts hold no
+Ids follow the order of the words' md5, so 12 bytes a word, of which the place is the id, tell all words: they are sent to
+all tasks up to `dictionary_bytes`. Beyond that, texts are taken in chunks of a bounded size, and each chunk gets the ids of
+its own words by a join. Scores are exact up to counts of 10^16. A group that is null counts as `unknown`. Null and empty texts hold no
 words. Repeated rows count each. An empty table gives an empty result. Other columns are not read.
 """
 
+import hashlib
 import math
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import copied_join, staged
+from tidemark.llm.common import copied_join, discard, release, staged
 from tidemark.llm.quotient_filter import Filter, Packing, counted, cut
 
 #: A-Z in lower case, ends of pieces as line breaks, tabs as spaces.
@@ -31,8 +35,11 @@ BREAK = b"\n"
 END = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
 #: Bytes of text worked on at once, distinct words and n-grams that a task gathers, n-grams of a segment.
 STRETCH, WORDS, GRAMS, SEGMENT = 4_000_000, 300_000, 4_000_000, 4_000_000
-#: Bytes of a word in a dictionary beside its text.
-OVERHEAD = 120
+#: Bytes of a word in a dictionary: the first ones of its md5. By them another word is taken for one of a million with a
+#: chance of one in 10^22.
+DIGEST = 12
+#: Bytes of text that get the ids of their words together.
+CHUNK = 16_000_000
 
 
 def words_of(text: bytes):
@@ -84,19 +91,25 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counts.groupBy("group", "word").agg(F.sum("f").alias("f"))
 
 
-def numbered(words: DataFrame, buckets=256) -> DataFrame:
-    """`id` from 1 for rows (group, word, …), numbered bucket by bucket."""
-    dealt = words.withColumn("bucket", F.pmod(F.xxhash64("group", "word"), F.lit(buckets)).cast("int"))
+def _digest(word, group):
+    """The bytes by which a dictionary tells a word of a group; no word holds a line break."""
+    return F.substring(F.unhex(F.md5(F.concat_ws("\n", word, group))), 1, DIGEST)
+
+
+def numbered(words: DataFrame) -> DataFrame:
+    """`id` from 1 for rows (group, word, …) in the order of their `digest`, numbered by its first byte."""
+    dealt = words.withColumn("digest", _digest("word", "group"))
+    dealt = dealt.withColumn("bucket", F.substring("digest", 1, 1))
     sizes = dealt.groupBy("bucket").count()
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
     starts = sizes.select("bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    own = Window.partitionBy("bucket").orderBy("group", "word")
+    own = Window.partitionBy("bucket").orderBy("digest")
     ranked = dealt.join(F.broadcast(starts), "bucket").withColumn("id", F.col("base") + F.row_number().over(own))
     return ranked.drop("bucket", "base")
 
 
 def _count_grams(ids_of, packing, prefix, longest):
-    """A mapInArrow function: rows (segment, filter) of what `ids_of` gives for a batch, arrays with 0 as a break."""
+    """A mapInArrow function: rows (segment, filter) of what `ids_of` gives for batches, arrays with 0 as a break."""
 
     def run(batches):
         kept, size = [], 0
@@ -111,88 +124,175 @@ def _count_grams(ids_of, packing, prefix, longest):
                 columns = pa.array([f.segment for f in some], pa.int64()), pa.array([f.to_bytes() for f in some], pa.binary())
                 yield pa.RecordBatch.from_arrays(list(columns), ["segment", "filter"])
 
-        for batch in batches:
-            for ids in ids_of(batch):
-                held = ids > 0
-                for n in range(2, longest + 1):
-                    whole = held[: len(ids) - n + 1].copy()
-                    for k in range(1, n):
-                        whole &= held[k : len(ids) - n + 1 + k]
-                    at = np.flatnonzero(whole)
-                    if len(at):
-                        kept.append(counted(*packing.pack([ids[at + k] for k in range(n)])))
-                        size += len(kept[-1][0])
-                if size > GRAMS:
-                    yield from filters()
-                    kept, size = [], 0
+        for ids in ids_of(batches):
+            held = ids > 0
+            for n in range(2, longest + 1):
+                whole = held[: len(ids) - n + 1].copy()
+                for k in range(1, n):
+                    whole &= held[k : len(ids) - n + 1 + k]
+                at = np.flatnonzero(whole)
+                if len(at):
+                    kept.append(counted(*packing.pack([ids[at + k] for k in range(n)])))
+                    size += len(kept[-1][0])
+            if size > GRAMS:
+                yield from filters()
+                kept, size = [], 0
         if kept:
             yield from filters()
 
     return run
 
 
-def _ids_by_dictionary(shared):
-    def ids_of(batch):
-        tables, out, size = shared.value, [], 0
-        for g, text in _texts(batch):
-            known = tables.get(g)
-            for words in words_of(text) if known else ():
-                out += np.array([known.get(w, 0) for w in words], np.int64), np.zeros(1, np.int64)
-                size += len(words)
-                if size > STRETCH // 8:
-                    yield np.concatenate(out)
-                    out, size = [], 0
-        if out:
+def _joined(parts):
+    """Arrays of ids put together, with a break after each, in pieces of a bounded size."""
+    out, size = [], 0
+    for ids in parts:
+        out += ids, np.zeros(1, np.int64)
+        size += len(ids)
+        if size > STRETCH // 8:
             yield np.concatenate(out)
+            out, size = [], 0
+    if out:
+        yield np.concatenate(out)
+
+
+def _halves(digests: bytes):
+    """The digests' first eight and last four bytes as numbers of the same order."""
+    both = np.frombuffer(digests, np.uint8).reshape(-1, DIGEST)
+    return np.ascontiguousarray(both[:, :8]).view(">u8")[:, 0].astype(np.uint64), np.ascontiguousarray(both[:, 8:]).view(">u4")[:, 0].astype(np.uint32)
+
+
+def dictionary(known: DataFrame, largest: int):
+    """The digests of rows (id, digest) in the order of ids, read partition by partition."""
+
+    def packed(batches):
+        for batch in batches:
+            ids = batch.column("id").to_numpy(zero_copy_only=False).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_pydict({"ids": [ids], "digests": [b"".join(batch.column("digest").to_pylist())]})
+
+    high, low = np.zeros(largest, np.uint64), np.zeros(largest, np.uint32)
+    for row in known.select("id", "digest").mapInArrow(packed, "ids binary, digests binary").toLocalIterator():
+        at = np.frombuffer(row["ids"], "<i8") - 1
+        high[at], low[at] = _halves(bytes(row["digests"]))
+    return high, low
+
+
+def found_ids(high, low, group: str, words: list[bytes]) -> np.ndarray:
+    """The ids of a group's words, 0 for those a dictionary does not hold."""
+    end = b"\n" + group.encode()
+    own_high, own_low = _halves(b"".join(hashlib.md5(w + end, usedforsecurity=False).digest()[:DIGEST] for w in words))
+    at = np.searchsorted(high, own_high)
+    ids = np.zeros(len(words), np.int64)
+    left = np.arange(len(words))
+    while len(left):  # those alike in the first eight bytes stand beside one another
+        left = left[at[left] < len(high)]
+        left = left[high[at[left]] == own_high[left]]
+        same = low[at[left]] == own_low[left]
+        ids[left[same]] = at[left[same]] + 1
+        left = left[~same]
+        at[left] += 1
+    return ids
+
+
+def _ids_by_dictionary(shared):
+    def each(batches):
+        high, low = shared.value
+        seen = {}  # of a bounded number of words
+        for batch in batches:
+            for g, text in _texts(batch):
+                for words in words_of(text):
+                    if sum(map(len, seen.values())) > WORDS:
+                        seen.clear()
+                    known = seen.setdefault(g, {BREAK: 0})
+                    new = list(set(words).difference(known))
+                    if new:
+                        known.update(zip(new, found_ids(high, low, g, new).tolist()))
+                    yield np.array([known[w] for w in words], np.int64)
+
+    return lambda batches: _joined(each(batches))
 
-    return ids_of
 
+def _ids_by_chunk(batches):
+    """Of sorted rows (chunk, group, text, id): the words of a chunk with their ids, then its texts, which have no id."""
 
-def _ids_by_row(batch):
-    for (_, text), words, ids in zip(_texts(batch), batch.column("words").to_pylist(), batch.column("ids").to_pylist()):
-        known = {w.encode(): i for w, i in zip(words, ids)}
-        for part in words_of(text):
-            yield np.array([known.get(w, 0) for w in part], np.int64)
+    def each():
+        chunk, known = None, {}
+        for batch in batches:
+            rows = zip(batch.column("chunk").to_pylist(), batch.column("id").to_pylist(), _texts(batch))
+            for number, i, (g, text) in rows:
+                if number != chunk:
+                    chunk, known = number, {}
+                if i is not None:
+                    known.setdefault(g, {})[text] = i
+                    continue
+                own = known.get(g, {})
+                for words in words_of(text) if own else ():
+                    yield np.array([own.get(w, 0) for w in words], np.int64)
+
+    return _joined(each())
 
 
 def _with_own_words(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows (group, text, words, ids): each text with the ids of the words it holds, by a join."""
+    """Rows (chunk, group, text, id): texts in chunks of about `CHUNK` bytes, each after the words it holds, which have an id.
+
+    Texts are moved once, words once for each chunk that holds them.
+    """
+
+    def chunked(batches):
+        first, size = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            ends = size + np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+            size = int(ends[-1]) if len(ends) else size
+            yield batch.append_column("chunk", pa.array(first + ends // CHUNK))
 
     def distinct(batches):
+        found = {}
+
+        def rows():
+            for (chunk, g), words in found.items():
+                words.discard(BREAK)
+                columns = pa.array([chunk] * len(words), pa.int64()), pa.array([g] * len(words), pa.string()), pa.array(map(bytes.decode, words), pa.string())
+                yield pa.RecordBatch.from_arrays(list(columns), ["chunk", "group", "word"])
+            found.clear()
+
         for batch in batches:
-            for row, (g, text) in zip(batch.column("row").to_pylist(), _texts(batch)):
-                words = sorted({w for part in words_of(text) for w in part} - {BREAK})
-                columns = pa.array([row] * len(words), pa.int64()), pa.array([g] * len(words), pa.string()), pa.array(map(bytes.decode, words), pa.string())
-                yield pa.RecordBatch.from_arrays(list(columns), ["row", "group", "word"])
+            for chunk, (g, text) in zip(batch.column("chunk").to_pylist(), _texts(batch)):
+                for words in words_of(text):
+                    found.setdefault((chunk, g), set()).update(words)
+                    if sum(map(len, found.values())) > WORDS:
+                        yield from rows()
+        yield from rows()
 
-    rows = staged(docs.where("text <> ''").withColumn("row", F.monotonically_increasing_id()), "phrase-rows")
-    held = rows.select("row", "group", "text").mapInArrow(distinct, "row long, group string, word string")
-    keyed = held.select("row", F.struct("group", "word").alias("key"))
-    found = copied_join(keyed, known.select(F.struct("group", "word").alias("key"), "id"), "key", spread_by="row")
-    # A text's own words: bounded by the text.
-    own = found.groupBy("row").agg(F.collect_list(F.struct(F.col("key.word").alias("word"), "id")).alias("known"))
-    return rows.join(own, "row").select("group", "text", F.col("known.word").alias("words"), F.col("known.id").alias("ids"))
+    rows = docs.where("text <> ''").select("group", "text").mapInArrow(chunked, "group string, text string, chunk long")
+    rows = staged(rows, "phrase-chunks")
+    held = rows.select("chunk", "group", "text").mapInArrow(distinct, "chunk long, group string, word string")
+    words = known.select("group", "word", "id").hint("merge")
+    found = staged(held.join(words, ["group", "word"]).select("chunk", "group", F.col("word").alias("text"), "id").distinct(), "phrase-chunk-words")
+    release(docs.sparkSession)
+    texts = rows.select("chunk", "group", "text", F.lit(None).cast("long").alias("id"))
+    both = found.unionByName(texts).repartition("chunk")
+    return both.sortWithinPartitions("chunk", F.col("id").isNull()), (rows, found)
 
 
 def count_phrases(docs: DataFrame, known: DataFrame, occurrences: int, least: int, dictionary_bytes: int, longest=3) -> DataFrame:
-    """Rows (a, b, c, f): ids of 2 or 3 words (c null for 2) that occur at least `least` times; `known` has (group, word, id)."""
+    """Staged rows (a, b, c, f): ids of 2 or 3 words (c null for 2) that occur at least `least` times.
+
+    `known` has (group, word, digest, id).
+    """
     spark = docs.sparkSession
-    largest, size = known.agg(F.max("id"), F.sum(F.octet_length("word") + OVERHEAD)).first()
+    largest = known.agg(F.max("id")).first()[0]
     if not largest:
-        return spark.createDataFrame([], "a long, b long, c long, f long")
+        return staged(spark.createDataFrame([], "a long, b long, c long, f long"), "phrases")
     packing = Packing(largest, longest)
     # Every word starts at most one phrase of each length.
     prefix = min(packing.high_bits - 8, max(4, math.ceil(math.log2(max(1, occurrences * (longest - 1) / SEGMENT)))))
-    if size <= dictionary_bytes:
-        tables = {}
-        for row in known.toLocalIterator():
-            tables.setdefault(row["group"], {})[row["word"].encode()] = row["id"]
-        run = _count_grams(_ids_by_dictionary(spark.sparkContext.broadcast(tables)), packing, prefix, longest)
-        texts = docs
+    if largest * DIGEST <= dictionary_bytes:
+        shared = spark.sparkContext.broadcast(dictionary(known, largest))
+        ids_of, texts, used = _ids_by_dictionary(shared), docs, ()
     else:
-        run = _count_grams(_ids_by_row, packing, prefix, longest)
-        texts = _with_own_words(docs, known)
-    shards = texts.mapInArrow(run, "segment long, filter binary")
+        shared, ids_of = None, _ids_by_chunk
+        texts, used = _with_own_words(docs, known)
+    shards = texts.mapInArrow(_count_grams(ids_of, packing, prefix, longest), "segment long, filter binary")
 
     def merge(batches):
         def rows(whole):
@@ -225,7 +325,11 @@ def count_phrases(docs: DataFrame, known: DataFrame, occurrences: int, least: in
             yield closed()
 
     dealt = shards.repartition("segment").sortWithinPartitions("segment")
-    return dealt.mapInArrow(merge, "a long, b long, c long, f long")
+    found = staged(dealt.mapInArrow(merge, "a long, b long, c long, f long"), "phrases")
+    if shared is not None:
+        shared.unpersist()
+    discard(*used)
+    return found
 
 
 def mine(
@@ -241,8 +345,10 @@ def mine(
     words = staged(count_words(texts), "phrase-words")
     totals = staged(words.groupBy("group").agg(F.sum("f").alias("n")), "phrase-totals")
     known = staged(numbered(words.where(F.col("f") >= least)), "phrase-dictionary")
+    discard(words)
     occurrences = totals.agg(F.sum("n")).first()[0] or 0
-    found = staged(count_phrases(texts, known, occurrences, least, dictionary_bytes), "phrases")
+    found = count_phrases(texts, known, occurrences, least, dictionary_bytes)
+    release(found.sparkSession)
 
     # One word may stand in a third of all phrases: small sides are copied to the tasks that its rows are spread over.
     def word(column, *names):
