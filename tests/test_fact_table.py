@@ -191,6 +191,26 @@ def test_lookup_is_joined_bucket_by_bucket_without_a_shuffle_of_it(spark, folder
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_ids_beyond_the_limit_reach_the_driver_some_buckets_at_a_time(spark, folder, monkeypatch):
+    table = FactTable(spark, folder, id_buckets=8)
+    version = table.commit(day_rows(spark, [f"a{i}" for i in range(20)]))
+    kind = type(table.live())
+    parts, plans, collect = table.snapshot().parts, [], kind.collect
+
+    def noted(frame):
+        found = collect(frame)
+        plans.append(plan(frame).split("Initial Plan")[0])
+        return found
+
+    monkeypatch.setattr(kind, "collect", noted)
+    none = spark.createDataFrame([(f"x{i}",) for i in range(40)], "event_id string")
+    assert table.holding(none, parts, 3000, 1000) == set()
+    assert [p.count("BroadcastExchange") <= 1 for p in plans] == [True] * 4
+    plans.clear()
+    every = spark.createDataFrame([(f"a{i}",) for i in range(20)], "event_id string")
+    assert table.holding(every, parts, 3000, 1000) == {("2024-05-27", version)} and len(plans) < 4
+
+
 def test_find_opens_the_folders_of_the_ids(spark, folder):
     table = FactTable(spark, folder)
     for n in range(3):

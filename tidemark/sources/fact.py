@@ -15,6 +15,7 @@ import random
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,7 +153,9 @@ class FactTable:
         """Those of the (date, version) folders that hold one of the distinct ids; `id_bytes` is the ids' size.
 
         Ids are sent to the tasks that read the lookup, bucket by bucket where they are too large together, so the
-        lookup itself is never shuffled. Versions without a lookup are searched by their id column.
+        lookup itself is never shuffled. One query asks for some buckets and the next begins when it is done, so the
+        driver holds the ids of one at a time; none follows once every folder is found. Versions without a lookup are
+        searched by their id column.
         """
         known = {int(v) for v in folders.parts(self.spark, self.ids, "version")}
         covered = {p for p in parts if p[1] in known}
@@ -164,8 +167,11 @@ class FactTable:
                 .option("basePath", self.ids)
                 .parquet(*[f"{self.ids}/version={v}" for v in versions])
             )
-            hits = self._bucketed(lookup, ids, id_bytes, limit).select(F.col("event_date").cast("string"), "version")
-            found = {tuple(r) for r in hits.distinct().collect()} & covered
+            for some in self._by_buckets(lookup, ids, id_bytes, limit):
+                hits = some.select(F.col("event_date").cast("string"), "version")
+                found |= {tuple(r) for r in hits.distinct().collect()} & covered
+                if found == covered:
+                    break
         bare = set(parts) - covered
         if bare:
             small = id_bytes <= limit
@@ -174,19 +180,22 @@ class FactTable:
             found |= {tuple(r) for r in hits.select("event_date", "version").distinct().collect()}
         return found
 
-    def _bucketed(self, lookup: DataFrame, ids: DataFrame, id_bytes: int, limit: int) -> DataFrame:
+    def _by_buckets(self, lookup: DataFrame, ids: DataFrame, id_bytes: int, limit: int):
+        """Rows of the lookup with one of the ids, in frames of which each sends ids within the limit."""
         keyed = ids.select("event_id", self.bucket().alias("bucket"))
         each = max(1, self.buckets * limit // max(1, id_bytes)) if limit else 0
         if id_bytes <= limit:
-            return lookup.join(F.broadcast(keyed), ["bucket", "event_id"], "left_semi")
-        if not each or id_bytes > limit * self.buckets:  # one bucket alone is too large
-            return lookup.join(keyed.hint("merge"), ["bucket", "event_id"], "left_semi")
-        out = None
-        for first in range(0, self.buckets, each):
-            own = F.col("bucket").between(first, first + each - 1)
-            some = lookup.where(own).join(F.broadcast(keyed.where(own)), ["bucket", "event_id"], "left_semi")
-            out = some if out is None else out.unionByName(some)
-        return out
+            yield lookup.join(F.broadcast(keyed), ["bucket", "event_id"], "left_semi")
+        elif not each or id_bytes > limit * self.buckets:  # one bucket alone is too large
+            yield lookup.join(keyed.hint("merge"), ["bucket", "event_id"], "left_semi")
+        else:
+            for first in range(0, self.buckets, each):
+                own = F.col("bucket").between(first, first + each - 1)
+                yield lookup.where(own).join(F.broadcast(keyed.where(own)), ["bucket", "event_id"], "left_semi")
+
+    def _bucketed(self, lookup: DataFrame, ids: DataFrame, id_bytes: int, limit: int) -> DataFrame:
+        """All of `_by_buckets` in one frame; run at once, all ids reach the driver together."""
+        return reduce(DataFrame.unionByName, self._by_buckets(lookup, ids, id_bytes, limit))
 
     def _write_ids(self, version: int) -> None:
         """The ids of one version, read back from its files by column, few files, each sorted by bucket."""
