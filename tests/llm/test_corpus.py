@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from helpers import plan
 from tidemark.llm import (
     best_fit_packing,
     byte_bpe,
@@ -302,6 +303,30 @@ def test_nearest_neighbours_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_vectors_are_compared_block_by_block_without_a_shuffle(spark, monkeypatch):
+    """Two lengths in many blocks, links put together in between; no vector is shuffled to be compared."""
+    for name, value in (("BLOCK_BYTES", 4000), ("FOLD", 2), ("GATHERED", 5)):
+        monkeypatch.setattr(collision_counting, name, value, raising=False)
+    plans, staged = [], collision_counting.staged
+    monkeypatch.setattr(collision_counting, "staged", lambda df, name: plans.append((name, plan(df))) or staged(df, name))
+    draw = np.random.default_rng(6)
+    x = []
+    for size in (16, 24):
+        centres = draw.standard_normal((6, size))
+        x += list(np.concatenate([c + 0.12 * draw.standard_normal((9, size)) for c in centres]).astype(np.float32))
+    x[5], x[60], x[70][3], x[71] = x[6], x[61], 0.0, x[70].copy()
+    x[71][3] = -0.0
+    found = collision_counting.near_duplicates(vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)]), tile_rows=7).collect()
+    got = {r.vec_id: r for r in found}
+    unit = [v.astype(float) / np.linalg.norm(v.astype(float)) for v in x]
+    near = [[a != b and len(v) == len(w) and v @ w >= 0.95 for b, w in enumerate(unit)] for a, v in enumerate(unit)]
+    roots = roots_of(len(x), [(a, b) for a, row in enumerate(near) for b, met in enumerate(row) if met and a < b])
+    assert [got[i].n_links for i in range(len(x))] == [sum(row) for row in near] and max(map(sum, near)) > 4
+    assert [got[i].component_id for i in range(len(x))] == roots
+    compared = [p for name, p in plans if name == "vector-links" and "MapInArrow" in p]
+    assert compared and not any("Exchange" in p for p in compared)
+
+
 def test_collision_counting_finds_all_links(spark):
     draw = np.random.default_rng(4)
     centres = draw.standard_normal((30, 32))

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 def usable(rows: DataFrame, key="vec_id", vector="embedding") -> DataFrame:
     """Rows (id, v: array<double>) without vectors that are null, empty, zero or hold null or non-finite components."""
     v = rows.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return v.where(F.col("id").isNotNull() & F.coalesce(good & F.exists("v", lambda x: x != 0), F.lit(False)))
+    return v.where(F.col("id").isNotNull() & usable_vector("v"))
+
+
+def usable_vector(v):
+    good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(good & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
 def tiled(rows: DataFrame, count: int, tile_rows: int) -> tuple[DataFrame, int]:
