@@ -516,6 +516,30 @@ def test_runs_of_bands_go_on_over_batches_and_tasks(spark):
     assert sorted((r.band, r.node, r.hub) for r in found) == sorted(want)
 
 
+def test_bands_are_dealt_packed_and_large_ones_handed_on(spark, monkeypatch):
+    """No row is made for each line and band, and a task that holds much hands on what belongs to large bands."""
+    monkeypatch.setattr(line_minhash, "HELD", 64, raising=False)
+    monkeypatch.setattr(line_minhash, "DEALT", 3, raising=False)
+    plans, staged = [], line_minhash.staged
+    monkeypatch.setattr(line_minhash, "staged", lambda df, name: plans.append(plan(df)) or staged(df, name))
+    rng = random.Random(4)
+    lines = [(n << 33 if n % 50 == 0 else n, [7 << 60, -(n % 2), rng.randrange(-(1 << 62), 1 << 62), n // 2 << 40]) for n in range(400)]
+    by_band = {}
+    for node, bands in lines:
+        for band in bands:
+            by_band.setdefault(band, []).append(node)
+    want = sorted((b, n, min(nodes)) for b, nodes in by_band.items() if len(nodes) > 1 for n in nodes)
+    signed = spark.createDataFrame(lines, "node long, bands array<long>").repartition(5)
+    found = line_minhash.band_members(signed)
+    assert sorted((r.band, r.node, r.hub) for r in found.collect()) == want
+    assert not any("Generate" in p for p in plans)
+    # What one task hands on of a large band, in several goes, has all its lines once.
+    packed = pa.Table.from_pylist([{"node": n, "bands": b} for n, b in lines]).to_batches(max_chunksize=7)
+    out = [r for o in line_minhash._members(line_minhash._dealt(4)(iter(packed))) for r in o.to_pylist()]
+    assert sorted((r["band"], r["node"]) for r in out if r["kind"] == 0) == [(b, n) for b, n, _ in want]
+    assert len({r["hub"] for r in out if r["band"] == 7 << 60}) > 1
+
+
 def test_numbered_shingles_decide_as_sets_do():
     """Also for lines shorter than a shingle, zero characters and more different characters than a number has room for."""
     rng = random.Random(11)

@@ -7,8 +7,9 @@ signature rows are candidates: each is compared with the band's first line by th
 themselves. A line of a band that this leaves apart from its first line is compared with the others of its band where
 the band has few lines (a band of two is done); in larger bands with the lines only of such bands that share one of its
 rarest shingles, as any similar line must (see `rare_pairs`), never with all lines of a band. So unlike lines that meet by
-chance, which most lines apart are, cost no more than their own small bands. Bands are found by sorting (band, line) pairs
-over the cluster; one with very many lines is cut over several tasks. Of each connected component the line that comes first (by document, then place) stays, all other places go.
+chance, which most lines apart are, cost no more than their own small bands. The pairs (band, line) are dealt over the
+cluster by their bands as packed arrays, and each part is sorted; of a band with very many lines a part keeps no more than
+it is still to hand on. Of each connected component the line that comes first (by document, then place) stays, all other places go.
 
 Signatures, the runs of equal bands and verification work on Arrow batches: the form in built-in functions alone was
 beyond the limits (see the README for its figures). Everything else is joins and grouping.
@@ -25,6 +26,7 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,8 @@ SPACES = " \t\x0b\x0c\r"
 #: Characters, and lines, worked on at a time: their numbers should stay in a core's cache.
 CHARS = 250_000
 LINES = 1_000
+#: Lines whose bands are packed together, pairs (band, line) for a task, pairs that a task holds before it hands on large bands.
+DEALT, PAIRS, HELD = 100_000, 1_000_000, 4_000_000
 #: Bytes of a wanted line's place, and how many bytes of places are sent to all tasks.
 _PLACE_BYTES = 64
 PLACES_LIMIT = 64 * 1024 * 1024
@@ -178,16 +182,106 @@ def _runs(batches):
         yield out(band, hub, hub, 1 if edge[2] else 2)
 
 
+def _dealt(parts: int):
+    """A mapInArrow function: rows (part, least, bands, nodes) of rows (node, bands), pairs packed by ranges of bands."""
+
+    def run(batches):
+        held, lines = [], 0
+
+        def packed():
+            band = np.concatenate([h[0] for h in held])
+            node = np.concatenate([h[1] for h in held])
+            part = ((band.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16)
+            order = np.argsort(part, kind="stable")
+            least = int(node.min())
+            node = node - least
+            node = node.astype(np.uint32 if node.max() < 1 << 32 else np.int64)
+            starts = np.flatnonzero(np.diff(part[order].astype(np.int32), prepend=-1))
+            cuts = list(zip(starts, [*starts[1:], len(order)]))
+            for i in range(0, len(cuts), 256):
+                places = [order[a:b] for a, b in cuts[i : i + 256]]
+                columns = [
+                    pa.array([int(part[x[0]]) for x in places], pa.int32()), pa.array([least] * len(places), pa.int64()),
+                    pa.array([band[x].tobytes() for x in places], pa.binary()), pa.array([node[x].tobytes() for x in places], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "least", "bands", "nodes"])
+
+        for batch in batches:
+            bands = batch.column("bands")
+            sizes = pc.list_value_length(bands).to_numpy(zero_copy_only=False)
+            node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), sizes)
+            held.append((bands.flatten().to_numpy(zero_copy_only=False).astype(np.int64), node))
+            lines += batch.num_rows
+            if lines > DEALT:
+                yield from packed()
+                held, lines = [], 0
+        if lines:
+            yield from packed()
+
+    return run
+
+
+def _members(batches):
+    """Of packed pairs what `_runs` finds in them. Bands with a large share of what a task holds are handed on as they come,
+    each time with the least of these nodes as hub and a row of kind 1 for it."""
+    schema, large = pa.schema({"band": pa.int64(), "node": pa.int64()}), set()
+    bands, nodes, size, most = [], [], 0, HELD
+
+    def several(band, node):
+        """Sorted (band, node) of bands that occur again or are large."""
+        order = np.argsort(band)
+        band, node = band[order], node[order]
+        again = band[1:] == band[:-1]
+        keep = np.r_[False, again] | np.r_[again, False]
+        if large:
+            keep |= np.isin(band, list(large))
+        band, node = band[keep], node[keep]
+        order = np.lexsort((node, band))
+        return band[order], node[order]
+
+    def handed(band, node):
+        starts = np.flatnonzero(np.r_[True, band[1:] != band[:-1]])
+        hubs = np.repeat(node[starts], np.diff(np.r_[starts, len(band)]))
+        for b, n, h, kind in ((band, node, hubs, 0), (band[starts], node[starts], node[starts], 1)):
+            columns = [pa.array(x) for x in (b, n, h, np.full(len(b), kind, np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["band", "node", "hub", "kind"])
+
+    for batch in batches:
+        for least, b, n in zip(*(batch.column(c).to_pylist() for c in ("least", "bands", "nodes"))):
+            bands.append(np.frombuffer(b, np.int64))
+            nodes.append(np.frombuffer(n, np.uint32 if 2 * len(n) == len(b) else np.int64).astype(np.int64) + least)
+            size += len(bands[-1])
+            if size > most:
+                band, node = np.concatenate(bands), np.concatenate(nodes)
+                found, counts = np.unique(band, return_counts=True)
+                large.update(found[counts > HELD // 64].tolist())
+                mine = np.isin(band, list(large))
+                if mine.any():
+                    yield from handed(*several(band[mine], node[mine]))
+                bands, nodes = [band[~mine]], [node[~mine]]
+                size = len(bands[0])
+                most = max(HELD, 2 * size)
+    if not size:
+        return
+    band, node = several(np.concatenate(bands), np.concatenate(nodes))
+    mine = np.isin(band, list(large))
+    if mine.any():
+        yield from handed(band[mine], node[mine])
+    if not mine.all():
+        yield from _runs([pa.RecordBatch.from_arrays([pa.array(band[~mine]), pa.array(node[~mine])], schema=schema)])
+
+
 def band_members(signed: DataFrame) -> DataFrame:
     """Rows (band, node, hub) of rows (node, bands), for bands of several nodes; the hub is a band's least node.
 
-    Sorting cuts the pairs into ranges of (band, node). The bands at the ends of ranges, two a task, are put together.
+    Bands of which rows are handed on with several hubs, as `large` ones may be, are put together.
     """
-    pairs = signed.select(F.explode("bands").alias("band"), "node")
-    ordered = pairs.repartitionByRange("band", "node").sortWithinPartitions("band", "node")
-    found = staged(ordered.mapInArrow(_runs, "band long, node long, hub long, kind int"), "line-bands")
+    tasks = max(signed.sparkSession.sparkContext.defaultParallelism, -(-signed.count() * BANDS // PAIRS))
+    packed = signed.select("node", "bands").mapInArrow(_dealt(min(1 << 16, 4 * tasks)), "part int, least long, bands binary, nodes binary")
+    dealt = packed.repartition(tasks, "part")
+    found = staged(dealt.mapInArrow(_members, "band long, node long, hub long, kind int"), "line-bands")
     ends = found.where("kind > 0").groupBy("band").agg(F.min("hub").alias("whole"), F.countDistinct("hub").alias("c"))
-    cut = F.broadcast(ends.where("c > 1").drop("c"))  # at most two rows for each task
+    cut = F.broadcast(ends.where("c > 1").drop("c"))  # at most 64 rows for each task
     members = found.where("kind <> 1").join(cut, "band", "left").where("kind = 0 or whole is not null")
     members = members.select("band", "node", F.coalesce("whole", "hub").alias("hub"))
     members._staged_in = found._staged_in
