@@ -46,7 +46,7 @@ SPACES = " \t\x0b\x0c\r"
 CHARS = 250_000
 LINES = 1_000
 #: Lines whose bands are packed together, pairs (band, line) for a task, pairs that a task holds before it hands on large bands.
-DEALT, PAIRS, HELD = 100_000, 1_000_000, 4_000_000
+DEALT, PAIRS, HELD = 20_000, 500_000, 2_000_000
 #: Bytes of a wanted line's place, and how many bytes of places are sent to all tasks.
 _PLACE_BYTES = 64
 PLACES_LIMIT = 64 * 1024 * 1024
